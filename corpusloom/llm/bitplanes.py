@@ -31,11 +31,12 @@ def shuffle_block(ids: np.ndarray, level: int = 3) -> tuple[int, bytes]:
     """
     import zstandard
 
-    bits = np.unpackbits(ids.astype("<u4", copy=False).view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
-    planes = np.packbits(bits.T, axis=1)
+    wide = 2 if not len(ids) or int(ids.max()) < 1 << 16 else 4  # upper planes without a one aren't made
+    bits = np.unpackbits(ids.astype(f"<u{wide}").view(np.uint8).reshape(-1, wide), axis=1, bitorder="little")
+    planes = np.packbits(np.ascontiguousarray(bits.T), axis=1)
     compress = zstandard.ZstdCompressor(level=level).compress
     mask, out = 0, []
-    for k in range(32):
+    for k in range(8 * wide):
         if planes[k].any():
             mask |= 1 << k
             z = compress(planes[k].tobytes())
@@ -47,14 +48,15 @@ def unshuffle_block(mask: int, data: bytes | memoryview, n: int) -> np.ndarray:
     import zstandard
 
     decompress = zstandard.ZstdDecompressor().decompress
-    bits, at = np.zeros((32, n), np.uint8), 0
-    for k in range(32):
+    wide = 2 if mask < 1 << 16 else 4
+    bits, at = np.zeros((8 * wide, n), np.uint8), 0
+    for k in range(8 * wide):
         if mask >> k & 1:
             (size,) = struct.unpack_from("<I", data, at)
             plane = decompress(bytes(data[at + 4 : at + 4 + size]), max_output_size=(n + 7) // 8)
             bits[k] = np.unpackbits(np.frombuffer(plane, np.uint8), count=n)
             at += 4 + size
-    return np.packbits(bits.T, axis=1, bitorder="little").reshape(-1).view("<u4").copy()
+    return np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little").reshape(-1).view(f"<u{wide}").astype(np.uint32)
 
 
 def encode_file(docs: Iterable[np.ndarray], doc_ids: Iterable[int | None]) -> Iterator[bytes]:
@@ -165,8 +167,8 @@ def write_token_files(
         def docs():
             for batch in batches:
                 ids_of.extend(batch.column(0).to_pylist())
-                for text in batch.column(1):
-                    yield np.concatenate([e.encode(text.as_py()), end])
+                for ids in e.encode_column(batch.column(1)):
+                    yield np.concatenate([ids, end])
 
         def doc_ids():
             k = 0

@@ -103,7 +103,7 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     group = ["len", "h1", "h2", "round"]
     for n in range(max_rounds):
-        firsts = _firsts(units, group)
+        firsts = materialize(_firsts(units, group), "firsts")
         pairs = units.where(F.col("round") == n).join(firsts.where("units > 1"), group)
         pairs = materialize(pairs.where(~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("sha") == F.col("first.sha")))).select("id", "sha", "first"), "pairs")
         other = materialize(_differing(keyed, pairs), "differing")
@@ -116,7 +116,7 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         units = after
     else:
         raise RuntimeError("fingerprints keep colliding")
-    found = units.join(_firsts(units, group), group)
+    found = units.join(firsts, group)
     stays = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("sha") == F.col("first.sha"))
     return found.select(
         F.col("id").alias(id_col),

@@ -49,7 +49,7 @@ def mix_sources(
     share: float = 1.5,
     max_epochs: int = 2,
     seed: int = 29,
-    rows_per_bin: int = 50_000,
+    rows_per_bin: int = 5_000,
     cut: str = "word",
 ) -> DataFrame:
     """How often, or how much, each document is taken so that every source meets its target of words.

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import deque
+from functools import lru_cache
 
 import numpy as np
 from pyspark import TaskContext
@@ -94,6 +95,14 @@ class _Stream:
         return out
 
 
+@lru_cache(maxsize=2)
+def _sentence_tables(tokenizer: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By id: closes a sentence, begins with white space, holds a line break."""
+    texts = encoder(tokenizer).strings()
+    stops = np.array([t.rstrip(" \t").endswith((".", "!", "?", "…", "\n", '."', ".”", ".)")) for t in texts])
+    return stops, np.array([t[:1].isspace() for t in texts]), np.array(["\n" in t for t in texts])
+
+
 def pack_documents(
     df: DataFrame,
     tokenizer: str,
@@ -131,10 +140,7 @@ def pack_documents(
         import pyarrow as pa
 
         e = encoder(tokenizer)
-        texts = e.strings()
-        stops = np.array([t.rstrip(" \t").endswith((".", "!", "?", "…", "\n", ".\"", ".”", ".)")) for t in texts])
-        opens = np.array([t[:1].isspace() for t in texts])
-        lines = np.array(["\n" in t for t in texts])
+        stops, opens, lines = _sentence_tables(tokenizer)
         stream = _Stream(window, penalties, TaskContext.get().partitionId() << 40)
 
         def places(ids: np.ndarray, last: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -153,8 +159,8 @@ def pack_documents(
         for batch in batches:
             held = batch.column(0)
             n_rows, doc_tokens, found = batch.num_rows, np.zeros(batch.num_rows, np.int64), []
-            for r, text in enumerate(batch.column(1)):
-                ids = np.append(e.encode(text.as_py()), np.uint32(end_id)).astype(np.uint32)
+            for r, ids in enumerate(e.encode_column(batch.column(1))):
+                ids = np.append(ids, np.uint32(end_id))
                 doc_tokens[r] = len(ids)
                 for a in range(0, len(ids), block_tokens):
                     part = ids[a : a + block_tokens]
