@@ -11,12 +11,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 _LETTERS = "0-9A-Za-zÀ-ÖØ-öø-ʯЀ-ҁҊ-ԯ"
-#: What makes a cut before a space, a comma or a full stop, or around a line break, no border of pieces: white space other than single
-#: spaces and line breaks, and commas and full stops that don't stand between letters or digits and one of these, a space or a line break.
-_WHOLE = (
-    r"[\x00-\x09\x0B-\x1F\x7F-\x{A0}\x{1680}\x{180E}\x{2000}-\x{200B}\x{2028}\x{2029}\x{202F}\x{205F}\x{2060}\x{3000}\x{FEFF}]"
-    rf"|[ \n][ \n]|\A[ \n,.]|[ \n]\z|[^{_LETTERS}][,.]|[,.][^\n {_LETTERS}]"
-)
+#: White space other than single spaces and line breaks inside: a cut at a space or line break might be no border of pieces.
+_WHOLE = r"[\x00-\x09\x0B-\x1F\x7F-\x{A0}\x{1680}\x{180E}\x{2000}-\x{200B}\x{2028}\x{2029}\x{202F}\x{205F}\x{2060}\x{3000}\x{FEFF}]|[ \n][ \n]|\A[ \n]|[ \n]\z"
+#: Commas and full stops that don't stand after a letter or digit and before one, a space or a line break.
+_STUCK = rf"\A[,.]|[^{_LETTERS}][,.]|[,.][^\n {_LETTERS}]"
+#: Where letters or digits end and ASCII signs begin, pieces do too.
+_SIGNS = rf"([{_LETTERS}])([!-/:-@\[-`{{-~])"
 #: Bytes of text that are cut into parts at a time.
 _AT_ONCE = 4 << 20
 
@@ -24,13 +24,13 @@ _AT_ONCE = 4 << 20
 class Encoder:
     """Ids of whole texts, equal to ``Tokenizer.encode(text, add_special_tokens=False)``.
 
-    A byte-level tokenizer merges inside pieces only. In a text that ``_WHOLE`` doesn't match each space, comma and full stop opens a
-    piece and a line break is one, so the text's ids are those of its parts in a row. Parts are told apart by a dictionary encoding of a batch; the
+    A byte-level tokenizer merges inside pieces only. In a text that ``_WHOLE`` doesn't match each space opens a piece and a line break is
+    one, and so do commas and full stops, or, where some are ``_STUCK``, all signs after letters; the text's ids are those of its parts in a row. Parts are told apart by a dictionary encoding of a batch; the
     library encodes the distinct ones that the tables don't know, in one call. There are two tables: when the one being filled is full it replaces the other, so
     that parts in use stay known and memory is bounded. All other texts go to the library whole. Strings of special tokens are ordinary text.
     """
 
-    def __init__(self, path: str, most_parts: int = 120_000):
+    def __init__(self, path: str, most_parts: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
         from tokenizers import Tokenizer
 
@@ -78,9 +78,11 @@ class Encoder:
             self._learn(new)
         return list(map(table.__getitem__, parts))
 
-    def _by_parts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def _by_parts(self, texts: pa.Array, stuck: bool) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ends) of texts that may be cut."""
-        for a, b in ((",", "\0,"), (".", "\0."), ("\n", "\0\n\0"), (" ", "\0 ")):
+        if stuck:
+            texts = pc.replace_substring_regex(texts, _SIGNS, "\\1\0\\2")
+        for a, b in ((",", "\0,"), (".", "\0."))[: 0 if stuck else 2] + (("\n", "\0\n\0"), (" ", "\0 ")):
             texts = pc.replace_substring(texts, a, b)
         lists = pc.split_pattern(texts, "\0")
         coded = lists.flatten().dictionary_encode()
@@ -103,12 +105,14 @@ class Encoder:
         out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(texts)
         for i in np.flatnonzero(whole & (size > 0)).tolist():
             out[i] = self._ids(texts[i].as_py())
-        cut = np.flatnonzero(~whole & (size > 0))
-        group = np.cumsum(size[cut]) // _AT_ONCE
-        for rows in np.split(cut, np.flatnonzero(np.diff(group)) + 1) if len(cut) else []:
-            ids, ends = self._by_parts(texts.take(pa.array(rows)))
-            for i, part in zip(rows.tolist(), np.split(ids, ends[:-1])):
-                out[i] = part
+        stuck = pc.match_substring_regex(texts, _STUCK).to_numpy(zero_copy_only=False)
+        for kind in (False, True):
+            cut = np.flatnonzero(~whole & (stuck == kind) & (size > 0))
+            group = np.cumsum(size[cut]) // _AT_ONCE
+            for rows in np.split(cut, np.flatnonzero(np.diff(group)) + 1) if len(cut) else []:
+                ids, ends = self._by_parts(texts.take(pa.array(rows)), kind)
+                for i, part in zip(rows.tolist(), np.split(ids, ends[:-1])):
+                    out[i] = part
         return out
 
     def encode_column(self, texts: pa.Array, at_once: int = 2 * _AT_ONCE) -> Iterator[np.ndarray]:
