@@ -9,12 +9,12 @@ from pyspark.sql.window import Window
 
 from corpusloom.runtime import materialize, ship
 
-def clean_vectors(df: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, int]:
-    """(vec_id, v array<double>) and the length of the vectors, without null, empty, zero or non-finite vectors and, of several lengths, the most common alone (ties: the longer)."""
+def clean_vectors(df: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, int, int]:
+    """(vec_id, v array<double>), the length of the vectors and how many they are, without null, empty, zero or non-finite vectors and, of several lengths, the most common alone (ties: the longer)."""
     rows = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v"))
     usual = _valid(rows).groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
     dims = usual["d"] if usual else 0
-    return _valid(rows, dims), dims
+    return _valid(rows, dims), dims, usual["count"] if usual else 0
 
 
 def _valid(rows: DataFrame, dims: int | None = None) -> DataFrame:
@@ -130,6 +130,8 @@ class PostingIndex:
         all_need = np.sort(np.concatenate(need)) if need else np.array([1.0])
         at = min(len(all_need) - 1, int(np.ceil(recall * len(all_need)))) if len(all_need) else 0
         self.ratio = float(all_need[at]) * (1 + 1e-9) if len(all_need) else 1.0
+        most = int((rank[:, :-1] <= self.ratio).sum(1).max()) if len(q) else 1
+        self.beam = min(len(self.centroids), most + most // 4 + 8)  # wide enough for all lists that a query opens
 
     def assign(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(lists, mask) of each vector."""
@@ -138,12 +140,17 @@ class PostingIndex:
         return near, (dist <= self.boundary * dist[:, :1]) & (near < len(self.centroids))
 
     def select(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        near, dist = self.graph.search(x, len(self.centroids))
+        near, dist = self.graph.search(x, self.beam)
         return near, (dist <= self.ratio * np.maximum(dist[:, :1], 1e-300)) & (near < len(self.centroids))
 
 
-def fit_index(vectors: DataFrame, fit_rows: int = 8_000, lists: int = 128, copies: int = 3, boundary: float = 1.15, recall: float = 0.96, seed: int = 5) -> PostingIndex | None:
-    """Fit on the ``fit_rows`` rows of smallest hash (a bounded sample: fit_rows x dimensions doubles on the driver); None without rows."""
+def fit_index(vectors: DataFrame, n: int, rows_a_list: int = 1_000, least_lists: int = 128, most_lists: int = 2_048, copies: int = 3, boundary: float = 1.15, recall: float = 0.96, seed: int = 5) -> PostingIndex | None:
+    """Fit on the rows of smallest hash; None without rows.
+
+    ``n`` rows ask for n / ``rows_a_list`` lists, within bounds; 64 rows a list are fitted, 32,768 at most (a bounded sample: so many times the dimensions doubles on the driver).
+    """
+    lists = max(least_lists, min(most_lists, n // rows_a_list))
+    fit_rows = min(32_768, 64 * lists)
     rows = vectors.select("v", F.xxhash64(F.lit(seed), "vec_id", "v").alias("h")).orderBy("h").limit(fit_rows).select("v").collect()
     if not rows:
         return None
@@ -174,10 +181,10 @@ def search(
     spark = df.sparkSession
     ship(spark)
     flagged = df.withColumn("_cl_query", F.coalesce(is_query, F.lit(False)))
-    vectors, dims = clean_vectors(df, id_col, vec_col)
+    vectors, dims, n = clean_vectors(df, id_col, vec_col)
     vectors = vectors.where("vec_id is not null")
     ids = F.slice(F.array_sort(F.collect_set("vec_id")), 1, top + 1)
-    index = fit_index(vectors, **fit)
+    index = fit_index(vectors, n, **fit)
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     shared = spark.sparkContext.broadcast(index)

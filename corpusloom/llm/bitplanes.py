@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import os
 import struct
@@ -24,23 +25,34 @@ BLOCK = 1 << 16  # ids in a block; its bit planes are 8 KiB each
 HEADER = struct.Struct("<8sQQQQ")
 
 
+def _transpose8(x: np.ndarray) -> np.ndarray:
+    """Each uint64 as an 8 x 8 bit matrix, transposed."""
+    for shift, mask in ((7, 0x00AA00AA00AA00AA), (14, 0x0000CCCC0000CCCC), (28, 0x00000000F0F0F0F0)):
+        t = (x ^ (x >> np.uint64(shift))) & np.uint64(mask)
+        x = x ^ t ^ (t << np.uint64(shift))
+    return x
+
+
 def shuffle_block(ids: np.ndarray, level: int = 3) -> tuple[int, bytes]:
     """(mask of the planes that hold a one, these planes compressed one by one, each after its length).
 
-    Plane k holds bit k of every id; the number of ids is in the chunk index.
+    Plane k holds bit k of every id, eight ids a byte, lowest first; the number of ids is in the chunk index.
     """
     import zstandard
 
     wide = 2 if not len(ids) or int(ids.max()) < 1 << 16 else 4  # upper planes without a one aren't made
-    bits = np.unpackbits(ids.astype(f"<u{wide}").view(np.uint8).reshape(-1, wide), axis=1, bitorder="little")
-    planes = np.packbits(np.ascontiguousarray(bits.T), axis=1)
+    padded = np.zeros(-(-len(ids) // 8) * 8, f"<u{wide}")
+    padded[: len(ids)] = ids
+    columns = padded.view(np.uint8).reshape(-1, wide)
     compress = zstandard.ZstdCompressor(level=level).compress
     mask, out = 0, []
-    for k in range(8 * wide):
-        if planes[k].any():
-            mask |= 1 << k
-            z = compress(planes[k].tobytes())
-            out += [struct.pack("<I", len(z)), z]
+    for g in range(wide):
+        planes = _transpose8(np.ascontiguousarray(columns[:, g]).view("<u8")).view(np.uint8).reshape(-1, 8).T
+        for k in range(8):
+            if planes[k].any():
+                mask |= 1 << (8 * g + k)
+                z = compress(planes[k].tobytes())
+                out += [struct.pack("<I", len(z)), z]
     return mask, b"".join(out)
 
 
@@ -48,25 +60,27 @@ def unshuffle_block(mask: int, data: bytes | memoryview, n: int) -> np.ndarray:
     import zstandard
 
     decompress = zstandard.ZstdDecompressor().decompress
-    wide = 2 if mask < 1 << 16 else 4
-    bits, at = np.zeros((8 * wide, n), np.uint8), 0
-    for k in range(8 * wide):
-        if mask >> k & 1:
-            (size,) = struct.unpack_from("<I", data, at)
-            plane = decompress(bytes(data[at + 4 : at + 4 + size]), max_output_size=(n + 7) // 8)
-            bits[k] = np.unpackbits(np.frombuffer(plane, np.uint8), count=n)
-            at += 4 + size
-    return np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little").reshape(-1).view(f"<u{wide}").astype(np.uint32)
-
-
-def encode_file(docs: Iterable[np.ndarray], doc_ids: Iterable[int | None]) -> Iterator[bytes]:
-    """The bytes of a file, block by block; the header comes last (it is written over the first bytes).
+    wide, size, at = 2 if mask < 1 << 16 else 4, -(-n // 8), 0
+    out = np.zeros((8 * size, wide), np.uint8)
+    for g in range(wide):
+        planes = np.zeros((size, 8), np.uint8)
+        for k in range(8):
+            if mask >> (8 * g + k) & 1:
+                (length,) = struct.unpack_from("<I", data, at)
+                planes[:, k] = np.frombuffer(decompress(data[at + 4 : at + 4 + length], max_output_size=size), np.uint8)
+                at += 4 + length
+        out[:, g] = _transpose8(planes.reshape(-1).view("<u8")).view(np.uint8)
+    return out.reshape(-1).view(f"<u{wide}")[:n].astype(np.uint32)
+
+
+def encode_file(docs: Iterable[tuple[int | None, np.ndarray]]) -> Iterator[bytes]:
+    """The bytes of a file of (id, ids), block by block; the header comes last (it is written over the first bytes).
 
     After the blocks come the chunk index (offset, bytes, ids, mask: 4 x u64 a block) and the document index (id,
     null flag, tokens: i64, u64, u64 a document).
     """
     place, chunks, index, held, size = HEADER.size, [], [], [], 0
-    for ids, doc in zip(docs, doc_ids):
+    for doc, ids in docs:
         index.append((0 if doc is None else doc, doc is None, len(ids)))
         held.append(ids)
         size += len(ids)
@@ -128,7 +142,7 @@ def _put(folder: str, name: str, pieces: Iterator[bytes]) -> int:
 
     store, at = fs.FileSystem.from_uri(folder)
     store.create_dir(at, recursive=True)
-    body = list(pieces)  # a file is bounded by file_bytes
+    body = list(pieces)  # a file is bounded by file_ids
     with store.open_output_stream(f"{at}/{temp}") as f:
         for piece in (body[-1], *body[:-1]):
             f.write(piece)
@@ -144,17 +158,19 @@ def write_token_files(
     id_col: str = "doc_id",
     text_col: str = "text",
     end_id: int = 2,
-    file_bytes: int = 24 << 20,
+    partition_bytes: int = 24 << 20,
+    most_partitions: int = 50_000,
+    file_ids: int = 16 << 20,
 ) -> DataFrame:
     """Encode every text, append ``end_id`` and write the ids in ascending order of (id, text hash) under ``path``.
 
-    One file a range of about ``file_bytes`` of text: part-00000.clbp, part-00001.clbp ... in order. Returns
-    file, documents, bytes a file; the files are written when the result is computed. Null ids come first, null texts are
+    A partition is a range of about ``partition_bytes`` of text (more where that would make over ``most_partitions``) and writes a file whenever ``file_ids`` ids
+    are together: part-00000-00000.clbp, part-00000-00001.clbp ... in order. Returns file, documents, bytes a file; the files are written when the result is computed. Null ids come first, null texts are
     empty (the end id alone), repeated rows are separate documents. An empty table writes no file.
     """
     ship(df.sparkSession)
     _, size = text_bytes(df, text_col)
-    parts = max(1, math.ceil(size / file_bytes))
+    parts = min(most_partitions, max(1, math.ceil(size / partition_bytes)))
     rows = df.select(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("text"))
     ordered = rows.repartitionByRange(parts, "doc", "tie").sortWithinPartitions("doc", "tie").select("doc", "text")
 
@@ -162,32 +178,29 @@ def write_token_files(
         import pyarrow as pa
 
         e = encoder(tokenizer)
-        end, ids_of = np.array([end_id], np.uint32), []
-
-        def docs():
-            for batch in batches:
-                ids_of.extend(batch.column(0).to_pylist())
-                for ids in e.encode_column(batch.column(1)):
-                    yield np.concatenate([ids, end])
-
-        def doc_ids():
-            k = 0
-            while True:
-                yield ids_of[k]
-                k += 1
-
-        stream = docs()
-        first = next(stream, None)
-        if first is None:
-            return
-        name = f"part-{TaskContext.get().partitionId():05d}.clbp"
-
-        def whole():
-            yield first
-            yield from stream
-
-        total = _put(path, name, encode_file(whole(), doc_ids()))
-        yield pa.RecordBatch.from_pydict({"file": [name], "documents": [len(ids_of)], "bytes": [total]})
+        end = np.array([end_id], np.uint32)
+        docs = (
+            (doc, np.concatenate([ids, end]))
+            for batch in batches
+            for doc, ids in zip(batch.column(0).to_pylist(), e.encode_column(batch.column(1)))
+        )
+        held = next(docs, None)
+        for n in itertools.count():
+            if held is None:
+                return
+            wrote = [0, 0]  # documents, ids
+
+            def one_file():
+                nonlocal held
+                while held is not None and (not wrote[0] or wrote[1] + len(held[1]) <= file_ids):
+                    wrote[0] += 1
+                    wrote[1] += len(held[1])
+                    yield held
+                    held = next(docs, None)
+
+            name = f"part-{TaskContext.get().partitionId():05d}-{n:05d}.clbp"
+            total = _put(path, name, encode_file(one_file()))
+            yield pa.RecordBatch.from_pydict({"file": [name], "documents": [wrote[0]], "bytes": [total]})
 
     return ordered.mapInArrow(write, "file string, documents long, bytes long")
 

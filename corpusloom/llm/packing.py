@@ -112,13 +112,14 @@ def pack_documents(
     end_id: int = 1,
     penalties: tuple[float, float, float] = (0.0, 24.0, 96.0),
     partition_bytes: int = 24 << 20,
+    most_partitions: int = 50_000,
     block_tokens: int = 1 << 20,
 ) -> DataFrame:
     """Cut the documents, in order of (id, text), into windows of at most ``window`` tokens.
 
     Rows are range-sorted by (id, text hash); a partition tokenises its rows and runs ``cut_windows`` over blocks of about
     ``block_tokens`` tokens, whose last windows alone are cut early; a longer document is fed in by parts of that size, so
-    that memory stays bounded. Windows may end after documents (free), after sentences or, where a sentence is
+    that memory stays bounded whatever a partition holds (about ``partition_bytes``, more where that would make over ``most_partitions``). Windows may end after documents (free), after sentences or, where a sentence is
     longer than the rest of a window, anywhere (``penalties`` in tokens of padding).
 
     Returns a row a piece: the columns of ``df`` except the text and those named like these: ``start``,
@@ -130,7 +131,7 @@ def pack_documents(
     own = [c for c in without(df, *names) if c.lower() != text_col.lower()]
     ship(df.sparkSession)
     _, size = text_bytes(df, text_col)
-    parts = max(1, math.ceil(size / partition_bytes))
+    parts = min(most_partitions, max(1, math.ceil(size / partition_bytes)))
     rows = df.select(F.struct(*[F.col(c) for c in own]).alias("row"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tie"))
     keys = [F.col("row")[id_col], F.col("tie")]
     ordered = rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).select("row", "text")

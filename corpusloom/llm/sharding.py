@@ -21,11 +21,12 @@ def shard_documents(
     text_col: str = "text",
     seed: int = 17,
     bucket_bytes: int = 32 << 20,
+    most_buckets: int = 100_000,
 ) -> DataFrame:
     """Put all rows into ``shards`` shards in random order; row counts of shards differ by one at most.
 
     Pass 1 scatters whole rows by a seeded hash of (id, text) into buckets of about ``bucket_bytes``, as many
-    as the table's bytes ask for, each a partition of its own. Pass 2 orders a bucket by (hash, id, text), so that
+    as the table's bytes ask for (``most_buckets`` at most, as a shuffle bears no more; they then are larger), each a partition of its own. Pass 2 orders a bucket by (hash, id, text), so that
     a retried task meets the same rows in the same order, and runs Spark's seeded Fisher-Yates ``shuffle``
     over the bucket's array. The buckets' counts, summed over the (small) bucket table, turn a place in a bucket into a
     place in the whole permutation, which is cut into ``shards`` runs.
@@ -44,7 +45,7 @@ def shard_documents(
     ).first()
     if not total["n"]:
         return df.select(*own, F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot")).where("false")
-    n, buckets = total["n"], max(1, math.ceil(total["b"] / bucket_bytes))
+    n, buckets = total["n"], min(most_buckets, max(1, math.ceil(total["b"] / bucket_bytes)))
     bucket = F.pmod(place, F.lit(buckets)).cast("int")
 
     # the bucket table: one row a bucket

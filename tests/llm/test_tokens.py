@@ -99,7 +99,7 @@ def test_windows_are_optimal():
 @pytest.mark.parametrize("n", [0, 1, 7, 8, 9, 65535, 65536, 65537, 200_000])
 def test_blocks_round_trip(n):
     ids = np.random.default_rng(n).integers(0, 2**32 if n % 2 else 50257, n, dtype=np.uint64).astype(np.uint32)
-    pieces = list(bitplanes.encode_file([ids[: n // 3], ids[n // 3 :]], [5, None]))
+    pieces = list(bitplanes.encode_file([(5, ids[: n // 3]), (None, ids[n // 3 :])]))
     data = pieces[-1] + b"".join(pieces[:-1])
     (a, x), (b, y) = bitplanes.decode_file(data)
     assert (a, b) == (5, None) and np.array_equal(np.concatenate([x, y]), ids)
@@ -125,7 +125,8 @@ def test_token_files_query(spark, sf):
 
 
 def test_token_files_odd_rows(odd, tmp_path):
-    out = bitplanes.round_trip(odd("path"), tokenizer_path(), path=f"file://{tmp_path}/x", file_bytes=1000)
+    out = bitplanes.round_trip(odd("path"), tokenizer_path(), path=f"file://{tmp_path}/x", partition_bytes=1000, file_ids=40)
+    assert len(list((tmp_path / "x").glob("*.clbp"))) > 3
     rows = sorted(out.collect(), key=lambda r: r.start)
     assert [r.doc_id for r in rows] == sorted((r[0] for r in ROWS), key=lambda d: (d is not None, d))
     assert sorted((r.n_tokens, r.ids_crc32) for r in rows) == sorted(x[2:] for x in brute_ids([r[:2] for r in ROWS]))
