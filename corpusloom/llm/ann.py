@@ -139,9 +139,26 @@ class PostingIndex:
         near, dist = near[:, : self.copies], dist[:, : self.copies]
         return near, (dist <= self.boundary * dist[:, :1]) & (near < len(self.centroids))
 
-    def select(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        near, dist = self.graph.search(x, self.beam)
-        return near, (dist <= self.ratio * np.maximum(dist[:, :1], 1e-300)) & (near < len(self.centroids))
+    def select(self, x: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """(lists, mask) that each query opens: those within the ratio, and at any rate the nearest ones that hold ``least`` different vectors (``sizes``: entries by list)."""
+        need = self.copies * least  # a vector is in so many lists at most
+        near, ok, few = self._within(x, self.beam, sizes, need)
+        if few.any() and self.beam < len(self.centroids):
+            far, far_ok, _ = self._within(x[few], len(self.centroids), sizes, need)
+            wide = np.full((len(x), far.shape[1]), len(self.centroids))
+            mask = np.zeros(wide.shape, bool)
+            wide[:, : near.shape[1]], mask[:, : near.shape[1]] = near, ok
+            wide[few], mask[few] = far, far_ok
+            return wide, mask
+        return near, ok
+
+    def _within(self, x: np.ndarray, beam: int, sizes: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        near, dist = self.graph.search(x, beam)
+        real = near < len(self.centroids)
+        held = np.cumsum(np.where(real, np.append(sizes, 0)[near], 0), 1)
+        before = held - np.where(real, np.append(sizes, 0)[near], 0)
+        ok = (dist <= self.ratio * np.maximum(dist[:, :1], 1e-300)) | (before < need)
+        return near, ok & real, held[:, -1] < need if held.shape[1] else np.zeros(len(x), bool)
 
 
 def fit_index(vectors: DataFrame, n: int, rows_a_list: int = 1_000, least_lists: int = 128, most_lists: int = 2_048, copies: int = 3, boundary: float = 1.15, recall: float = 0.96, seed: int = 5) -> PostingIndex | None:
@@ -196,7 +213,7 @@ def search(
     asked = materialize(_valid(asked, dims).where("vec_id is not null").distinct(), "queries")
     questions = asked.groupBy("v").agg(F.min("vec_id").alias("q"))
 
-    def post(kind: str):
+    def post(sizes: np.ndarray | None = None):
         def run(batches):
             import pyarrow as pa
 
@@ -205,17 +222,21 @@ def search(
                 x = np.array(b.column("v").to_pylist(), np.float64)
                 if not len(x):
                     continue
-                near, ok = ix.assign(x) if kind == "entry" else ix.select(x)
+                near, ok = ix.assign(x) if sizes is None else ix.select(x, sizes, top + 1)
                 r, c = np.nonzero(ok)
                 t = b.take(pa.array(r))
                 yield pa.RecordBatch.from_arrays([pa.array(near[r, c].astype(np.int32)), *t.columns], names=["list", *t.schema.names])
 
         return run
 
-    posted = entries.select("entry", "ids", "v").mapInArrow(post("entry"), "list int, entry long, ids array<long>, v array<double>")
+    posted = entries.select("entry", "ids", "v").mapInArrow(post(), "list int, entry long, ids array<long>, v array<double>")
     posted = materialize(posted, "postings")
-    opened = materialize(questions.select("q", "v").mapInArrow(post("query"), "list int, q long, v array<double>"), "opened")
-    sizes = posted.groupBy("list").count().select("list", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
+    counts = posted.groupBy("list").count()
+    held = np.zeros(len(index.centroids), np.int64)
+    for r in counts.collect():  # a number a list, most_lists at most
+        held[r["list"]] = r["count"]
+    opened = materialize(questions.select("q", "v").mapInArrow(post(held), "list int, q long, v array<double>"), "opened")
+    sizes = counts.select("list", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
     crowds = opened.groupBy("list").count().select("list", F.ceil(F.col("count") / query_block).cast("int").alias("crowds"))
     deal = sizes.join(crowds, "list")
     left = posted.join(deal, "list").select(

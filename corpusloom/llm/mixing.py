@@ -49,13 +49,14 @@ def mix_sources(
     share: float = 1.5,
     max_epochs: int = 2,
     seed: int = 29,
-    rows_per_bin: int = 5_000,
+    rows_per_bin: int = 1_000,
+    most_bins: int = 1_000_000,
     cut: str = "word",
 ) -> DataFrame:
     """How often, or how much, each document is taken so that every source meets its target of words.
 
     Every row gets a hash-random key of (seed, id, text). The key's range is cut into equal bins, as many as
-    the table's rows ask for; sums by (source, bin) and their running sums are a table of sources x bins rows, and a row's
+    the table's rows ask for (``most_bins`` at most); sums by (source, bin) and their running sums are a table of sources x bins rows, and a row's
     place in its source is its bin's offset plus a running sum in its own (source, bin), so that a hot source is spread
     over its bins. Whole epochs are taken first; the last, partial epoch takes rows in key order up to the
     source's budget: with ``cut='word'`` the row at the budget gives exactly the words that are missing, with
@@ -80,7 +81,7 @@ def mix_sources(
         "mix",
     )
     n = rows.count()
-    bins = max(1, math.ceil(n / rows_per_bin))
+    bins = min(most_bins, max(1, math.ceil(n / rows_per_bin)))
     rows = rows.withColumn("bin", F.pmod(F.shiftright("key", 20), F.lit(bins)).cast("int"))
     sums = rows.groupBy("skey", "bin").agg(F.sum("size").alias("bin_size"))
     targets = source_targets(sums.groupBy("skey").agg(F.sum("bin_size").alias("source_size")), weights, share, max_epochs)

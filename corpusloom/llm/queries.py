@@ -152,5 +152,20 @@ from s left join m on s.page_id = m.page_id and m.n = 1
 """
 
 
+_ESC = "replace(replace(replace(replace(replace(replace({0}, '&', '&amp;'), '<|', '&lt;|'), '<s>', '&lt;s>'), '</s>', '&lt;/s>'), '[INST]', '&lsqb;INST]'), '[/INST]', '&lsqb;/INST]')"
+_CHAT = f"""
+with r as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), e as (select *, {_ESC.format('text')} as body, replace({_ESC.format('role')}, chr(10), '&nl;') as head from r)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, body)) as turns_sha256,
+       coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn nulls first, role, body) filter (where role = 'assistant'), '')) as loss_sha256,
+       sum(length('<|turn|>') + length(head) + 1 + length(body) + length('<|end|>'))::bigint as formatted_chars
+from e group by conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": _EXACT, "op10_urls": _URLS}
+    return {"op5_chat": _CHAT, "op4_exact_dedup": _EXACT, "op10_urls": _URLS}

@@ -180,6 +180,19 @@ def test_ann_odd_vectors_and_copies(spark):
     assert ann.search(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_ann_always_finds_enough(spark):
+    """Ten tight clusters of 12 and a query far from all: lists beyond the ratio are opened until there are ten candidates."""
+    rng = np.random.default_rng(9)
+    rows = [(1000 * c + i, (np.eye(12)[c] * 50 + rng.normal(size=12) * 1e-3).tolist()) for c in range(10) for i in range(1, 13)]
+    rows.append((0, [-30.0] * 12))
+    rows += [(100_000 + i, (np.eye(12)[11] * 70).tolist()) for i in (0, 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in ann.search(df, F.col("vec_id").isin(0, 100_000), least_lists=64, recall=0.5, copies=1).collect():
+        got[r.query_id].append(r.vec_id)
+    assert len(got[0]) == len(got[100_000]) == 10 and 100_001 in got[100_000]
+
+
 def test_graph_search_finds_the_nearest_centroids():
     rng = np.random.default_rng(1)
     c, x = rng.normal(size=(128, 16)), rng.normal(size=(200, 16))
