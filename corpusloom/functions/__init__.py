@@ -1 +1 @@
-"""See the package README for what lives here."""
+"""Column expressions and the few vectorised UDFs: text folds, morphology, vectors, keys."""

@@ -14,7 +14,8 @@ def connected_components(edges: DataFrame, src: str = "a", dst: str = "b", max_r
     Large-star and small-star steps (Kiveris et al., 2014) alternate until the edge set stands still: the
     number of rounds grows with the logarithm of a component's size, each step is one partial aggregate and
     one equi-join that AQE can split at a hub, and nothing is gathered on the driver but two numbers a round.
-    Every round is written to the shared folder, so that the plan stays short. Null ends and loops are ignored.
+    A step's minima are a written table, so that the join has a shuffle of its own on either side and AQE can split a hub's edges; every step is
+    written too, so that the plan stays short. Null ends and loops are ignored.
     """
     e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u is not null and v is not null and u <> v")
     current = materialize(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
@@ -24,9 +25,12 @@ def connected_components(edges: DataFrame, src: str = "a", dst: str = "b", max_r
         if state == seen or not state[0]:
             break
         seen = state
-        after = materialize(_small_star(_large_star(current)), "edges")
-        discard(current)
-        current = after
+        for step in (_large_star, _small_star):
+            after, minima = step(current)
+            after = materialize(after, "edges")
+            discard(current)
+            discard(minima)
+            current = after
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     nodes = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
@@ -34,16 +38,17 @@ def connected_components(edges: DataFrame, src: str = "a", dst: str = "b", max_r
     return nodes.unionByName(roots)
 
 
-def _large_star(e: DataFrame) -> DataFrame:
-    """Each node links its larger neighbours to the smallest node of its neighbourhood."""
+def _large_star(e: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Each node links its larger neighbours to the smallest node of its neighbourhood. Also returns the minima."""
     both = e.union(e.select(F.col("v"), F.col("u"))).toDF("u", "v")
     least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u"), F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = materialize(least, "minima")
+    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")), least
 
 
-def _small_star(e: DataFrame) -> DataFrame:
-    """Each node links its smaller neighbours, and itself, to the smallest of them."""
+def _small_star(e: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Each node links its smaller neighbours, and itself, to the smallest of them. Also returns the minima."""
     down = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = materialize(down.groupBy("u").agg(F.min("v").alias("m")), "minima")
     pairs = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-    return pairs.union(least.select("u", F.col("m").alias("v"))).distinct()
+    return pairs.union(least.select("u", F.col("m").alias("v"))).distinct(), least

@@ -1 +1 @@
-"""See the package README for what lives here."""
+"""Queries: operators applied to the test tables, and the SQL that states the same."""

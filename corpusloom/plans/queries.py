@@ -1,11 +1,600 @@
-"""Queries over the star-schema and text tables: one for each operator, with its SQL."""
+"""Queries over the star-schema and text tables: one for each operator family, with its SQL where SQL can state it."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corpusloom.functions.keys import chunk_id, pair_id
+from corpusloom.functions.text import fold_latin
+from corpusloom.functions.vectors import cosine
+from corpusloom.operators import assembly, audit, catalog, citations, export, harvest, linkage, models, pages, resolver, similarity, state, topk
+from corpusloom.sources.files import html_heading, strip_html, units_of_texts
+from corpusloom.streaming.records import windowed_counts
+
+SQL: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def query(sql: str | None = None):
+    """Register the function under its name."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
+
+
+class _Tables:
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.dir = spark, sf_dir
+
+    def __getattr__(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+
+
+def same(c: Column | str) -> Column:
+    return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
+
+
+def word_list(text: str = "text") -> Column:
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+
+WORDS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
+FOLD = r"trim(lower(regexp_replace(coalesce({0}, ''), '[^\p{{L}}\p{{N}}]+', ' ', 'g')))"
+
+# --- linkage -----------------------------------------------------------------------------------------------------------
+
+SIGNALS = {"node": "nodes", "ayah": "ayahs", "ravi": "ravis", "bab": "bab", "kitab": "kitab"}
+
+
+def order_documents(t: _Tables) -> DataFrame:
+    """Orders as linkage documents: brand and type of parts are nodes, parts citations, suppliers narrators, the customer a chapter, their nation a book."""
+    lines = t.lineitem.join(t.part.select("p_partkey", "p_brand", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+    grouped = lines.groupBy("l_orderkey").agg(
+        F.collect_set(F.concat_ws("|", "p_brand", "p_type")).alias("nodes"), F.collect_set(F.col("l_partkey").cast("string")).alias("ayahs"), F.collect_set(F.col("l_suppkey").cast("string")).alias("ravis")
+    )
+    cust = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").cast("string").alias("kitab"))
+    o = t.orders.select("o_orderkey", "o_custkey").join(cust, "o_custkey", "left").join(grouped, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return o.select(F.col("o_orderkey").cast("string").alias("doc_id"), F.col("o_orderkey").alias("pos"), "nodes", "ayahs", "ravis", F.col("o_custkey").cast("string").alias("bab"), "kitab")
+
+
+def order_candidates(t: _Tables) -> DataFrame:
+    return linkage.candidates(order_documents(t), {s: F.col(c) for s, c in SIGNALS.items()})
+
+
+LINK_SQL = """
+with posts as (
+  select distinct l_orderkey as pos, 'node' as signal, p_brand || '|' || p_type as key from lineitem join part on l_partkey = p_partkey where l_orderkey in (select o_orderkey from orders)
+  union select l_orderkey, 'ayah', cast(l_partkey as varchar) from lineitem where l_orderkey in (select o_orderkey from orders) and l_partkey in (select p_partkey from part)
+  union select l_orderkey, 'ravi', cast(l_suppkey as varchar) from lineitem where l_orderkey in (select o_orderkey from orders) and l_partkey in (select p_partkey from part)
+  union select o_orderkey, 'bab', cast(o_custkey as varchar) from orders
+  union select o_orderkey, 'kitab', cast(c_nationkey as varchar) from orders join customer on o_custkey = c_custkey
+), p as (select cast(pos as varchar) as doc, pos, signal, key from posts where key is not null and key <> ''),
+n as (select greatest(count(distinct o_orderkey), 1)::double as n from orders),
+keys as (select signal, key, count(*) as df, min(pos) as first_pos, ln(1 + (select n from n) / count(*)) as idf from p group by signal, key),
+w(signal, weight, rnk) as (values ('node', 1.0, 0), ('ayah', 1.4, 1), ('ravi', 0.3, 2), ('bab', 0.8, 3), ('kitab', 0.15, 4)),
+blocks as (select signal, key, first_pos from keys where signal <> 'kitab' and df between 2 and 400 and ((select n from n) < 200 or df / (select n from n) <= 0.02)),
+proposed as (
+  select a.doc as "left", b.doc as "right", arg_min(a.signal, first_pos * 10 + rnk) as blocked_by
+  from p a join blocks using (signal, key) join w using (signal) join p b on a.signal = b.signal and a.key = b.key and a.doc < b.doc group by 1, 2
+), pk as (select doc, signal, key, idf * weight as share from p join keys using (signal, key) join w using (signal)),
+parts as (
+  select "left", "right", x.signal, sum(x.share) as share from proposed join pk x on x.doc = "left" join p y on y.doc = "right" and y.signal = x.signal and y.key = x.key group by 1, 2, 3
+), scored as (select "left", "right", blocked_by, sum(share) as score from proposed join parts using ("left", "right") group by 1, 2, 3)
+"""
+
+
+@query(LINK_SQL + """select "left", "right", blocked_by, round(score, 6) as score from scored""")
+def candidate_pairs(spark, sf_dir):
+    t = _Tables(spark, sf_dir)
+    return order_candidates(t).select("left", "right", "blocked_by", F.round("score", 6).alias("score"))
+
+
+@query(LINK_SQL + """select 'blocked_by' as kind, blocked_by as signal, count(*) as pairs from scored group by 2 union all select 'reason', signal, count(*) from parts group by 2""")
+def candidate_report(spark, sf_dir):
+    return linkage.report(order_candidates(_Tables(spark, sf_dir)))
+
+
+@query(LINK_SQL + """, judged as (select "left", "right" from scored where (cast("left" as bigint) + cast("right" as bigint)) % 3 = 0)
+select "left", "right", round(round(score, 9), 6) as score from scored anti join judged using ("left", "right") order by scored.score desc, "left", "right" limit 5000""")
+def unjudged_topk(spark, sf_dir):
+    scored = order_candidates(_Tables(spark, sf_dir))
+    judged = scored.where((F.col("left").cast("long") + F.col("right").cast("long")) % 3 == 0)
+    return linkage.rank(scored.withColumn("score", F.round("score", 9)), limit=5000, judged=judged).select("left", "right", F.round("score", 6).alias("score"))
+
+
+SQL["unjudged_topk"] = SQL["unjudged_topk"].replace("order by scored.score desc", "order by round(scored.score, 9) desc")
+
+
+@query(f"""with w as (select distinct doc_id, unnest({WORDS}) as key from documents)
+select key, count(*) as df, round(ln(1 + (select count(*) from documents)::double / count(*)), 9) as idf from w group by key""")
+def idf_terms(spark, sf_dir):
+    docs = _Tables(spark, sf_dir).documents
+    posts = linkage.postings(docs.select("doc_id", word_list().alias("w")), {"word": F.col("w")}, pos_col="doc_id")
+    return linkage.idf(posts, docs.count()).select("key", "df", F.round("idf", 9).alias("idf"))
+
+
+@query(f"""with w as (select distinct cast(doc_id as varchar) as doc, unnest({WORDS}) as key from documents),
+b as (select key, count(*) as df, string_agg(doc, ',' order by doc) as docs from w group by key)
+select * from b where (select count(*) from documents) < 20 or df / (select count(*) from documents)::double <= 0.15""")
+def buckets_df_cap(spark, sf_dir):
+    docs = _Tables(spark, sf_dir).documents.select(F.col("doc_id").cast("string").alias("doc_id"), word_list().alias("w"))
+    posts = linkage.postings(docs, {"word": F.col("w")}, pos_col="doc_id")
+    return linkage.buckets(posts, docs.count()).select("key", "df", F.array_join("docs", ",").alias("docs"))
+
+
+@query("""select l_orderkey as doc from lineitem join part on l_partkey = p_partkey where p_brand in ('Brand#2', 'Brand#17') group by 1 having count(distinct p_brand) = 2""")
+def conjunctive_search(spark, sf_dir):
+    t = _Tables(spark, sf_dir)
+    posts = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").alias("doc"), F.col("p_brand").alias("key"))
+    return linkage.carrying_all(posts, ["Brand#2", "Brand#17"])
+
+
+# --- vectors and duplicates --------------------------------------------------------------------------------------------
+
+_COS = "list_cosine_similarity(list_transform(a.embedding, lambda x: x::double), list_transform(b.embedding, lambda x: x::double))"
+PAIRS_SQL = f'select a.vec_id as "left", b.vec_id as "right", round({_COS}, 6) as cosine from embeddings a join embeddings b on a.vec_id < b.vec_id where {_COS} > '
+
+
+@query(PAIRS_SQL + "0.3")
+def cosine_pairs(spark, sf_dir):
+    pairs = similarity.cosine_pairs(_Tables(spark, sf_dir).embeddings, "vec_id", "embedding", 0.3)
+    return pairs.select("left", "right", F.round("cosine", 6).alias("cosine"))
+
+
+@query(f"""with recursive e as materialized ({PAIRS_SQL.replace('> ', '>= ')} 0.4), links as (select "left" as a, "right" as b from e union all select "right", "left" from e),
+reach(a, b) as (select a, a from links union select r.a, l.b from reach r join links l on l.a = r.b)
+select a as vec_id, min(b) as cluster from reach group by a""")
+def duplicate_clusters(spark, sf_dir):
+    return similarity.duplicate_clusters(_Tables(spark, sf_dir).embeddings, "vec_id", "embedding", 0.4)
+
+
+@query("""select doc_id as child_id, min(doc_id) over (partition by sha256(text)) as canonical_id from documents qualify doc_id <> min(doc_id) over (partition by sha256(text))""")
+def exact_dups_canonical(spark, sf_dir):
+    docs = _Tables(spark, sf_dir).documents.withColumn("sha", F.sha2("text", 256))
+    return similarity.canonical_ids(docs, "sha", "doc_id", F.col("text"))
+
+
+@query("""with m(child_id, canonical_id) as (select doc_id, min(doc_id) over (partition by sha256(text)) from documents qualify doc_id <> min(doc_id) over (partition by sha256(text)))
+select doc_id, source, coalesce(canonical_id, doc_id) as canonical_id from documents left join m on doc_id = child_id""")
+def canonical_applied(spark, sf_dir):
+    docs = _Tables(spark, sf_dir).documents
+    mapping = exact_dups_canonical(spark, sf_dir)
+    return similarity.apply_canonical(docs.select("doc_id", "source"), mapping, "doc_id")
+
+
+@query("""with u as (select vec_id, label, generate_subscripts(embedding, 1) as i, unnest(embedding)::double as x from embeddings),
+c as (select label, i, avg(x) as m from u group by 1, 2)
+select vec_id, label, round(sum(x * m) / (sqrt(sum(x * x)) * sqrt(sum(m * m))), 6) as cosine from u join c using (label, i) group by 1, 2""")
+def centroid_vector_score(spark, sf_dir):
+    e = _Tables(spark, sf_dir).embeddings.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
+    dims = e.select("label", F.posexplode("v").alias("i", "x")).groupBy("label", "i").agg(F.avg("x").alias("m"))
+    centroids = dims.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("c"))
+    return e.join(centroids, "label").select("vec_id", "label", F.round(cosine(F.col("v"), F.col("c")), 6).alias("cosine"))
+
+
+@query("""with n as (select p_brand as b, l_returnflag as k, count(*) as n from lineitem join part on l_partkey = p_partkey group by 1, 2),
+l as (select b, sqrt(sum(n * n)) as len from n group by b)
+select x.b as a, y.b as b, round(sum(x.n * y.n) / (any_value(lx.len) * any_value(ly.len)), 9) as overlap
+from n x join n y using (k) join l lx on lx.b = x.b join l ly on ly.b = y.b where x.b < y.b group by 1, 2""")
+def sparse_overlap(spark, sf_dir):
+    t = _Tables(spark, sf_dir)
+    n = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy("p_brand", "l_returnflag").count()
+    return similarity.sparse_cosine(n, n).where("a < b").select("a", "b", F.round("overlap", 9).alias("overlap"))
+
+
+# --- catalogs, resolution, harvest -------------------------------------------------------------------------------------
+
+
+def _color_concepts(t: _Tables) -> DataFrame:
+    """First words of part names as concepts, in order of the part."""
+    first = t.part.select(F.split("p_name", " ")[0].alias("pref"), "p_partkey")
+    return first.groupBy("pref").agg(F.min("p_partkey").alias("ord")).select(F.col("pref").alias("id"), "pref", F.array(F.concat(F.lit("the "), "pref")).alias("aliases"), "ord")
+
+
+@query("""with c as (select split_part(p_name, ' ', 1) as pref from part group by 1), w as (select p_partkey, unnest(string_split(p_name, ' ')) as word, generate_subscripts(string_split(p_name, ' '), 1) - 1 as pos from part)
+select p_partkey, arg_min(pref, pos) as first_concept, count(distinct pref) as concepts from w join c on pref = word group by 1""")
+def decompose_names(spark, sf_dir):
+    t = _Tables(spark, sf_dir)
+    forms = catalog.concept_forms(_color_concepts(t), same)
+    found = catalog.decompose(t.part.select("p_partkey", F.col("p_name").alias("text")), forms, ["p_partkey"], folding=same, measures=())
+    return found.groupBy("p_partkey").agg(F.min_by("pref", "word_pos").alias("first_concept"), F.count(F.lit(1)).alias("concepts"))
+
+
+@query("""with names as (select n_name as text, 'place' as type, 1 as prio from nation union all select r_name, 'group', 2 from region union all select s_name, 'person', 3 from supplier union all select n_name, 'concept', 0 from nation where n_nationkey % 2 = 0),
+asked as (select row_number() over (order by text, declared) as id, text, declared from (select n_name as text, 'place' as declared from nation union all select n_name, 'person' from nation union all select r_name, 'concept' from region union all select s_name, 'work' from supplier))
+select text, declared, arg_min(n.type, case when n.type = declared and n.type <> 'concept' then -1 when n.type = 'concept' then 0 when n.type = 'person' then 1 when n.type = 'place' then 2 else 3 end) as type
+from asked join names n using (text) group by 1, 2""")
+def seed_priority(spark, sf_dir):
+    t = _Tables(spark, sf_dir)
+
+    def ent(df, name, kind):
+        return df.select(F.lit(kind).alias("type"), F.col(name).alias("id"), F.col(name).alias("pref"), F.array().cast("array<string>").alias("aliases"), F.lit(False).alias("ambiguous"), F.lit(1).alias("ord"))
+
+    entities = catalog.entity_forms(ent(t.nation, "n_name", "place").union(ent(t.region, "r_name", "group")).union(ent(t.supplier, "s_name", "person")), same)
+    some = t.nation.where("n_nationkey % 2 = 0").select(F.col("n_name").alias("folded"), F.col("n_name").alias("pref"), F.lit(1).alias("ord"))
+    asked = t.nation.select(F.col("n_name").alias("text"), F.lit("place").alias("type")).union(t.nation.select("n_name", F.lit("person"))).union(t.region.select("r_name", F.lit("concept"))).union(t.supplier.select("s_name", F.lit("work")))
+    asked = asked.withColumn("declared", F.col("type"))
+    hit = catalog.seed_lookup(asked, catalog.seeds(some, entities), ["text", "declared"], same)
+    return hit.select("text", "declared", "type")
+
+
+@query("""with recursive e(child, parent) as (
+  select 'n' || n_nationkey, 'r' || n_regionkey from nation union select 'c' || c_custkey, 'n' || c_nationkey from customer union select 's' || s_suppkey, 'n' || s_nationkey from supplier
+), c(child, ancestor, depth) as (select child, parent, 1 from e union all select c.child, e.parent, c.depth + 1 from c join e on e.child = c.ancestor)
+select child, ancestor, min(depth) as depth from c group by 1, 2""")
+def hierarchy_closure(spark, sf_dir):
+    t = _Tables(spark, sf_dir)
+    key = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
+    e = t.nation.select(key("n", "n_nationkey"), key("r", "n_regionkey")).union(t.customer.select(key("c", "c_custkey"), key("n", "c_nationkey"))).union(t.supplier.select(key("s", "s_suppkey"), key("n", "s_nationkey")))
+    return catalog.closure(e)
+
+
+@query("""with n as (
+  select p_name as key, p_brand as type, string_split(p_name || case when p_size % 3 = 0 then ' of ' || p_type else '' end, ' ') as tokens, p_partkey, p_size from part
+), d as (select cast(p_partkey as varchar) as key, type, tokens, p_size as df, p_size % 10 = 0 as curated, len(tokens) as n from n),
+hit as (select a.key, arg_min(b.key, lpad(cast(1000 - b.n as varchar), 4, '0') || b.key) as target from d a join d b on a.type = b.type and b.n > a.n and b.tokens[1:a.n] = a.tokens where a.curated or a.df <= 12 group by 1),
+rest as (select d.* from d anti join hit using (key)), same as (select key, min(key) over (partition by type, tokens) as target from rest)
+select key, target from hit union all select key, target from same where key <> target""")
+def prefix_merge(spark, sf_dir):
+    p = _Tables(spark, sf_dir).part
+    name = F.concat("p_name", F.when(F.col("p_size") % 3 == 0, F.concat(F.lit(" of "), "p_type")).otherwise(""))
+    nodes = p.select(F.col("p_partkey").cast("string").alias("key"), F.col("p_brand").alias("type"), F.split(name, " ").alias("tokens"), F.col("p_size").alias("df"), (F.col("p_size") % 10 == 0).alias("curated"))
+    return resolver.prefix_merge(nodes)
+
+
+@query(f"""with w as (select doc_id, {WORDS} as w from documents), one as (select distinct doc_id, unnest(w) as key from w),
+two as (select distinct doc_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as key from w),
+n as (select key, count(*) as df, true as compound, split_part(key, ' ', 1) as parent from two group by key)
+select key, parent as target from n where df < greatest(2, cast(round_even((select count(distinct doc_id) from documents) * 3 / 10000.0, 0) as bigint))""")
+def compound_fold(spark, sf_dir):
+    docs = _Tables(spark, sf_dir).documents.select("doc_id", word_list().alias("w"))
+    grams = citations.sequence_grams(docs, "doc_id", F.col("w"), 2).select(F.col("id"), F.col("gram").alias("key")).distinct()
+    nodes = grams.groupBy("key").agg(F.count(F.lit(1)).alias("df")).withColumn("compound", F.lit(True)).withColumn("parent", F.substring_index("key", " ", 1))
+    return resolver.fold_compounds(nodes, docs.select("doc_id").distinct().count())
+
+
+@query("""with v as (select p_type as term, p_brand as kitab, count(*) as n from part group by 1, 2), t as (select term, sum(n) as total, max(n) as top_n, arg_min(kitab, lpad(cast(100000 - n as varchar), 8, '0') || kitab) as top from v group by term),
+a as (select distinct p_type as term from part where p_size > 40)
+select term, case when a.term is null then 'never_a_chapter' when top_n / total < 0.06 then 'cross_cutting' else 'settled' end as outcome, case when a.term is not null and top_n / total >= 0.06 then top end as parent from t left join a using (term)""")
+def majority_parent(spark, sf_dir):
+    p = _Tables(spark, sf_dir).part
+    votes = p.groupBy(F.col("p_type").alias("term"), F.col("p_brand").alias("kitab")).agg(F.count(F.lit(1)).alias("n"))
+    books = p.select(F.col("p_brand").alias("kitab")).distinct()
+    return harvest.settle_parents(votes, books, p.where("p_size > 40").select(F.col("p_type").alias("term")), majority=0.06, key=same)
+
+
+@query(f"""with w as (select doc_id, source, unnest({WORDS}) as term from documents), known as (select distinct unnest({WORDS}) as term from benchmark),
+g as (select term as folded, count(distinct source) as df from w anti join known using (term) group by term), a as (select term[1:4] as folded_prefix, min(term) as anchor from known where length(term) >= 4 group by 1)
+select folded, df, case when df >= 5 then 'promote' when anchor is not null then 'repair' else 'drop' end as action, case when df < 5 then anchor end as anchor from g left join a on folded_prefix = folded[1:4]""")
+def promote_repair_drop(spark, sf_dir):
+    t = _Tables(spark, sf_dir)
+    known = t.benchmark.select(F.explode(word_list()).alias("folded")).distinct()
+    props = t.documents.select(F.col("doc_id").alias("seq"), F.explode(word_list()).alias("term"), "source")
+    grouped = harvest.group_proposals(props, known, same)
+    stems = known.where(F.length("folded") >= 4).groupBy(F.substring("folded", 1, 4).alias("stem")).agg(F.min("folded").alias("anchor"))
+    anchors = grouped.select("folded", F.substring("folded", 1, 4).alias("stem")).join(stems, "stem").select("folded", "anchor")
+    return harvest.plan_proposals(grouped, anchors, F.lit(5)).select("folded", "df", "action", "anchor")
+
+
+@query("""with f as (select user_id, row_number() over (partition by user_id order by ts, event_id) as cut, count(*) over (partition by user_id) as total,
+  sum((event_type = 'purchase')::int) over (partition by user_id order by ts, event_id rows unbounded preceding) as hits, sum((event_type = 'purchase')::int) over (partition by user_id) as seen from events),
+r as (select *, hits / cut as before, (seen - hits) / (total - cut) as after from f where total > cut)
+select user_id, arg_max(cut, (before - after) * 1e6 - cut * 1e-6) as cut from r where total >= 20 and cut >= 5 and hits >= 2 and total - cut >= 5 and total - cut >= 0.2 * total and before >= 0.25 and after <= 0.2 group by 1""")
+def abandoned_seam(spark, sf_dir):
+    e = _Tables(spark, sf_dir).events
+    return harvest.seam(e, ["user_id"], ["ts", "event_id"], F.col("event_type") == "purchase", 20, 5, 2, 0.25, 0.2, 5, 0.2)
+
+
+_ATTEST = f"""with b as (select item_id, {WORDS} as w from benchmark), c as (select distinct array_to_string(w[1:k], ' ') as candidate from b, (values (1), (2), (3)) as t(k) where len(w) >= k),
+d as (select doc_id, source, {WORDS} as w from documents), g as (
+  select distinct doc_id, source, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) as candidate from d, (values (1), (2), (3)) as t(k) where len(w) >= k),
+att as (select candidate, source as kitab, count(distinct doc_id) as pages from g semi join c using (candidate) group by 1, 2)
+"""
+
+
+def _attested(t: _Tables) -> DataFrame:
+    lists = t.benchmark.select(word_list().alias("w"))
+    cands = lists.select(F.explode(F.transform(F.sequence(F.lit(1), F.least(F.lit(3), F.size("w"))), lambda k: F.array_join(F.slice("w", F.lit(1), k), " "))).alias("candidate")).where("candidate <> ''").distinct()
+    pages_ = t.documents.select(F.col("doc_id").alias("page_id"), F.col("source").alias("kitab"), "text")
+    return harvest.attest(cands, pages_, word_list(), F.col("candidate"), 3)
+
+
+@query(_ATTEST + "select * from att")
+def attest_wordings(spark, sf_dir):
+    return _attested(_Tables(spark, sf_dir))
+
+
+@query(_ATTEST + """, p as (select distinct w[1] as concept, array_to_string(w[1:2], ' ') as alias from b where len(w) >= 2 union select distinct w[1], w[1] from b where len(w) >= 1),
+taken as (select distinct array_to_string(w[1:2], ' ') as folded from b where item_id % 7 = 0), tot as (select candidate as alias, sum(pages) as pages from att group by 1), len as (select candidate, sqrt(sum(pages * pages)) as l from att group by 1),
+ov as (select x.candidate as concept, y.candidate as alias, sum(x.pages * y.pages) / (any_value(a.l) * any_value(z.l)) as overlap from att x join att y using (kitab) join len a on a.candidate = x.candidate join len z on z.candidate = y.candidate group by 1, 2),
+e as (select concept, alias, case when alias = concept then 'same_as_concept' when alias in (select folded from taken) then 'already_a_concept' when coalesce(pages, 0) < 2 then 'not_in_corpus' when coalesce(overlap, 0) < 0.2 then 'different_context' end as early from p left join tot using (alias) left join ov using (concept, alias))
+select concept, alias, coalesce(early, case when row_number() over (partition by alias, early is null order by concept) > 1 then 'contested' else 'kept' end) as outcome from e""")
+def alias_outcomes(spark, sf_dir):
+    t = _Tables(spark, sf_dir)
+    lists = t.benchmark.select("item_id", word_list().alias("w"))
+    two = F.array_join(F.slice("w", 1, 2), " ")
+    p = lists.where("size(w) >= 2").select(F.col("w")[0].alias("concept"), two.alias("alias")).union(lists.where("size(w) >= 1").select(F.col("w")[0], F.col("w")[0])).distinct()
+    taken = lists.where("item_id % 7 = 0").select(two.alias("folded"))
+    return harvest.ground_aliases(p.withColumn("pos", F.lit(0)), taken, _attested(t), 2, 0.2, same).select("concept", "alias", "outcome")
+
+
+@query("""select n_name as label, case when n_nationkey % 3 = 0 then 'alias' when n_nationkey % 3 = 1 then 'new' else 'drop' end as verdict,
+case when n_nationkey % 3 = 0 and r_name is not null then 'alias' when n_nationkey % 3 < 2 then 'new' else 'drop' end as action, case when n_nationkey % 3 = 0 then r_name end as target from nation left join region on n_regionkey = r_regionkey and r_regionkey <> 2""")
+def adjudication_plan(spark, sf_dir):
+    t = _Tables(spark, sf_dir)
+    verdict = F.when(F.col("n_nationkey") % 3 == 0, "alias").when(F.col("n_nationkey") % 3 == 1, "new").otherwise("drop")
+    v = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("label"), verdict.alias("verdict"), F.col("r_name").alias("target"))
+    live = t.region.where("r_regionkey <> 2").select(F.col("r_name").alias("folded"), F.col("r_name").alias("pref"))
+    return harvest.plan_adjudication(v, live, same)
+
+
+@query("""with n as (select l_orderkey as doc, cast(l_linenumber as bigint) * 1000000000 + l_partkey * 1000 + l_suppkey as pos, cast(l_partkey % 50 as varchar) as node, case l_suppkey % 3 when 0 then 'concept' when 1 then 'person' else 'place' end as type,
+  case when l_quantity > 25 then 'primary' else 'secondary' end as role, l_partkey % 2 = 0 as curated, l_quantity, l_extendedprice from lineitem),
+o as (select * from n qualify row_number() over (partition by doc, node, type order by pos, role, curated) = 1), f as (select * from o qualify row_number() over (partition by doc order by pos) <= 6),
+x as (select *, max((type = 'concept')::int) over (partition by doc) as has, max((type <> 'concept' and role = 'primary')::int) over (partition by doc) as mk from f),
+e as (select *, case when has = 1 then type = 'concept' when mk = 1 then role = 'primary' else true end as eligible from x),
+r as (select *, row_number() over (partition by doc, eligible order by case when type = 'concept' and curated then 0 when type = 'concept' then 1 else 2 end, case when role = 'primary' then 0 else 1 end, pos) as place from e)
+select doc, pos, node, type, case when eligible and place <= 2 then 'primary' else 'secondary' end as role from r""")
+def node_policy(spark, sf_dir):
+    li = _Tables(spark, sf_dir).lineitem
+    kind = F.when(F.col("l_suppkey") % 3 == 0, "concept").when(F.col("l_suppkey") % 3 == 1, "person").otherwise("place")
+    n = li.select(F.col("l_orderkey").alias("doc"), (F.col("l_linenumber").cast("long") * 1000000000 + F.col("l_partkey") * 1000 + F.col("l_suppkey")).alias("pos"), (F.col("l_partkey") % 50).cast("string").alias("node"),
+                  kind.alias("type"), F.when(F.col("l_quantity") > 25, "primary").otherwise("secondary").alias("role"), (F.col("l_partkey") % 2 == 0).alias("curated"))
+    n = n.groupBy("doc", "pos", "node", "type").agg(F.min("role").alias("role"), F.min("curated").alias("curated"))
+    return catalog.assign_roles(n)
+
+
+# --- ordered text ------------------------------------------------------------------------------------------------------
+
+
+@query("""select conv_id, turn, last_value(case when role = 'user' then text end ignore nulls) over (partition by conv_id order by turn rows unbounded preceding) as last_user from conversations""")
+def running_section(spark, sf_dir):
+    c = _Tables(spark, sf_dir).conversations
+    return topk.running_last(c, F.when(F.col("role") == "user", F.col("text")), ["conv_id"], ["turn"], "last_user").select("conv_id", "turn", "last_user")
+
+
+@query("""with h as (select conv_id, turn, case when turn % 3 = 0 then 'k' || turn end as book, case when turn % 3 = 0 then '' when turn % 3 = 1 then 'b' || turn end as bab from conversations)
+select conv_id, turn, coalesce(last_value(book ignore nulls) over w, '') as kitab, coalesce(last_value(bab ignore nulls) over w, '') as bab from h window w as (partition by conv_id order by turn rows unbounded preceding)""")
+def inherited_sections(spark, sf_dir):
+    c = _Tables(spark, sf_dir).conversations.select(F.col("conv_id").alias("source_path"), F.col("turn").alias("unit_seq"))
+    m = F.col("unit_seq") % 3
+    none = F.array().cast("array<struct<level:string,title:string>>")
+    heading = lambda level, p: F.array(F.struct(F.lit(level).alias("level"), F.concat(F.lit(p), F.col("unit_seq").cast("string")).alias("title")))
+    heads = F.when(m == 0, heading("book", "k")).when(m == 1, heading("chapter", "b")).otherwise(none)
+    return pages.attach_sections(c, heads).select(F.col("source_path").alias("conv_id"), F.col("unit_seq").alias("turn"), "kitab", "bab")
+
+
+@query("""with r as (select *, sum((role = 'user')::int) over (partition by conv_id order by turn rows unbounded preceding) as record_no from conversations)
+select conv_id, record_no, count(*) as turns, string_agg(text, chr(10) order by turn) as text from r where record_no > 0 group by 1, 2""")
+def accumulate_turns(spark, sf_dir):
+    c = _Tables(spark, sf_dir).conversations
+    r = assembly.accumulate(c, ["conv_id"], ["turn"], F.col("role") == "user")
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"])
+    return r.groupBy("conv_id", "record_no").agg(F.count(F.lit(1)).alias("turns"), F.array_join(texts, "\n").alias("text"))
+
+
+@query("""with recursive d as (select source, doc_id, length(coalesce(text, '')) as n, row_number() over (partition by source order by doc_id) as i from documents),
+p(source, i, doc_id, items, size, pack_no) as (select source, i, doc_id, 1, n, 0 from d where i = 1 union all
+  select d.source, d.i, d.doc_id, case when p.items >= 5 or p.size + d.n > 8000 then 1 else p.items + 1 end, case when p.items >= 5 or p.size + d.n > 8000 then d.n else p.size + d.n end, case when p.items >= 5 or p.size + d.n > 8000 then p.pack_no + 1 else p.pack_no end
+  from p join d on d.source = p.source and d.i = p.i + 1)
+select source, doc_id, pack_no from p""")
+def pack_greedy(spark, sf_dir):
+    d = _Tables(spark, sf_dir).documents
+    return assembly.pack_greedy(d.select("source", "doc_id", "text"), ["source"], ["doc_id"], "text", 5, 8000).select("source", "doc_id", "pack_no")
+
+
+_PAGE_TEXT = r"regexp_replace(regexp_replace(regexp_replace({0}, '<script\b.*?</script\s*>', '', 'gis'), '<style\b.*?</style\s*>', '', 'gis'), '<!--.*?-->|<[^>]*>', chr(10), 'gs')"
+_ENTITIES = "replace(replace(replace(replace(replace(replace({0}, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')"
+
+
+@query(f"""select page_id, array_to_string(list_filter(list_transform(string_split({_ENTITIES.format(_PAGE_TEXT.format('html'))}, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13))), lambda x: x <> ''), chr(10)) as text from pages""")
+def page_text(spark, sf_dir):
+    return _Tables(spark, sf_dir).pages.select("page_id", strip_html(F.col("html")).alias("text"))
+
+
+@query(rf"""select page_id, trim(regexp_replace({_ENTITIES.format(_PAGE_TEXT.format("regexp_extract(html, '<h1[^>]*>(.*?)</h1', 1, 'is')"))}, '\s+', ' ', 'g')) as heading from pages""")
+def page_heading(spark, sf_dir):
+    return _Tables(spark, sf_dir).pages.select("page_id", html_heading(F.col("html")).alias("heading"))
+
+
+@query(f"select doc_id, {FOLD.format('text')} as folded from documents")
+def fold_documents(spark, sf_dir):
+    return _Tables(spark, sf_dir).documents.select("doc_id", fold_latin("text").alias("folded"))
+
+
+@query(r"""select doc_id, trim(regexp_replace(regexp_replace(coalesce(text, ''), '\[[0-9]{1,3}\]', '', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), ' ' || chr(9) || chr(10) || chr(13)) as body from documents""")
+def strip_notes(spark, sf_dir):
+    from corpusloom.runtime import ship
+
+    ship(spark)
+    return _Tables(spark, sf_dir).documents.select("doc_id", pages.strip_notes_udf("text").alias("body"))
+
+
+@query("""with d as (select source, doc_id, trim(text, ' ' || chr(9) || chr(10) || chr(13)) as text, row_number() over (partition by source order by doc_id) - 1 as unit_seq from documents) select source as source_path, cast(unit_seq as integer) as unit_seq, cast(doc_id as varchar) as locator, text from d where text <> ''""")
+def banner_units(spark, sf_dir):
+    d = _Tables(spark, sf_dir).documents
+    part = F.concat(F.lit("---["), F.col("doc_id").cast("string"), F.lit("]---\n"), "text", F.lit("\n"))
+    files = d.groupBy(F.col("source").alias("path")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", part.alias("p")))), lambda x: x["p"]), "").alias("content"))
+    return units_of_texts(files)
+
+
+# --- citations and grounding -------------------------------------------------------------------------------------------
+
+_BEST = """, hits as (select g.doc_id, i.item_id, count(*) as weight from g join i using (gram) group by 1, 2), b as (select *, max(weight) over (partition by doc_id) as best from hits)
+select doc_id, item_id, weight from b where weight = best qualify row_number() over (partition by doc_id order by item_id) <= 3"""
+
+
+def _items(t: _Tables, text: Column = None) -> DataFrame:
+    return t.benchmark.select(F.col("item_id").alias("ref"), F.col("item_id").alias("sura"), F.lit(0).alias("ayah"), "text")
+
+
+@query(f"""with s as (select doc_id, replace({FOLD.format('text')}, ' ', '') as t from documents), g as (select doc_id, unnest(list_transform(range(1, length(t) - 14), lambda i: substr(t, i, 16))) as gram from s where length(t) >= 16),
+bs as (select item_id, replace({FOLD.format('text')}, ' ', '') as t from benchmark), i as (select distinct item_id, unnest(list_transform(range(1, length(t) - 14), lambda i: substr(t, i, 16))) as gram from bs where length(t) >= 16)""" + _BEST)
+def gram_match(spark, sf_dir):
+    t = _Tables(spark, sf_dir)
+    index = citations.gram_index(_items(t), 16, fold_latin)
+    best = citations.best_matches(citations.letter_grams(t.documents, "doc_id", "text", 16, fold_latin), index)
+    return best.select(F.col("id").alias("doc_id"), F.col("ref").alias("item_id"), "weight")
+
+
+@query(f"""with s as (select doc_id, {WORDS} as w from documents), g as (select doc_id, unnest(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) as gram from s where len(w) >= 4),
+bs as (select item_id, {WORDS} as w from benchmark), i as (select distinct item_id, unnest(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) as gram from bs where len(w) >= 4)""" + _BEST)
+def word_gram_match(spark, sf_dir):
+    t = _Tables(spark, sf_dir)
+    lists = _items(t).select("ref", "sura", "ayah", word_list().alias("w"))
+    index = citations.sequence_grams(lists, "ref", F.col("w")).select(F.col("id").alias("ref"), "gram").distinct().join(lists.select("ref", "sura", "ayah"), "ref")
+    grams = citations.sequence_grams(t.documents.select("doc_id", word_list().alias("w")), "doc_id", F.col("w"))
+    return citations.best_matches(grams, index).select(F.col("id").alias("doc_id"), F.col("ref").alias("item_id"), "weight")
+
+
+@query(f"""with m as (select doc_id, d.text as body, array_to_string(w[1:2], ' ') as mention, array_to_string(w[1:5], ' ') as evidence, case when doc_id % 2 = 0 then 'concept' else 'person' end as type, doc_id % 11 = 0 as narrator
+from documents d join (select item_id, {WORDS} as w from benchmark) b on b.item_id = d.doc_id % 40), f as (select *, replace({FOLD.format('body')}, ' ', '') as fb, replace({FOLD.format('mention')}, ' ', '') as fm, replace({FOLD.format('evidence')}, ' ', '') as fe, length({FOLD.format('evidence')}) >= 6 as usable from m)
+select doc_id, case when narrator then 'narrator' when trim(coalesce(body, '')) = '' then null when trim(mention) = '' then 'empty' when usable and not (fe <> '' and contains(fb, fe)) then 'evidence not in text'
+ when not usable and not (fm <> '' and contains(fb, fm)) then 'no evidence and not in text' when type = 'person' and not (fm <> '' and contains(fb, fm)) then 'entity not in text' end as reason from f""")
+def ground_mentions(spark, sf_dir):
+    t = _Tables(spark, sf_dir)
+    b = t.benchmark.select("item_id", word_list().alias("w"))
+    m = t.documents.join(b, F.col("item_id") == F.col("doc_id") % 40).select(
+        "doc_id", F.col("text").alias("body"), F.array_join(F.slice("w", 1, 2), " ").alias("text"), F.array_join(F.slice("w", 1, 5), " ").alias("evidence"),
+        F.when(F.col("doc_id") % 2 == 0, "concept").otherwise("person").alias("type"), F.lit(None).cast("array<string>").alias("quotes"), (F.col("doc_id") % 11 == 0).alias("is_narrator"),
+    )
+    return resolver.ground(m, fold_latin).select("doc_id", "reason")
+
+
+# --- state, keys, export, audit ----------------------------------------------------------------------------------------
+
+
+@query("select o_orderstatus as status, count(*) as n from orders where o_orderkey % 2 = 0 group by 1")
+def status_counts(spark, sf_dir):
+    return state.status_counts(_Tables(spark, sf_dir).orders.withColumnRenamed("o_orderstatus", "status"), keep=F.col("o_orderkey") % 2 == 0)
+
+
+@query("select o_orderkey, sha256(least(cast(o_orderkey as varchar), cast(o_custkey as varchar)) || '|' || greatest(cast(o_orderkey as varchar), cast(o_custkey as varchar))) as pair_id from orders")
+def pair_ids(spark, sf_dir):
+    return _Tables(spark, sf_dir).orders.select("o_orderkey", pair_id(F.col("o_orderkey"), F.col("o_custkey")).alias("pair_id"))
+
+
+@query("select doc_id, sha256(source || chr(10) || cast(doc_id as varchar) || chr(10) || coalesce(text, '')) as chunk_id from documents")
+def chunk_ids(spark, sf_dir):
+    return _Tables(spark, sf_dir).documents.select("doc_id", chunk_id(F.col("source"), F.col("doc_id"), F.col("text")).alias("chunk_id"))
+
+
+@query("""select user_id, event_type, max(value) as value, arg_min(props, event_id) filter (where props is not null and props <> '') as props from events group by 1, 2""")
+def merge_mentions(spark, sf_dir):
+    return topk.merge_upgraded(_Tables(spark, sf_dir).events, ["user_id", "event_type"], "value", "props", "event_id")
+
+
+@query("select user_id, event_id, event_type, value from events qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1")
+def upsert_latest(spark, sf_dir):
+    return state.latest(_Tables(spark, sf_dir).events, ["user_id"], [F.desc("ts"), F.desc("event_id")]).select("user_id", "event_id", "event_type", "value")
+
+
+@query("""select c_custkey, c_name, c_acctbal from customer where c_custkey % 2 = 0 union all select c_custkey, c_name || '+', 0.0 from customer where c_custkey % 2 = 1""")
+def insert_if_absent(spark, sf_dir):
+    c = _Tables(spark, sf_dir).customer.select("c_custkey", "c_name", "c_acctbal")
+    rows = c.select("c_custkey", F.concat("c_name", F.lit("+")).alias("c_name"), F.lit(0.0).alias("c_acctbal"))
+    return state.insert_if_absent(c.where("c_custkey % 2 = 0"), rows, ["c_custkey"])
+
+
+@query("""select c_custkey, case when c_custkey % 3 = 0 then 'new' else c_name end as c_name, case when c_custkey % 3 = 0 then null else c_mktsegment end as c_mktsegment from customer""")
+def merge_update(spark, sf_dir):
+    c = _Tables(spark, sf_dir).customer.select("c_custkey", "c_name", "c_mktsegment")
+    up = c.where("c_custkey % 3 = 0").select("c_custkey", F.lit("new").alias("c_name"), F.lit(None).cast("string").alias("c_mktsegment"))
+    return state.merge(c, up, ["c_custkey"], overwrite=("c_mktsegment",))
+
+
+@query("""with gone as (select o_orderkey from orders where o_orderstatus = 'P') select l_orderkey, l_partkey, count(*) as n from lineitem where l_orderkey not in (select o_orderkey from gone) and l_partkey not in (select o_orderkey from gone) group by 1, 2""")
+def cascade_delete(spark, sf_dir):
+    t = _Tables(spark, sf_dir)
+    tables = {"chunks": t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("book_id")), "edges": t.lineitem.select(F.col("l_orderkey").alias("left_id"), F.col("l_partkey").alias("right_id"))}
+    return state.reset_book(tables, "P")["edges"].groupBy(F.col("left_id").alias("l_orderkey"), F.col("right_id").alias("l_partkey")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""with n as (select l_orderkey as doc, l_linenumber as pos, l_partkey, l_discount from lineitem group by all), i as (
+  select doc, 'short' as code, cast(n_chars as varchar) as detail, 3 as weight from (select doc_id as doc, n_chars from documents) where n_chars < 200
+  union select doc_id, 'junk', 'quality', 5 from labels where quality = 0 union select doc_id, 'toxic', 'toxic', 6 from labels where toxic = 1
+  union select d.doc_id, 'copy', cast(min(d2.doc_id) as varchar), 2 from documents d join documents d2 on d.text = d2.text and d2.doc_id < d.doc_id group by d.doc_id)
+select doc, cast(sum(weight) as bigint) as risk, string_agg(code, ',' order by code, detail) as codes from i group by doc""")
+def audit_risk(spark, sf_dir):
+    t = _Tables(spark, sf_dir)
+    docs, labels = t.documents, t.labels
+    short = docs.where("n_chars < 200").select(*audit.issue(F.col("doc_id"), "short", F.col("n_chars"), 3))
+    junk = labels.where("quality = 0").select(*audit.issue(F.col("doc_id"), "junk", F.lit("quality"), 5))
+    toxic = labels.where("toxic = 1").select(*audit.issue(F.col("doc_id"), "toxic", F.lit("toxic"), 6))
+    copies = exact_dups_canonical(spark, sf_dir).select(*audit.issue(F.col("child_id"), "copy", F.col("canonical_id"), 2))
+    return audit.risk([short, junk, toxic, copies]).select("doc", "risk", F.array_join(F.transform("issues", lambda x: x["code"]), ",").alias("codes"))
+
+
+def _graph(t: _Tables) -> tuple[DataFrame, DataFrame]:
+    chunks = t.orders.select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderstatus").alias("book_id"), F.col("o_orderpriority").alias("locator"), F.lit("p").alias("pipeline"),
+                             F.when(F.col("o_orderkey") % 10 == 1, (F.col("o_orderkey") - 1).cast("string")).alias("canonical_id"), F.when(F.col("o_orderkey") % 7 == 0, F.concat(F.lit("1:"), (F.col("o_orderkey") % 5).cast("string"))).alias("anchor"))
+    li = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    nodes = li.select(F.col("l_orderkey").cast("string").alias("id"), F.col("p_type").alias("key"), F.col("p_type").alias("label"), F.when(F.col("p_size") % 2 == 0, "concept").otherwise("person").alias("type"))
+    verdicts = t.orders.where("o_orderkey % 4 = 0").select(F.col("o_orderkey").cast("string").alias("left_id"), F.col("o_custkey").cast("string").alias("right_id"), F.when(F.col("o_orderkey") % 8 == 0, "SUPPORTS").otherwise("UNRELATED").alias("relation"), F.col("o_totalprice").alias("score"))
+    return export.export_graph(chunks, nodes, verdicts)
+
+
+_TYPED = "select distinct l_orderkey as id, case when p_size % 2 = 0 then 'concept' else 'person' end as type, p_type from lineitem join part on l_partkey = p_partkey"
+
+
+@query(f"""with t as ({_TYPED}) select id, min(label) as label, arg_min(name, label || name) as name from (
+select cast(o_orderkey as varchar) as id, 'Chunk' as label, o_orderpriority as name from orders union select distinct 'book:' || o_orderstatus, 'Book', o_orderstatus from orders union select distinct type || ':' || p_type, case type when 'concept' then 'Concept' else 'Person' end, p_type from t
+union select distinct 'ayah:1:' || (o_orderkey % 5), 'Ayah', '1:' || (o_orderkey % 5) from orders where o_orderkey % 7 = 0) group by id""")
+def export_nodes(spark, sf_dir):
+    return _graph(_Tables(spark, sf_dir))[0]
+
+
+@query(f"""with t as ({_TYPED}) select cast(id as varchar) as src, case type when 'concept' then 'HAS_CONCEPT' else 'MENTIONS' end as kind, type || ':' || p_type as dst, null::double as score from t
+union select cast(o_orderkey as varchar), 'IN_BOOK', 'book:' || o_orderstatus, null from orders union select cast(o_orderkey as varchar), 'COMMENTS_ON', 'ayah:1:' || (o_orderkey % 5), null from orders where o_orderkey % 7 = 0
+union select cast(o_orderkey - 1 as varchar), 'APPEARS_IN', cast(o_orderkey as varchar), null from orders where o_orderkey % 10 = 1
+union select cast(o_orderkey as varchar), 'SUPPORTS', cast(o_custkey as varchar), o_totalprice from orders where o_orderkey % 8 = 0""")
+def export_edges(spark, sf_dir):
+    return _graph(_Tables(spark, sf_dir))[1]
+
+
+@query("""select date_trunc('hour', ts) as start, event_type, count(*) as n, round(sum(value), 4) as total from events group by 1, 2""")
+def windowed_events(spark, sf_dir):
+    w = windowed_counts(_Tables(spark, sf_dir).events)
+    return w.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+@query("""with m as (select l_orderkey as doc, cast(row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) as integer) as pos, cast(l_partkey % 5 as varchar) as text, l_returnflag as type, l_quantity / 48 as salience from lineitem),
+r as (select *, row_number() over (partition by doc, text, type order by pos) > 1 as again, count(*) over (partition by doc) as n from m)
+select doc, pos, case when not (salience between 0 and 1) then 'salience' when again then 'repeated' when pos > 6 then 'too many' when n < 2 then 'too few' end as error from r""")
+def response_validation(spark, sf_dir):
+    from pyspark.sql.window import Window
+
+    li = _Tables(spark, sf_dir).lineitem
+    pos = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"))
+    m = li.select(F.col("l_orderkey").alias("doc"), pos.alias("pos"), (F.col("l_partkey") % 5).cast("string").alias("text"), F.col("l_returnflag").alias("type"), (F.col("l_quantity") / 48).alias("salience"))
+    return models.valid_mentions(m, most=6).select("doc", "pos", "error")
+
+
+@query("""select doc_id, md5(coalesce(text, '')) as digest from documents""")
+def model_stub(spark, sf_dir):
+    d = _Tables(spark, sf_dir).documents.select("doc_id", F.coalesce("text", F.lit("")).alias("prompt"))
+    answered = models.complete(d, models.StubBackend(_digest), "digest string", key="doc_id")
+    return answered.select("doc_id", "answer.digest")
+
+
+def _digest(prompt: str) -> str:
+    import hashlib
+    import json
+
+    return json.dumps({"digest": hashlib.md5(prompt.encode()).hexdigest()})

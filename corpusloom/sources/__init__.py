@@ -1 +1 @@
-"""See the package README for what lives here."""
+"""Readers: banner-split text files, EPUB, HTML, JSON payload trees, catalogs, verse corpora."""
