@@ -9,12 +9,18 @@ from pyspark.sql.window import Window
 from corpusloom.functions.morphology import words_with_roots
 from corpusloom.functions.text import fold_citation
 
+#: Letters of a block that windows are cut from.
+BLOCK = 256
+
 
 def letter_grams(df: DataFrame, id_col: str, text_col: str, n: int = 16, folding=fold_citation) -> DataFrame:
     """(id, pos, gram) for every window of ``n`` letters of the folded text without spaces."""
     t = df.select(F.col(id_col).alias("id"), F.replace(folding(text_col), F.lit(" "), F.lit("")).alias("t")).where(F.length("t") >= n)
-    at = t.select("id", "t", F.explode(F.sequence(F.lit(1), F.length("t") - n + 1)).alias("pos"))
-    return at.select("id", "pos", F.col("t").substr(F.col("pos"), F.lit(n)).alias("gram"))
+    # a substring is found by walking from the start: cut blocks first, so that long texts aren't walked for every window
+    cut = t.select("id", "t", F.explode(F.sequence(F.lit(1), F.length("t") - n + 1, F.lit(BLOCK))).alias("from"))
+    b = cut.select("id", "from", F.col("t").substr(F.col("from"), F.lit(BLOCK + n - 1)).alias("b"))
+    at = b.select("id", "from", "b", F.explode(F.sequence(F.lit(1), F.length("b") - n + 1)).alias("i"))
+    return at.select("id", (F.col("from") + F.col("i") - 1).alias("pos"), F.col("b").substr(F.col("i"), F.lit(n)).alias("gram"))
 
 
 def sequence_grams(df: DataFrame, id_col: str, items: Column, n: int = 4) -> DataFrame:

@@ -32,10 +32,10 @@ def postings(docs: DataFrame, signals: dict[str, Column], doc_col: str = "doc_id
 
     def keys_of(signal: str, c: Column) -> Column:
         c = c if types[signal].dataType.typeName() == "array" else F.array(c)
-        return F.transform(F.coalesce(c.cast("array<string>"), F.array().cast("array<string>")), lambda k: F.struct(F.lit(signal).alias("signal"), k.alias("key")))
+        return F.transform(F.array_distinct(F.coalesce(c.cast("array<string>"), F.array().cast("array<string>"))), lambda k: F.struct(F.lit(signal).alias("signal"), k.alias("key")))
 
     keys = [keys_of(s, c) for s, c in signals.items()]
-    rows = docs.select(F.col(doc_col).alias("doc"), F.col(pos_col).alias("pos"), F.explode(F.array_distinct(F.concat(*keys))).alias("k"))
+    rows = docs.select(F.col(doc_col).alias("doc"), F.col(pos_col).alias("pos"), F.explode(F.concat(*keys)).alias("k"))
     return rows.select("doc", "pos", "k.signal", "k.key").where("key is not null and key <> ''").distinct()
 
 

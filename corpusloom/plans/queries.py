@@ -380,7 +380,7 @@ def inherited_sections(spark, sf_dir):
     return pages.attach_sections(c, heads).select(F.col("source_path").alias("conv_id"), F.col("unit_seq").alias("turn"), "kitab", "bab")
 
 
-@query("""with r as (select *, sum((role = 'user')::int) over (partition by conv_id order by turn rows unbounded preceding) as record_no from conversations)
+@query("""with r as (select *, sum((role = 'user')::int) over (partition by conv_id order by turn rows unbounded preceding)::bigint as record_no from conversations)
 select conv_id, record_no, count(*) as turns, string_agg(text, chr(10) order by turn) as text from r where record_no > 0 group by 1, 2""")
 def accumulate_turns(spark, sf_dir):
     c = _Tables(spark, sf_dir).conversations

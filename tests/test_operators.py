@@ -128,7 +128,7 @@ def test_headings_and_topics():
 
 
 def test_page_parts_and_sections(spark):
-    df = spark.createDataFrame([("f", 0, "pre\n1- one\n2 - two"), ("f", 1, "كتاب العلم\nباب الفقه\n1- go on"), ("f", 2, "x"), ("f", 3, "كتاب الحج\nx"), ("g", 0, "y")], "source_path string, unit_seq int, text string")
+    df = spark.createDataFrame([("f", 0, "pre\n1- one\n2 - two"), ("f", 1, "كتاب العلم\nباب الفقه\n1- go on"), ("f", 2, "x"), ("f", 3, "كتاب الحج\n1- x"), ("g", 0, "y")], "source_path string, unit_seq int, text string")
     parts = df.where("source_path = 'f' and unit_seq = 0").select(pages.page_parts(F.col("text")).alias("p")).first().p
     assert parts.leading == "pre" and [(s.token, s.body) for s in parts.starts] == [("1-", "1- one"), ("2 -", "2 - two")]
     got = pages.attach_sections(df).orderBy("source_path", "unit_seq").select("kitab", "bab").collect()
