@@ -69,20 +69,30 @@ def propose(posts: DataFrame, keys: DataFrame, n_docs: int, options: LinkOptions
 def score(pairs: DataFrame, posts: DataFrame, keys: DataFrame, vectors: DataFrame | None = None, options: LinkOptions = LinkOptions()) -> DataFrame:
     """``pairs`` with score and reasons (map signal -> share). All shared keys count, also those too common to block.
 
-    ``vectors`` (doc, v) adds the cosine of both documents' vectors where it is positive.
+    Each document's weighted keys are one array; a pair meets two arrays and intersects them in place, so that what is shuffled grows with the
+    pairs, not with pairs x keys. ``vectors`` (doc, v) adds the cosine of both documents' vectors where it is positive.
     """
     w = F.coalesce(*[F.when(F.col("signal") == s, F.lit(x)) for s, x in options.weights.items()], F.lit(0.0))
-    weighted = posts.join(keys.select("signal", "key", (F.col("idf") * w).alias("w")), ["signal", "key"]).select("doc", "signal", "key", "w")
-    left = weighted.select(F.col("doc").alias("left"), "signal", "key", "w")
-    right = weighted.select(F.col("doc").alias("right"), "signal", "key")
-    shared = pairs.select("left", "right").join(left, "left").join(right, ["right", "signal", "key"])
-    parts = shared.groupBy("left", "right", "signal").agg(F.sum("w").alias("share"))
+    weighted = posts.join(keys.select("signal", "key", (F.col("idf") * w).alias("w")), ["signal", "key"])
+    item = F.struct(F.concat_ws("\t", "signal", "key").alias("k"), "signal", "w")
+    items = weighted.groupBy("doc").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    left = items.select(F.col("doc").alias("left"), F.col("items").alias("li"))
+    right = items.select(F.col("doc").alias("right"), F.transform("items", lambda x: x["k"]).alias("rk"))
+    met = pairs.join(left, "left").join(right, "right")
+    shared = F.array_intersect(F.transform("li", lambda x: x["k"]), "rk")
+    met = met.withColumn("shared", shared).withColumn("hits", F.filter("li", lambda x: F.array_contains("shared", x["k"])))
+
+    def share(signal: str) -> Column:
+        own = F.filter("hits", lambda x: x["signal"] == signal)
+        return F.struct(F.lit(signal).alias("signal"), F.aggregate(own, F.lit(0.0), lambda t, x: t + x["w"]).alias("share"))
+
+    parts = [share(s) for s in options.weights if s != "vector"]
     if vectors is not None:
-        a, b = vectors.toDF("left", "va"), vectors.toDF("right", "vb")
-        similar = pairs.select("left", "right").join(a, "left").join(b, "right").select("left", "right", F.lit("vector").alias("signal"), cosine(F.col("va"), F.col("vb")).alias("c"))
-        parts = parts.unionByName(similar.where("c > 0").select("left", "right", "signal", (F.col("c") * options.weights["vector"]).alias("share")))
-    scored = parts.groupBy("left", "right").agg(F.sum("share").alias("score"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("signal", "share")))).alias("reasons"))
-    return pairs.join(scored, ["left", "right"])
+        met = met.join(vectors.toDF("left", "va"), "left", "left").join(vectors.toDF("right", "vb"), "right", "left")
+        c = F.coalesce(cosine(F.col("va"), F.col("vb")), F.lit(0.0))
+        parts.append(F.struct(F.lit("vector").alias("signal"), F.greatest(F.lit(0.0), c * options.weights["vector"]).alias("share")))
+    found = met.select("left", "right", "blocked_by", F.filter(F.array(*parts), lambda x: x["share"] > 0).alias("found"))
+    return found.select("left", "right", "blocked_by", F.aggregate("found", F.lit(0.0), lambda t, x: t + x["share"]).alias("score"), F.map_from_entries("found").alias("reasons"))
 
 
 def rank(scored: DataFrame, min_score: float = 0.0, limit: int | None = None, judged: DataFrame | None = None) -> DataFrame:

@@ -131,6 +131,39 @@ def deduplicate(store: TableStore, cut: float = 0.92) -> DataFrame:
     return store.write("chunks", similarity.apply_canonical(chunks, found).select(*chunks.columns))
 
 
+def verify_duplicates(store: TableStore, backend: models.ModelBackend, cut: float = 0.92) -> DataFrame:
+    """As ``deduplicate``, but each other record of a cluster becomes a copy only if the model says so."""
+    chunks = store.read("chunks", CHUNKS)
+    clusters = similarity.duplicate_clusters(store.read("vectors", VECTORS), "id", "vector", cut)
+    found = similarity.canonical_ids(clusters.join(chunks.select("id", "text"), "id"), "cluster", "id", F.col("text"))
+    text = chunks.select("id", F.substring("text", 1, 4000).alias("t"))
+    both = found.join(text.toDF("child_id", "b"), "child_id").join(text.toDF("canonical_id", "a"), "canonical_id")
+    asked = both.select(F.col("child_id").alias("id"), F.concat(F.lit("A:\n"), "a", F.lit("\n\nB:\n"), "b").alias("prompt"))
+    said = models.complete(asked, backend, "duplicate boolean", key="id").where("answer.duplicate").select(F.col("id").alias("child_id"))
+    return store.write("chunks", similarity.apply_canonical(chunks, found.join(said, "child_id")).select(*chunks.columns))
+
+
+def adjudicate(store: TableStore, concepts: DataFrame, backend: models.ModelBackend, limit: int = 400) -> DataFrame:
+    """Ask the model about labels that name no concept, most frequent first, each once ever; returns the plan of all verdicts so far."""
+    chunks = store.read("chunks", CHUNKS)
+    m = _mentions(chunks).join(chunks.select(F.col("id").alias("doc"), "locator"), "doc")
+    lost = resolver.orphans(m.select(F.xxhash64("doc", "pos").alias("mention_seq"), "text", "type", "locator"), concepts)
+    old = store.read("verdicts", "folded string, label string, verdict string, target string, count long")
+    asked = lost.select("folded", "label", "count", F.concat_ws(" ", F.lit("label:"), "label", F.lit("seen:"), F.col("count").cast("string")).alias("prompt"))
+    got = models.complete_cached(asked, old, backend, "verdict string, target string", key="folded", limit=limit, order=[F.desc("count"), "folded"]).where("error is null")
+    new = got.join(lost, "folded").select("folded", "label", "answer.verdict", "answer.target", "count")
+    return harvest.plan_adjudication(store.write("verdicts", old.unionByName(new)), concepts)
+
+
+def propose_aliases(store: TableStore, concepts: DataFrame, backend: models.ModelBackend, limit: int | None = None) -> DataFrame:
+    """Ask the model for wordings of the concepts (pref) that weren't asked about yet; returns (concept, pos, alias) of all answers so far."""
+    old = store.read("aliases", "concept string, aliases array<string>")
+    asked = concepts.where("pref is not null and trim(pref) <> ''").select(F.col("pref").alias("concept"), F.concat(F.lit("concept: "), "pref").alias("prompt")).distinct()
+    got = models.complete_cached(asked, old, backend, "aliases array<string>", key="concept", limit=limit).where("error is null")
+    both = store.write("aliases", old.unionByName(got.select("concept", "answer.aliases")))
+    return both.select("concept", F.posexplode("aliases").alias("pos", "alias")).where("trim(alias) <> ''")
+
+
 def linker_documents(store: TableStore, broader: DataFrame | None = None) -> DataFrame:
     """(doc_id, pos, nodes, ayahs, ravis, bab, kitab): resolved nodes with their parents and, from a closure (child, ancestor), all broader ones."""
     chunks, nodes = store.read("chunks", CHUNKS), store.read("doc_nodes", DOC_NODES)

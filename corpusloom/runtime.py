@@ -103,3 +103,27 @@ def ship(spark: SparkSession) -> None:
             z.write(f, f.relative_to(root.parent))
     spark.sparkContext.addPyFile(f"{folder}/corpusloom_code.zip")
     _SHIPPED.add(app)
+
+
+def frugal(run):
+    """An Arrow function over a partition's batches that hands its worker's free memory back to the system at the end: workers live on between tasks."""
+
+    def inner(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return inner
+
+
+def give_back() -> None:
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

@@ -23,6 +23,10 @@ REGISTRY = {"kafi": {"pipeline": "hadith", "globs": ["kafi*.txt"]}, "tarikh": {"
 
 
 def answer(prompt):
+    if prompt.startswith("label:"):
+        return json.dumps({"verdict": "alias", "target": "العلم"})
+    if prompt.startswith("concept:"):
+        return json.dumps({"aliases": ["المعرفة", " "]})
     if prompt.startswith("A:"):
         return json.dumps({"relation": "SUPPORTS"})
     mentions = [{"text": w, "type": "concept", "salience": 0.9, "evidence": ""} for w in ("العقل", "الصلاة", "العلم", "غائب") if w in prompt or w == "غائب"]
@@ -64,6 +68,14 @@ def test_a_corpus_from_files_to_graph(spark, tmp_path):
     assert [(p.term, p.df, p.action) for p in plan] == [("طلب العلم", 4, "promote")]
     terms = jobs.harvest_book_headings(read_units(spark, str(raw / "kafi1.txt"))).collect()
     assert [(t.topic, t.kitab, t.is_term) for t in terms] == [("طلب العلم", "العلم", True)]
-    jobs.deduplicate(store, 0.999999)
+    plan = jobs.adjudicate(store, forms, models.StubBackend(answer)).collect()
+    assert {(p.label, p.action, p.target) for p in plan} == {("الصلاة", "alias", "العلم"), ("غائب", "alias", "العلم")}
+    assert jobs.adjudicate(store, forms, models.StubBackend(lambda p: 1 / 0)).count() == 2  # nothing is asked twice
+    got = jobs.propose_aliases(store, forms, models.StubBackend(answer))
+    assert {(r.concept, r.alias) for r in got.collect()} == {("العقل", "المعرفة"), ("العلم", "المعرفة")}
+    jobs.verify_duplicates(store, models.StubBackend(lambda p: json.dumps({"duplicate": False})), 0.9)
+    assert store.read("chunks").where("canonical_id <> id").count() == 0
+    jobs.deduplicate(store, 0.9)
+    assert store.read("chunks").where("canonical_id <> id").count() > 0
     jobs.reset(store, "kafi")
     assert store.read("chunks").select("book_id").distinct().count() == 1 and store.read("edges").count() == 0

@@ -430,3 +430,20 @@ def test_model_calls(spark):
     assert [r.id for r in models.complete_cached(prompts, cache, models.StubBackend(answer), "v string", limit=1).collect()] == [1]
     vecs = models.embed(prompts.select("id", F.col("prompt").alias("text")), lambda ts: [[float(len(t))] for t in ts], cache=cache)
     assert {r.id: r.vector for r in vecs.collect()} == {1: [8.0], 2: [4.0], 3: [4.0]}
+
+
+def test_record_views(spark):
+    from corpusloom.operators import payloads as pl
+
+    node = "struct<key:string,label:string,type:string,weight:double,parent:string,broader:array<string>>"
+    rows = [(1, [("concept:a", "a", "concept", 0.9, "concept:p", ["concept:g"]), ("concept:a", "again", "concept", 0.1, None, None), ("person:z", "z", "person", 0.5, None, None), ("", "blank", "concept", 1.0, None, None)], "كتاب العلم", "باب النوادر"),
+            (2, [], "كتاب العلم", "باب الفقه")]
+    df = spark.createDataFrame(rows, f"id int, nodes array<{node}>, kitab string, bab string")
+    got = {r.id: r for r in df.select("id", pl.resolved_nodes(F.col("nodes")).alias("n"), pl.bucket_keys(F.col("nodes"), F.col("kitab"), F.col("bab")).alias("k")).collect()}
+    assert [(n.key, n.label, n.role) for n in got[1].n] == [("concept:a", "a", "primary"), ("person:z", "z", "secondary")]
+    assert got[1].k == ["concept:a", "concept:p", "concept:g"] and got[2].k == ["bab:باب الفقه"]
+    t = spark.createDataFrame([("hadith", "raw", ["x", ""], None), ("hadith", "raw", [], None), ("tafsir", "raw", None, "c"), ("history", "raw", None, None)], "p string, t string, b array<string>, c string")
+    e = pl.embed_text(F.col("p"), F.col("t"), F.col("b"), F.col("c"), F.lit(None), F.array(F.lit("t1"), F.lit("t2")))
+    assert [r.e for r in t.select(e.alias("e")).collect()] == ["x", "raw", "c", "t1\nt2"]
+    n = spark.createDataFrame([("p1", "p1", "whole.", 2, 1), ("p1", "p2", "whole.", 2, 1), ("p1", "p1", "cut ...", 2, 1), ("p1", "p1", "w", 1, 1), ("p1", "p1", "w", 2, 0)], "a string, b string, t string, n int, r int")
+    assert [r.x for r in n.select(pl.needs_enrichment(F.col("a"), F.col("b"), F.col("t"), F.col("n"), F.col("r")).alias("x")).collect()] == [False, True, True, True, True]
