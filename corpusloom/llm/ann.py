@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corpusloom.runtime import materialize, ship
+from corpusloom.runtime import frugal, materialize, ship
 
 def clean_vectors(df: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, int, int]:
     """(vec_id, v array<double>), the length of the vectors and how many they are, without null, empty, zero or non-finite vectors and, of several lengths, the most common alone (ties: the longer)."""
@@ -229,13 +229,13 @@ def search(
 
         return run
 
-    posted = entries.select("entry", "ids", "v").mapInArrow(post(), "list int, entry long, ids array<long>, v array<double>")
+    posted = entries.select("entry", "ids", "v").mapInArrow(frugal(post()), "list int, entry long, ids array<long>, v array<double>")
     posted = materialize(posted, "postings")
     counts = posted.groupBy("list").count()
     held = np.zeros(len(index.centroids), np.int64)
     for r in counts.collect():  # a number a list, most_lists at most
         held[r["list"]] = r["count"]
-    opened = materialize(questions.select("q", "v").mapInArrow(post(held), "list int, q long, v array<double>"), "opened")
+    opened = materialize(questions.select("q", "v").mapInArrow(frugal(post(held)), "list int, q long, v array<double>"), "opened")
     sizes = counts.select("list", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
     crowds = opened.groupBy("list").count().select("list", F.ceil(F.col("count") / query_block).cast("int").alias("crowds"))
     deal = sizes.join(crowds, "list")
@@ -287,7 +287,7 @@ def search(
         if held:
             yield from answer(pa.Table.from_batches(held))
 
-    hits = met.mapInArrow(nearest, "q long, entry long, ids array<long>, score double")
+    hits = met.mapInArrow(frugal(nearest), "q long, entry long, ids array<long>, score double")
     by_score = Window.partitionBy("q").orderBy("score", "entry")
     best = hits.dropDuplicates(["q", "entry"]).withColumn("n", F.row_number().over(by_score)).where(F.col("n") <= top + 1)
     named = questions.select("q", "v").join(asked, "v").select("q", F.col("vec_id").alias("query_id"))

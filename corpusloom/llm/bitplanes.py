@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusloom.llm.tokens import encoder
-from corpusloom.runtime import new_path, ship, text_bytes
+from corpusloom.runtime import frugal, new_path, ship, text_bytes
 
 MAGIC = b"CLBP0001"
 BLOCK = 1 << 16  # ids in a block; its bit planes are 8 KiB each
@@ -202,7 +202,7 @@ def write_token_files(
             total = _put(path, name, encode_file(one_file()))
             yield pa.RecordBatch.from_pydict({"file": [name], "documents": [wrote[0]], "bytes": [total]})
 
-    return ordered.mapInArrow(write, "file string, documents long, bytes long")
+    return ordered.mapInArrow(frugal(write), "file string, documents long, bytes long")
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -222,7 +222,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 cols = [list(c) for c in zip(*out)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()))], names=["path", "doc_id", "inner", "n_tokens", "ids_crc32"])
 
-    return files.mapInArrow(read, "path string, doc_id long, inner long, n_tokens long, ids_crc32 long")
+    return files.mapInArrow(frugal(read), "path string, doc_id long, inner long, n_tokens long, ids_crc32 long")
 
 
 def with_starts(docs: DataFrame) -> DataFrame:

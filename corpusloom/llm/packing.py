@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.tokens import encoder
-from corpusloom.runtime import ship, text_bytes, without
+from corpusloom.runtime import frugal, ship, text_bytes, without
 
 #: Kinds of a place where a window may end: end of a document, end of a sentence, any token.
 DOCUMENT, SENTENCE, INSIDE = 0, 1, 2
@@ -177,5 +177,5 @@ def pack_documents(
                     names=["row", *names],
                 )
 
-    packed = ordered.mapInArrow(pack, schema)
+    packed = ordered.mapInArrow(frugal(pack), schema)
     return packed.select("row.*", *names)

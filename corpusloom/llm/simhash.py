@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.text import WORD_BYTES
 from corpusloom.operators.graph import connected_components
-from corpusloom.runtime import materialize, ship
+from corpusloom.runtime import frugal, materialize, ship
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: Odd constants that give further 64-bit hashes of a shingle's first.
@@ -70,7 +70,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     ship(df.sparkSession)
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp binary")
+    return rows.mapInArrow(frugal(run), f"id {rows.schema['id'].dataType.simpleString()}, fp binary")
 
 
 def exact_keys(bits: int, radius: int, n: int, most: int = 64) -> list[list[int]]:
@@ -201,7 +201,7 @@ def near_links(distinct: DataFrame, bits: int, radius: int, keys: list[list[int]
                 key = flat[:, positions].astype(np.int64) @ (1 << np.arange(len(positions), dtype=np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), t, np.int32)), pa.array(key), fps], names=["t", "key", "fp"])
 
-    dealt = distinct.select("fp").mapInArrow(deal, "t int, key long, fp binary")
+    dealt = distinct.select("fp").mapInArrow(frugal(deal), "t int, key long, fp binary")
     sizes = dealt.groupBy("t", "key").count().where("count > 1")
     shards = dealt.join(sizes, ["t", "key"])
     blocks = F.ceil(F.col("count") / block).cast("int")
@@ -262,7 +262,7 @@ def near_links(distinct: DataFrame, bits: int, radius: int, keys: list[list[int]
         if held:
             yield from solve(pa.Table.from_batches(held))
 
-    return together.mapInArrow(link, "a binary, b binary")
+    return together.mapInArrow(frugal(link), "a binary, b binary")
 
 
 def near_groups(
