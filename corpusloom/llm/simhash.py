@@ -294,7 +294,7 @@ def near_groups(
     found = connected_components(near_links(distinct, bits, radius, keys))
     rooted = distinct.join(found, distinct["fp"] == found["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
     rooted = materialize(rooted, "simhash-roots")
-    named = rooted.groupBy("root").agg(F.min("least").alias("component"))
+    named = materialize(rooted.groupBy("root").agg(F.min("least").alias("component")), "simhash-names")  # a shuffle of its own, so that a large component can be split
     of = rooted.join(named, "root").select("fp", "component")
     return fps.join(of, "fp").select(F.col("id").alias(id_col), "fp", "component")
 

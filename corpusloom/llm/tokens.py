@@ -18,7 +18,7 @@ _STUCK = rf"\A[,.]|[^{_LETTERS}][,.]|[,.][^\n {_LETTERS}]"
 #: Where letters or digits end and ASCII signs begin, pieces do too.
 _SIGNS = rf"([{_LETTERS}])([!-/:-@\[-`{{-~])"
 #: Bytes of text that are cut into parts at a time.
-_AT_ONCE = 2 << 20
+_AT_ONCE = 4 << 20
 
 
 class Encoder:
@@ -30,7 +30,7 @@ class Encoder:
     that parts in use stay known and memory is bounded. All other texts go to the library whole. Strings of special tokens are ordinary text.
     """
 
-    def __init__(self, path: str, most_parts: int = 150_000):
+    def __init__(self, path: str, most_parts: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
         from tokenizers import Tokenizer
 
@@ -122,7 +122,6 @@ class Encoder:
         while a < len(texts):
             b = max(a + 1, int(np.searchsorted(size, (size[a - 1] if a else 0) + at_once)))
             yield from self.encode_texts(texts.slice(a, b - a))
-            pa.default_memory_pool().release_unused()
             a = b
 
     def encode(self, text: str | None) -> np.ndarray:
