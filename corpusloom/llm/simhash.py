@@ -279,14 +279,14 @@ def near_groups(
 
     Fingerprints of at most ``radius`` differing bits are linked; a component is named by the smallest id in it. Without
     ``radius`` it is that at which ``bits`` estimate a Jaccard ``similarity`` of the shingle sets (J gives a cosine of 2J / (1 + J)),
-    and a tenth more, as the estimate scatters. ``recall=None`` makes the search exact (pigeonhole keys), which pays for small
+    and a fifth more, as the estimate scatters. ``recall=None`` makes the search exact (pigeonhole keys), which pays for small
     radii; else pairs at the very radius meet with that probability and nearer ones more surely.
 
     Equal fingerprints are one node, however many rows share it. Null texts have the zero fingerprint; a component of null ids alone is named null;
     repeated rows are separate rows. An empty table gives no rows.
     """
     if radius is None:
-        radius = int(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi * 1.1)
+        radius = int(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi * 1.2)
     fps = materialize(fingerprints(df, id_col, text_col, words, bits), "simhash")
     distinct = materialize(fps.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
     n = distinct.count()
