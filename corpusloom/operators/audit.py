@@ -49,7 +49,7 @@ def repeated_roots(bodies: DataFrame, mentions: DataFrame, stop_roots: DataFrame
     from corpusloom.operators.topk import top_per
 
     words = words_with_roots(bodies, "doc", "body").where("length(word) >= 3 and length(root) >= 3")
-    counts = words.join(F.broadcast(stop_roots.select("root")), "root", "left_anti").groupBy("id", "root").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first")).where(F.col("n") >= at_least)
+    counts = words.join(stop_roots.select("root").distinct(), "root", "left_anti").groupBy("id", "root").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first")).where(F.col("n") >= at_least)
     covered = words_with_roots(mentions.groupBy("doc").agg(F.concat_ws(" ", F.collect_list("text")).alias("t")), "doc", "t").select("id", "root").distinct()
     left = top_per(counts.join(covered, ["id", "root"], "left_anti"), ["id"], [F.desc("n"), "first"], most)
     return left.select(*issue(F.col("id"), "repeated_root_uncovered", F.concat_ws(" x", "root", "n")))

@@ -80,7 +80,7 @@ def note_refs(notes: DataFrame, suras: DataFrame, body_col: str = "body") -> Dat
     name = fold_citation(F.regexp_replace(F.regexp_extract(body_col, NOTE_REF, 1), r"^(?:سورة|سوره|سورهٔ)\s+", ""))
     n = notes.withColumn("folded", name).withColumn("_ayah", F.expr("try_cast(regexp_extract(" + body_col + ", r'" + NOTE_REF.replace("'", "\\'") + "', 2) as int)"))
     ok = F.col("_ayah").between(F.lit(1), F.col("s.verses"))
-    return n.join(F.broadcast(names), "folded", "left").withColumn("ref", F.when(ok, F.concat_ws(":", "s.number", "_ayah"))).drop("folded", "_ayah", "s")
+    return n.join(names, "folded", "left").withColumn("ref", F.when(ok, F.concat_ws(":", "s.number", "_ayah"))).drop("folded", "_ayah", "s")
 
 
 def page_refs(lines: DataFrame, notes: DataFrame, matches: DataFrame) -> DataFrame:
