@@ -30,7 +30,7 @@ class Encoder:
     that parts in use stay known and memory is bounded. All other texts go to the library whole. Strings of special tokens are ordinary text.
     """
 
-    def __init__(self, path: str, most_parts: int = 300_000):
+    def __init__(self, path: str, most_parts: int = 240_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
         from tokenizers import Tokenizer
 
