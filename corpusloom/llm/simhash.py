@@ -40,13 +40,28 @@ def _shingle_hashes(text: bytes, words: int) -> Iterator[np.ndarray]:
         yield np.fromiter([digest(joined[s:e], 42) for s, e in zip(begin, end[words - 1 :])], np.uint64, len(part) - words + 1)
 
 
+def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
+    """The distinct hashes of a text's shingles, ascending."""
+    blocks = [np.unique(h) for h in _shingle_hashes((text or "").encode("utf-8", "surrogatepass"), words)]
+    return blocks[0] if len(blocks) == 1 else np.unique(np.concatenate(blocks)) if blocks else np.empty(0, np.uint64)
+
+
 def simhash(text: str | None, words: int = 4, bits: int = 64) -> bytes:
     """Fingerprint of a text: bit k is 1 if it is set in over half of its shingles' hashes (repeats count).
 
     Big-endian bytes. The first 64 bits come from XXH64 with seed 42, further ones from mixes of it. No words: zero.
     """
+    return _sign(_shingle_hashes((text or "").encode("utf-8", "surrogatepass"), words), bits)
+
+
+def set_simhash(shingles: np.ndarray, bits: int = 256) -> bytes:
+    """Fingerprint of a set of shingles, each counted once: it estimates the sets' similarity, whatever repeats in a text."""
+    return _sign((shingles[a : a + _AT_ONCE] for a in range(0, len(shingles), _AT_ONCE)), bits)
+
+
+def _sign(hashes: Iterator[np.ndarray], bits: int) -> bytes:
     ones, total = np.zeros(bits, np.int64), 0
-    for h in _shingle_hashes((text or "").encode("utf-8", "surrogatepass"), words):
+    for h in hashes:
         total += len(h)
         for k in range(bits // 64):
             x = h
@@ -58,14 +73,14 @@ def simhash(text: str | None, words: int = 4, bits: int = 64) -> bytes:
     return np.packbits(2 * ones > total).tobytes() if total else bytes(bits // 8)
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, bits: int = 64) -> DataFrame:
-    """(id, fp binary) of every row; a null text has no words."""
+def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, bits: int = 64, repeats: bool = True) -> DataFrame:
+    """(id, fp binary) of every row; a null text has no words. Without ``repeats`` each distinct shingle counts once."""
 
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
-            fps = [simhash(t.as_py(), words, bits) for t in b.column(1)]
+            fps = [simhash(t.as_py(), words, bits) if repeats else set_simhash(shingle_set(t.as_py(), words), bits) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.binary())], names=["id", "fp"])
 
     ship(df.sparkSession)
@@ -274,20 +289,22 @@ def near_groups(
     radius: int | None = None,
     similarity: float = 0.8,
     recall: float | None = 0.99,
+    repeats: bool = True,
 ) -> DataFrame:
     """Near-copies by SimHash: a row a row of ``df``: (id, fp, component).
 
     Fingerprints of at most ``radius`` differing bits are linked; a component is named by the smallest id in it. Without
     ``radius`` it is that at which ``bits`` estimate a Jaccard ``similarity`` of the shingle sets (J gives a cosine of 2J / (1 + J)),
     and a fifth more, as the estimate scatters. ``recall=None`` makes the search exact (pigeonhole keys), which pays for small
-    radii; else pairs at the very radius meet with that probability and nearer ones more surely.
+    radii; else pairs at the very radius meet with that probability and nearer ones more surely. Without ``repeats`` a fingerprint
+    counts each distinct shingle once.
 
     Equal fingerprints are one node, however many rows share it. Null texts have the zero fingerprint; a component of null ids alone is named null;
     repeated rows are separate rows. An empty table gives no rows.
     """
     if radius is None:
         radius = int(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi * 1.2)
-    fps = materialize(fingerprints(df, id_col, text_col, words, bits), "simhash")
+    fps = materialize(fingerprints(df, id_col, text_col, words, bits, repeats), "simhash")
     distinct = materialize(fps.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
     n = distinct.count()
     keys = exact_keys(bits, radius, n) if recall is None else sampled_keys(bits, radius, n, recall)
@@ -301,6 +318,6 @@ def near_groups(
 
 def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kwargs) -> DataFrame:
     """The rows of which one stays per component, that of the smallest id, with all their columns. Rows of null id all stay."""
-    groups = near_groups(df, id_col, text_col, **kwargs)
+    groups = near_groups(df, id_col, text_col, repeats=False, **kwargs)
     gone = groups.where(F.col(id_col) != F.col("component")).select(F.col(id_col).alias("gone_id")).distinct()
     return df.join(gone, F.col(id_col) == F.col("gone_id"), "left_anti")

@@ -174,3 +174,17 @@ def test_near_copies_at_five_words(spark):
     left = {r.doc_id for r in simhash.drop_near_copies(df).collect()}
     assert {2 * i for i in range(60)} <= left
     assert len(left & set(near)) <= 1
+
+
+def test_repeated_passages_count_once(spark):
+    """A shared passage repeated many times doesn't make near copies of other bodies, nor repeats other texts of a copy."""
+    rng = random.Random(5)
+    make = lambda n: " ".join(rng.choice("abcdefghijkl") + str(rng.randrange(5000)) for _ in range(n))
+    docs, passage = [], make(24)
+    for i in range(0, 20, 2):
+        docs += [(i, make(100) + f" {passage}" * 30), (i + 1, make(100) + f" {passage}" * 30)]
+    for i in range(20, 40, 2):
+        body, own = make(100), make(24)
+        docs += [(i, f"{body} {own} {own}"), (i + 1, f"{body}" + f" {own}" * 30)]
+    left = {r.doc_id for r in simhash.drop_near_copies(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert left == set(range(20)) | set(range(20, 40, 2))
