@@ -73,14 +73,14 @@ def _sign(hashes: Iterator[np.ndarray], bits: int) -> bytes:
     return np.packbits(2 * ones > total).tobytes() if total else bytes(bits // 8)
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, bits: int = 64, repeats: bool = True) -> DataFrame:
-    """(id, fp binary) of every row; a null text has no words. Without ``repeats`` each distinct shingle counts once."""
+def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, bits: int = 64) -> DataFrame:
+    """(id, fp binary) of every row; a null text has no words."""
 
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
-            fps = [simhash(t.as_py(), words, bits) if repeats else set_simhash(shingle_set(t.as_py(), words), bits) for t in b.column(1)]
+            fps = [simhash(t.as_py(), words, bits) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.binary())], names=["id", "fp"])
 
     ship(df.sparkSession)
@@ -284,40 +284,166 @@ def near_groups(
     df: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    words: int = 5,
-    bits: int = 256,
-    radius: int | None = None,
-    similarity: float = 0.8,
-    recall: float | None = 0.99,
-    repeats: bool = True,
+    words: int = 4,
+    bits: int = 64,
+    radius: int = 4,
+    recall: float | None = None,
 ) -> DataFrame:
-    """Near-copies by SimHash: a row a row of ``df``: (id, fp, component).
+    """Near-copies by SimHash alone: a row a row of ``df``: (id, fp, component).
 
-    Fingerprints of at most ``radius`` differing bits are linked; a component is named by the smallest id in it. Without
-    ``radius`` it is that at which ``bits`` estimate a Jaccard ``similarity`` of the shingle sets (J gives a cosine of 2J / (1 + J)),
-    and a fifth more, as the estimate scatters. ``recall=None`` makes the search exact (pigeonhole keys), which pays for small
-    radii; else pairs at the very radius meet with that probability and nearer ones more surely. Without ``repeats`` a fingerprint
-    counts each distinct shingle once.
+    Fingerprints of at most ``radius`` differing bits are linked; a component is named by the smallest id in it. ``recall=None`` makes
+    the search exact (pigeonhole keys), which pays for small radii; else pairs at the very radius meet with that probability and nearer
+    ones more surely.
 
     Equal fingerprints are one node, however many rows share it. Null texts have the zero fingerprint; a component of null ids alone is named null;
     repeated rows are separate rows. An empty table gives no rows.
     """
-    if radius is None:
-        radius = int(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi * 1.2)
-    fps = materialize(fingerprints(df, id_col, text_col, words, bits, repeats), "simhash")
+    fps = materialize(fingerprints(df, id_col, text_col, words, bits), "simhash")
     distinct = materialize(fps.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
     n = distinct.count()
     keys = exact_keys(bits, radius, n) if recall is None else sampled_keys(bits, radius, n, recall)
     found = connected_components(near_links(distinct, bits, radius, keys))
-    rooted = distinct.join(found, distinct["fp"] == found["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
+    of = _named(distinct, found, "fp")
+    return fps.join(of, "fp").select(F.col("id").alias(id_col), "fp", "component")
+
+
+def _named(nodes: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """(key, component) of all nodes (key, least): the smallest id of those that ``found`` puts together, or a node's own."""
+    rooted = nodes.join(found, nodes[key] == found["node"], "left").select(nodes[key], "least", F.coalesce("component", nodes[key]).alias("root"))
     rooted = materialize(rooted, "simhash-roots")
     named = materialize(rooted.groupBy("root").agg(F.min("least").alias("component")), "simhash-names")  # a shuffle of its own, so that a large component can be split
-    of = rooted.join(named, "root").select("fp", "component")
-    return fps.join(of, "fp").select(F.col("id").alias(id_col), "fp", "component")
+    return rooted.join(named, "root").select(key, "component")
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Of two ascending arrays of distinct hashes; two empty ones are alike."""
+    if len(a) > len(b):
+        a, b = b, a
+    if not len(a):
+        return float(not len(b))
+    both = int(np.count_nonzero(b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a))
+    return both / (len(a) + len(b) - both)
+
+
+def alike(fps: np.ndarray, sets: list[np.ndarray], items: np.ndarray, queries: np.ndarray, radius: int, similarity: float, at_once: int = 256) -> np.ndarray:
+    """For each set the first of those it is connected with by query-item pairs of exact Jaccard ``similarity`` and more.
+
+    Pairs within ``radius`` are compared, nearest first; those connected already need no comparison.
+    """
+    size = np.array([len(s) for s in sets])
+    parent = list(range(len(sets)))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a in range(0, len(queries), at_once):
+        q = queries[a : a + at_once]
+        d = np.bitwise_count(fps[q][:, None] ^ fps[items][None]).sum(2, dtype=np.int32)
+        least, most = np.minimum(size[q][:, None], size[items]), np.maximum(size[q][:, None], size[items])
+        x, y = np.nonzero((d <= radius) & (least / np.maximum(most, 1) >= similarity * (most > 0)) & (q[:, None] != items))
+        order = np.argsort(d[x, y], kind="stable")
+        for i, j in zip(q[x[order]].tolist(), items[y[order]].tolist()):
+            i0, j0 = root(i), root(j)
+            if i0 != j0 and jaccard(sets[i], sets[j]) >= similarity:
+                parent[max(i0, j0)] = min(i0, j0)
+    return np.array([root(x) for x in range(len(sets))], np.int64)
+
+
+def similar_links(sets: DataFrame, similarity: float, radius: int, block: int = 1024, block_bytes: int = 32 << 20) -> DataFrame:
+    """Links (a, b) between nodes such that those of exact Jaccard ``similarity`` within ``radius`` in a candidate group are connected.
+
+    ``sets`` has root, count and bytes (of the root's group), node, fp and shingles. Groups beyond a block are dealt into blocks as
+    in ``near_links``; a task answers with a spanning forest.
+    """
+    blocks = F.greatest(F.ceil(F.col("count") / block), F.ceil(F.col("bytes") / block_bytes), F.lit(1)).cast("int")
+    mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    dealt = sets.select("root", "node", "fp", "shingles", mine.alias("mine"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    dealt = dealt.select("root", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") <= F.col("other")).alias("item"), (F.col("mine") >= F.col("other")).alias("query"), "node", "fp", "shingles")
+    group = ["root", "i", "j"]
+    together = dealt.repartition(*group).sortWithinPartitions(*group, "node")
+
+    def link(batches):
+        import pyarrow as pa
+
+        rows = (r for b in batches for r in zip(*(b.column(c).to_pylist() for c in (*group, "item", "query", "node", "fp", "shingles"))))
+        for _, members in itertools.groupby(rows, key=lambda r: r[:3]):
+            item, query, node, fp, shingles = zip(*(r[3:] for r in members))
+            fps = np.frombuffer(b"".join(fp), ">u8").astype(np.uint64).reshape(len(fp), -1)
+            label = alike(fps, [np.frombuffer(x, "<u8") for x in shingles], np.flatnonzero(item), np.flatnonzero(query), radius, similarity)
+            linked = np.flatnonzero(label != np.arange(len(label))).tolist()
+            if linked:
+                yield pa.RecordBatch.from_arrays([pa.array([node[x] for x in linked], pa.binary()), pa.array([node[label[x]] for x in linked], pa.binary())], names=["a", "b"])
+
+    return together.mapInArrow(frugal(link), "a binary, b binary")
+
+
+def similar_groups(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = 5,
+    similarity: float = 0.8,
+    bits: int = 256,
+    radius: int | None = None,
+    recall: float = 0.99,
+) -> DataFrame:
+    """Near-copies by the exact Jaccard similarity of their shingle sets: a row a row of ``df``: (id, fp, component).
+
+    SimHash over the sets finds the candidates: components of fingerprints of at most ``radius`` differing bits (without it that at which ``bits`` estimate
+    ``similarity``, J giving a cosine of 2J / (1 + J), and a fifth more, as the estimate scatters); pairs at the very radius meet with
+    probability ``recall``. In these, sets of exact Jaccard ``similarity`` and more are linked. A component of such links is named by its smallest id.
+
+    Shingles are compared by their 64-bit hashes. Equal sets are one node, however many rows share it; texts without words are alike. A component of null ids alone is named
+    null; repeated rows are separate rows. An empty table gives no rows.
+    """
+    if radius is None:
+        radius = int(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi * 1.2)
+    ship(df.sparkSession)
+    texts = df.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"))
+
+    def sign(batches):
+        import pyarrow as pa
+        import xxhash
+
+        for b in batches:
+            node, fp, size = [], [], []
+            for t in b.column(2):
+                s = shingle_set(t.as_py(), words)
+                node.append(xxhash.xxh3_128_digest(s.tobytes()))
+                fp.append(set_simhash(s, bits))
+                size.append(len(s))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node, pa.binary()), pa.array(fp, pa.binary()), pa.array(size, pa.int64())], names=["id", "hash", "node", "fp", "size"])
+
+    def collect(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            for k in range(0, b.num_rows, 256):
+                part = b.slice(k, 256)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingle_set(t.as_py(), words).astype("<u8").tobytes() for t in part.column(1)], pa.binary())], names=["node", "shingles"])
+
+    rows = materialize(texts.mapInArrow(frugal(sign), f"id {texts.schema['id'].dataType.simpleString()}, hash long, node binary, fp binary, size long"), "simhash")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("hash").alias("hash")))
+    nodes = materialize(rows.groupBy("node", "fp", "size").agg(first.alias("first")).select("node", "fp", "size", F.col("first.id").alias("least"), F.col("first.hash").alias("hash")), "simhash-nodes")
+    distinct = materialize(nodes.select("fp").distinct(), "simhash-distinct")
+    keys = sampled_keys(bits, radius, distinct.count(), recall)
+    found = connected_components(near_links(distinct, bits, radius, keys)).toDF("at", "component")
+    rooted = materialize(nodes.join(found, nodes["fp"] == found["at"], "left").select("node", "fp", "size", "least", "hash", F.coalesce("component", "fp").alias("root")), "simhash-roots")
+    several = materialize(rooted.groupBy("root").agg(F.count(F.lit(1)).alias("count"), (F.sum("size") * 8).alias("bytes")).where("count > 1"), "candidates")
+    members = materialize(rooted.join(several, "root"), "candidates")
+    wanted = members.select(F.col("node"), F.col("least"), F.col("hash").alias("thash"))
+    met = texts.join(wanted, texts["id"].eqNullSafe(wanted["least"]) & (texts["hash"] == wanted["thash"])).select("node", "text")
+    sets = materialize(met.mapInArrow(frugal(collect), "node binary, shingles binary"), "shingles").dropDuplicates(["node"])
+    links = similar_links(members.select("root", "count", "bytes", "node", "fp").join(sets, "node"), similarity, radius)
+    of = _named(nodes.select("node", "least"), connected_components(links), "node")
+    return rows.join(of, "node").select(F.col("id").alias(id_col), "fp", "component")
 
 
 def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kwargs) -> DataFrame:
     """The rows of which one stays per component, that of the smallest id, with all their columns. Rows of null id all stay."""
-    groups = near_groups(df, id_col, text_col, repeats=False, **kwargs)
+    groups = similar_groups(df, id_col, text_col, **kwargs)
     gone = groups.where(F.col(id_col) != F.col("component")).select(F.col(id_col).alias("gone_id")).distinct()
     return df.join(gone, F.col(id_col) == F.col("gone_id"), "left_anti")

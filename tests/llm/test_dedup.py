@@ -188,3 +188,67 @@ def test_repeated_passages_count_once(spark):
         docs += [(i, f"{body} {own} {own}"), (i + 1, f"{body}" + f" {own}" * 30)]
     left = {r.doc_id for r in simhash.drop_near_copies(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert left == set(range(20)) | set(range(20, 40, 2))
+
+
+def brute_similar(docs, similarity):
+    """Components of five-word shingle sets by all pairs: (id, smallest id)."""
+
+    def shingles(t):
+        w = words(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        return {" ".join(w[i : i + 5]) for i in range(len(w) - 4)} or ({" ".join(w)} if w else set())
+
+    sets, label = [shingles(t) for _, t in docs], list(range(len(docs)))
+    for i, j in itertools.combinations(range(len(docs)), 2):
+        a, b = sets[i], sets[j]
+        if (len(a & b) / len(a | b) if a or b else 1) >= similarity and label[i] != label[j]:
+            old, new = label[j], label[i]
+            label = [new if x == old else x for x in label]
+    ids = defaultdict(list)
+    for x, (d, _) in zip(label, docs):
+        ids[x].append(d)
+    return [(d, min((x for x in ids[c] if x is not None), default=None)) for c, (d, _) in zip(label, docs)]
+
+
+def near_pairs(seed, n, sizes, similarities):
+    """Pairs of texts around the given similarities: the second has other words at its end."""
+    rng = random.Random(seed)
+    docs = []
+    for i in range(n):
+        size, s = rng.choice(sizes), rng.choice(similarities)
+        w = [f"w{rng.randrange(10**6)}" for _ in range(size + 4)]
+        changed = max(1, int(np.ceil(size * (1 - s) / (1 + s))))
+        docs += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[:-changed] + [f"x{rng.randrange(10**6)}" for _ in range(changed)]))]
+    return docs
+
+
+def test_below_the_limit_all_stay(spark):
+    """Pairs of similarity 0.6 to 0.78 are candidates by their fingerprints; none may go."""
+    docs = near_pairs(3, 60, [12, 30, 100, 300], [0.6, 0.7, 0.75, 0.78])
+    want = sorted(brute_similar(docs, 0.8))
+    assert all(d == c for d, c in want)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted((r.doc_id, r.component) for r in simhash.similar_groups(df).collect()) == want
+
+
+def test_similar_odd_rows(odd):
+    got = sorted(((r[0], r[2]) for r in simhash.similar_groups(odd("component")).collect()), key=str)
+    assert got == sorted(brute_similar([r[:2] for r in ROWS], 0.8), key=str)
+    assert simhash.similar_groups(odd(empty=True)).count() == 0
+
+
+@pytest.mark.parametrize("block", [8, 1024])
+def test_similar_links_in_blocks(spark, block):
+    """One candidate group of chains of copies, in one block and in many, against all pairs."""
+    rng = random.Random(block)
+    docs = []
+    for c in range(4):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+        for k in range(12):
+            docs.append((12 * c + k, " ".join(w)))
+            w[10 * k % 120 : 10 * k % 120 + 6] = [f"w{rng.randrange(10**6)}" for _ in range(6)]
+    sets = [simhash.shingle_set(t) for _, t in docs]
+    rows = [(b"r", len(docs), 8 * sum(map(len, sets)), d.to_bytes(4, "big"), simhash.set_simhash(s), s.tobytes()) for (d, _), s in zip(docs, sets)]
+    df = spark.createDataFrame([tuple(bytearray(x) if isinstance(x, bytes) else x for x in r) for r in rows], "root binary, count long, bytes long, node binary, fp binary, shingles binary")
+    links = simhash.similar_links(df, 0.8, 256, block).collect()
+    label = simhash.spanning(len(docs), *(np.array([int.from_bytes(r[k], "big") for r in links]) for k in (0, 1)))
+    assert list(enumerate(label.tolist())) == brute_similar(docs, 0.8)
