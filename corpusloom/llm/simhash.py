@@ -388,19 +388,23 @@ def similar_groups(
     similarity: float = 0.8,
     bits: int = 256,
     radius: int | None = None,
+    meet: int | None = None,
     recall: float = 0.99,
 ) -> DataFrame:
     """Near-copies by the exact Jaccard similarity of their shingle sets: a row a row of ``df``: (id, fp, component).
 
-    SimHash over the sets finds the candidates: components of fingerprints of at most ``radius`` differing bits (without it that at which ``bits`` estimate
-    ``similarity``, J giving a cosine of 2J / (1 + J), and a fifth more, as the estimate scatters); pairs at the very radius meet with
-    probability ``recall``. In these, sets of exact Jaccard ``similarity`` and more are linked. A component of such links is named by its smallest id.
+    SimHash over the sets finds the candidates: components of fingerprints of at most ``radius`` differing bits. Pairs at ``similarity`` differ in
+    bits * acos(2J / (1 + J)) / pi bits on average, with a binomial spread: without ``radius`` and ``meet`` the former is six standard deviations beyond
+    (three and more for the smallest sets, which scatter most), the latter, the distance at which pairs share a key with probability ``recall``, two and a half; nearer ones meet more surely.
+    Among candidates, sets of exact Jaccard ``similarity`` and more are linked. A component of such links is named by its smallest id.
 
     Shingles are compared by their 64-bit hashes. Equal sets are one node, however many rows share it; texts without words are alike. A component of null ids alone is named
     null; repeated rows are separate rows. An empty table gives no rows.
     """
-    if radius is None:
-        radius = int(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi * 1.2)
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    spread = math.sqrt(bits * share * (1 - share))
+    radius = int(bits * share + 6 * spread) if radius is None else radius
+    meet = min(radius, math.ceil(bits * share + 2.5 * spread)) if meet is None else meet
     ship(df.sparkSession)
     texts = df.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"))
 
@@ -429,7 +433,7 @@ def similar_groups(
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("hash").alias("hash")))
     nodes = materialize(rows.groupBy("node", "fp", "size").agg(first.alias("first")).select("node", "fp", "size", F.col("first.id").alias("least"), F.col("first.hash").alias("hash")), "simhash-nodes")
     distinct = materialize(nodes.select("fp").distinct(), "simhash-distinct")
-    keys = sampled_keys(bits, radius, distinct.count(), recall)
+    keys = sampled_keys(bits, meet, distinct.count(), recall)
     found = connected_components(near_links(distinct, bits, radius, keys)).toDF("at", "component")
     rooted = materialize(nodes.join(found, nodes["fp"] == found["at"], "left").select("node", "fp", "size", "least", "hash", F.coalesce("component", "fp").alias("root")), "simhash-roots")
     several = materialize(rooted.groupBy("root").agg(F.count(F.lit(1)).alias("count"), (F.sum("size") * 8).alias("bytes")).where("count > 1"), "candidates")

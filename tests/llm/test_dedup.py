@@ -252,3 +252,12 @@ def test_similar_links_in_blocks(spark, block):
     links = simhash.similar_links(df, 0.8, 256, block).collect()
     label = simhash.spanning(len(docs), *(np.array([int.from_bytes(r[k], "big") for r in links]) for k in (0, 1)))
     assert list(enumerate(label.tolist())) == brute_similar(docs, 0.8)
+
+
+def test_pairs_at_the_limit_are_found(spark):
+    """Isolated pairs of similarity 0.8 to 0.85, short ones too: a radius of 46 bits loses a tenth of those."""
+    docs = near_pairs(4, 400, [9, 18, 90, 270, 540], [0.8, 0.81, 0.82, 0.85])
+    docs = [p for a, b in zip(docs[::2], docs[1::2]) if simhash.jaccard(*(simhash.shingle_set(t) for _, t in (a, b))) >= 0.8 for p in (a, b)]
+    assert len(docs) > 300
+    lost = sum(d % 2 and d == c for d, c in ((r.doc_id, r.component) for r in simhash.similar_groups(spark.createDataFrame(docs, "doc_id long, text string")).collect()))
+    assert lost <= 1
