@@ -192,12 +192,14 @@ def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def near_links(distinct: DataFrame, bits: int, radius: int, keys: list[list[int]], block: int = 1024) -> DataFrame:
+def near_links(distinct: DataFrame, bits: int, radius: int, keys: list[list[int]], block: int = 1024, count_first: bool = False) -> DataFrame:
     """Links (a, b) between distinct fingerprints (column fp) such that those within ``radius`` that share a key are connected.
 
     Every fingerprint goes to one shard a key. A shard of up to ``block`` fingerprints is one BK-tree. A larger shard is
     dealt into blocks by hash: each block's tree is sent to all the shard's blocks of queries, one task's work a pair of
     blocks. A task answers with a spanning forest of the links it found, never with all pairs.
+
+    With ``count_first`` the shards beyond a block are a written table (few rows, if any), and fingerprints pass one shuffle less; it pays for many keys.
     """
     words = bits // 64
 
@@ -217,9 +219,12 @@ def near_links(distinct: DataFrame, bits: int, radius: int, keys: list[list[int]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), t, np.int32)), pa.array(key), fps], names=["t", "key", "fp"])
 
     dealt = distinct.select("fp").mapInArrow(frugal(deal), "t int, key long, fp binary")
-    sizes = dealt.groupBy("t", "key").count().where("count > 1")
-    shards = dealt.join(sizes, ["t", "key"])
-    blocks = F.ceil(F.col("count") / block).cast("int")
+    sizes = dealt.groupBy("t", "key").count()
+    if count_first:
+        shards = dealt.join(materialize(sizes.where(F.col("count") > block), "shards"), ["t", "key"], "left")
+    else:
+        shards = dealt.join(sizes.where("count > 1"), ["t", "key"])
+    blocks = F.ceil(F.coalesce("count", F.lit(1)) / block).cast("int")
     mine = F.pmod(F.xxhash64("fp"), blocks).cast("int")
     pairs = shards.select("t", "key", "fp", mine.alias("mine"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     pairs = pairs.select("t", "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") <= F.col("other")).alias("item"), (F.col("mine") >= F.col("other")).alias("query"), "fp")
@@ -434,7 +439,7 @@ def similar_groups(
     nodes = materialize(rows.groupBy("node", "fp", "size").agg(first.alias("first")).select("node", "fp", "size", F.col("first.id").alias("least"), F.col("first.hash").alias("hash")), "simhash-nodes")
     distinct = materialize(nodes.select("fp").distinct(), "simhash-distinct")
     keys = sampled_keys(bits, meet, distinct.count(), recall)
-    found = connected_components(near_links(distinct, bits, radius, keys)).toDF("at", "component")
+    found = connected_components(near_links(distinct, bits, radius, keys, count_first=True)).toDF("at", "component")
     rooted = materialize(nodes.join(found, nodes["fp"] == found["at"], "left").select("node", "fp", "size", "least", "hash", F.coalesce("component", "fp").alias("root")), "simhash-roots")
     several = materialize(rooted.groupBy("root").agg(F.count(F.lit(1)).alias("count"), (F.sum("size") * 8).alias("bytes")).where("count > 1"), "candidates")
     members = materialize(rooted.join(several, "root"), "candidates")

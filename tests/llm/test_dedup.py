@@ -261,3 +261,16 @@ def test_pairs_at_the_limit_are_found(spark):
     assert len(docs) > 300
     lost = sum(d % 2 and d == c for d, c in ((r.doc_id, r.component) for r in simhash.similar_groups(spark.createDataFrame(docs, "doc_id long, text string")).collect()))
     assert lost <= 1
+
+
+@pytest.mark.parametrize("block", [4, 1024])
+def test_links_counted_first(spark, block):
+    rng = random.Random(block)
+    fps = {rng.getrandbits(64) for _ in range(40)}
+    fps = sorted(fps | {f ^ (1 << b) for f in list(fps)[:10] for b in rng.sample(range(64), 6)})
+    df = spark.createDataFrame([(bytearray(f.to_bytes(8, "big")),) for f in fps], "fp binary")
+    keys = simhash.exact_keys(64, 4, len(fps))
+    at = {f: i for i, f in enumerate(fps)}
+    links = [simhash.near_links(df, 64, 4, keys, block, first).collect() for first in (False, True)]
+    a, b = (simhash.spanning(len(fps), *(np.array([at[int.from_bytes(r[k], "big")] for r in x]) for k in (0, 1))).tolist() for x in links)
+    assert a == b and len(set(a)) == 40
