@@ -82,7 +82,7 @@ def mix_sources(
     )
     n = rows.count()
     bins = min(most_bins, max(1, math.ceil(n / rows_per_bin)))
-    rows = rows.withColumn("bin", F.pmod(F.shiftright("key", 20), F.lit(bins)).cast("int"))
+    rows = rows.withColumn("bin", F.shiftright((F.shiftright("key", 32) + (1 << 31)) * bins, 32).cast("int"))
     sums = rows.groupBy("skey", "bin").agg(F.sum("size").alias("bin_size"))
     targets = source_targets(sums.groupBy("skey").agg(F.sum("bin_size").alias("source_size")), weights, share, max_epochs)
     before = Window.partitionBy("skey").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)

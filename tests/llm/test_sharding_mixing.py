@@ -53,6 +53,9 @@ def test_query(spark, sf):
         assert r.size == len(raw) + 16 and r.text_crc32 == zlib.crc32(raw) and r.law == "rows" and r.grown_shard is None
 
 
+SEED = 11
+
+
 def brute_targets(sizes, weights=(3, 1, 2), share=1.5, most=2):
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     w = {s: weights[i % 3] for i, s in enumerate(order)}
@@ -102,3 +105,13 @@ def test_mix_odd_rows(odd):
 
 def test_op7(spark, sf):
     assert op7_mixing(spark, sf).columns == ["doc_id", "size", "source_size", "target", "taken"]
+
+
+@pytest.mark.parametrize("rows_per_bin", [20, 100_000])
+def test_documents_are_taken_in_key_order(spark, rows_per_bin):
+    """However many bins the table's rows ask for, a partial epoch takes the rows of smallest key."""
+    df = spark.createDataFrame([(i, f"w{i} x y z", "a") for i in range(400)], "doc_id long, text string, source string")
+    keys = {r[0]: r[1] for r in df.select("doc_id", F.xxhash64(F.lit(SEED), "doc_id", "text")).collect()}
+    rows = mixing.mix_sources(df, share=0.5, seed=SEED, rows_per_bin=rows_per_bin).collect()
+    took = [r.taken for r in sorted(rows, key=lambda r: keys[r.doc_id])]
+    assert sum(took) == round(rows[0].target) and took == sorted(took, reverse=True)
