@@ -119,8 +119,8 @@ def pack_documents(
 
     Rows are range-sorted by (id, text hash); a partition tokenises its rows and runs ``cut_windows`` over blocks of about
     ``block_tokens`` tokens, whose last windows alone are cut early; a longer document is fed in by parts of that size, so
-    that memory stays bounded whatever a partition holds (about ``partition_bytes``, more where that would make over ``most_partitions``). Windows may end after documents (free), after sentences or, where a sentence is
-    longer than the rest of a window, anywhere (``penalties`` in tokens of padding).
+    that memory stays bounded whatever a partition holds (about ``partition_bytes``, more where that would make over ``most_partitions``). Windows may end after documents (free), after sentences or, inside a sentence longer than a window,
+    every ``window`` / 64 tokens (``penalties`` in tokens of padding).
 
     Returns a row a piece: the columns of ``df`` except the text and those named like these: ``start``,
     ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id`` and ``offset`` (all long). Sequence ids rise in order of
@@ -145,11 +145,11 @@ def pack_documents(
         stream = _Stream(window, penalties, TaskContext.get().partitionId() << 40)
 
         def places(ids: np.ndarray, last: bool) -> tuple[np.ndarray, np.ndarray]:
-            """Where a part of a document may be cut; sentences longer than half a window also inside."""
+            """Where a part of a document may be cut; sentences longer than a window also inside."""
             n = len(ids)
             ends = np.flatnonzero((stops[ids[:-1]] & opens[ids[1:]]) | lines[ids[:-1]]) + 1 if n > 1 else np.empty(0, np.int64)
             bounds = np.concatenate([[0], ends, [n]])
-            long = np.flatnonzero(np.diff(bounds) > window // 8)
+            long = np.flatnonzero(np.diff(bounds) > window)
             more = [np.arange(bounds[i] + window // 64, bounds[i + 1], window // 64) for i in long]
             inside = np.concatenate(more) if more else np.empty(0, np.int64)
             at = np.concatenate([ends, inside, [n]])

@@ -8,8 +8,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from corpusloom.runtime import ship
+from corpusloom.runtime import discard, materialize, ship
 
 #: Every text is compressed in blocks of so many bytes, so that the dictionary counts all along a long text.
 BLOCK = 512
@@ -21,7 +22,7 @@ class CompressionModel:
 
     good: bytes
     bad: bytes
-    weights: tuple[float, ...]
+    weights: tuple[float, float]
     level: int = 3
 
     def compressors(self):
@@ -41,18 +42,16 @@ class CompressionModel:
 
 
 def features(texts, good, bad) -> np.ndarray:
-    """1, the normalised compressed-size difference, the share of bytes left by the better dictionary, and the difference weighed by length."""
-    out = np.zeros((len(texts), 5))
+    """1 and the normalised compressed-size difference: per cent of a text's bytes that the good dictionary saves beyond the bad one."""
+    out = np.zeros((len(texts), 2))
+    out[:, 0] = 1
     for i, t in enumerate(texts):
         raw = (t or "").encode("utf-8", "surrogatepass")
-        g = b = 0
+        saved = 0
         for a in range(0, len(raw), BLOCK):
             part = raw[a : a + BLOCK]
-            g += len(good(part)) - 8
-            b += len(bad(part)) - 8
-        diff = (b - g) / (b + g) if g + b > 0 else 0.0
-        left = min(g, b) / max(1, len(raw))
-        out[i] = 1, 10 * diff, left, 10 * diff * min(1.0, len(raw) / BLOCK), max(0.0, 0.12 - left) * 10
+            saved += len(bad(part)) - len(good(part))
+        out[i, 1] = 100 * saved / max(1, len(raw))
     return out
 
 
@@ -71,7 +70,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 6
     return w
 
 
-def train(good: list[str], bad: list[str], dict_bytes: int = 32 << 10, level: int = 3, seed: int = 3) -> CompressionModel:
+def train(good: list[str], bad: list[str], dict_bytes: int = 110 << 10, level: int = 3, seed: int = 3) -> CompressionModel:
     """Dictionaries from two thirds of each list, calibration on the rest, which no dictionary has seen.
 
     With too few texts to train a dictionary the texts themselves are the dictionary; without a label's texts every score is that of the prior.
@@ -91,8 +90,8 @@ def train(good: list[str], bad: list[str], dict_bytes: int = 32 << 10, level: in
             sets.append((b"".join(parts) or b" " * 8)[:dict_bytes].ljust(8))
         rest.append([texts[i] for i in order[cut:]] or [texts[i] for i in order[:cut]])
     if not good or not bad:
-        return CompressionModel(*sets, ((4.0 if good else -4.0) if good or bad else 0.0, 0.0, 0.0, 0.0, 0.0), level)
-    model = CompressionModel(*sets, (0.0,) * 5, level)
+        return CompressionModel(*sets, ((4.0 if good else -4.0) if good or bad else 0.0, 0.0), level)
+    model = CompressionModel(*sets, (0.0, 0.0), level)
     comps = model.compressors()
     x = np.concatenate([features(t, *comps) for t in rest])
     y = np.concatenate([np.ones(len(rest[0])), np.zeros(len(rest[1]))])
@@ -108,11 +107,12 @@ def fit_quality(
     text_col: str = "text",
     per_label: int = 2_000,
     longest: int = 200_000,
+    most_bytes: int = 64 << 20,
 ) -> CompressionModel:
     """Fit on a bounded sample of the labelled rows for which ``usable`` (a condition on labels) holds.
 
-    Bounds: of each label the ``per_label`` labelled ids of smallest hash; of these the texts of up to ``longest`` UTF-8 bytes, which go to the driver
-    (at most 2 x per_label x longest bytes; about 15 MB of usual texts). A document with two labels counts under both. Scoring is not bounded.
+    Bounds: of each label the ``per_label`` labelled ids of smallest hash; of these the texts of up to ``longest`` UTF-8 bytes, in order of the hash while they are together
+    at most half of ``most_bytes``, which is what the driver gets. Of documents of one id the smallest text counts. A document with two labels counts under both. Scoring is not bounded.
     """
     picked = None
     for value in (1, 0):
@@ -120,7 +120,12 @@ def fit_quality(
         some = ids.orderBy(F.xxhash64("lid"), "lid").limit(per_label).select("lid", F.lit(value).alias("label"))
         picked = some if picked is None else picked.unionByName(some)
     texts = docs.select(F.col(id_col).alias("lid"), F.col(text_col).alias("text")).where(F.octet_length("text") <= longest)
-    rows = texts.join(F.broadcast(picked), "lid").orderBy("lid", "text").collect()
+    met = texts.join(F.broadcast(picked), "lid").groupBy("lid", "label").agg(F.min("text").alias("text"))
+    sample = materialize(met.withColumn("bytes", F.octet_length("text")), "quality-sample")
+    upto = Window.partitionBy("label").orderBy(F.xxhash64("lid"), "lid").rowsBetween(Window.unboundedPreceding, 0)
+    short = sample.select("lid", "label", F.sum("bytes").over(upto).alias("upto")).where(F.col("upto") <= most_bytes // 2)
+    rows = sample.join(F.broadcast(short), ["lid", "label"]).orderBy("lid").select("label", "text").collect()
+    discard(sample)
     return train([r["text"] for r in rows if r["label"] == 1], [r["text"] for r in rows if r["label"] == 0])
 
 

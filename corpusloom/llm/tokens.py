@@ -27,7 +27,8 @@ class Encoder:
     A byte-level tokenizer merges inside pieces only. In a text that ``_WHOLE`` doesn't match each space opens a piece and a line break is
     one, and so do commas and full stops, or, where some are ``_STUCK``, all signs after letters; the text's ids are those of its parts in a row. Parts are told apart by a dictionary encoding of a batch; the
     library encodes the distinct ones that the tables don't know, in one call. There are two tables: when the one being filled is full it replaces the other, so
-    that parts in use stay known and memory is bounded. All other texts go to the library whole. Strings of special tokens are ordinary text.
+    that parts in use stay known and memory is bounded. All other texts go to the library whole, and so do those that hold the string of an added token: as the
+    library does, such a string becomes its one id.
     """
 
     def __init__(self, path: str, most_parts: int = 240_000):
@@ -35,7 +36,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = "|".join([_WHOLE, *(r"\Q" + t + r"\E" for t in added if t)])
         self.most_parts = most_parts
         self.table: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
@@ -101,7 +103,7 @@ class Encoder:
         """The ids of every text; null and empty texts have none."""
         texts = texts.cast(pa.large_string()).fill_null("")
         size = pc.binary_length(texts).to_numpy()
-        whole = pc.match_substring_regex(texts, _WHOLE).to_numpy(zero_copy_only=False)
+        whole = pc.match_substring_regex(texts, self.whole).to_numpy(zero_copy_only=False)
         out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(texts)
         for i in np.flatnonzero(whole & (size > 0)).tolist():
             out[i] = self._ids(texts[i].as_py())
