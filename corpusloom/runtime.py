@@ -20,11 +20,13 @@ _TABLES: dict[str, list[str]] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as ``spark.checkpoint.dir`` names it.
 
-    Only where the setting is missing (local tests) is a temporary folder made.
+    Only where the setting is missing and Spark runs on one machine (local tests) is a temporary folder made.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_DIRS:
         _OWN_DIRS[app] = tempfile.mkdtemp(prefix="corpusloom-")
@@ -58,9 +60,20 @@ def discard(df: DataFrame) -> None:
         _delete(df.sparkSession, path)
 
 
+def written(spark: SparkSession) -> list[str]:
+    """The tables and files that this session has made in the shared folder and not deleted."""
+    return list(_TABLES.get(spark.sparkContext.applicationId, []))
+
+
+def discard_since(spark: SparkSession, before: list[str], keep: DataFrame) -> None:
+    """Delete what was made since ``before`` (from ``written``) but the table ``keep``, on which alone what follows depends."""
+    for path in set(written(spark)) - set(before) - {getattr(keep, "_corpusloom_path", None)}:
+        _delete(spark, path)
+
+
 def cleanup(spark: SparkSession) -> None:
     """Delete every table this session has written to the shared folder."""
-    for path in _TABLES.pop(spark.sparkContext.applicationId, []):
+    for path in written(spark):
         _delete(spark, path)
 
 
@@ -68,6 +81,15 @@ def _delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    made = _TABLES.get(spark.sparkContext.applicationId, [])
+    if path in made:
+        made.remove(path)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme that Spark would read it by."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
