@@ -50,15 +50,14 @@ def mix_sources(
     max_epochs: int = 2,
     seed: int = 29,
     rows_per_bin: int = 1_000,
-    most_bins: int = 1_000_000,
     cut: str = "word",
 ) -> DataFrame:
     """How often, or how much, each document is taken so that every source meets its target of words.
 
-    Every row gets a hash-random key of (seed, id, text). The key's range is cut into equal bins, as many as
-    the table's rows ask for (``most_bins`` at most); sums by (source, bin) and their running sums are a table of sources x bins rows, and a row's
-    place in its source is its bin's offset plus a running sum in its own (source, bin), so that a hot source is spread
-    over its bins. Whole epochs are taken first; the last, partial epoch takes rows in key order up to the
+    Every row gets a hash-random key of (seed, id, text). The key's range is cut into equal bins of about ``rows_per_bin`` rows, and the bins into ranges of
+    that many bins. Sums by (source, bin) and running sums at each of the three levels give a row's place in its source in key order: the range's offset, plus the bin's
+    in its range, plus a running sum in its own (source, bin). So a hot source is spread over its bins, and no running sum
+    passes over more than about ``rows_per_bin`` rows, or a ``rows_per_bin`` squared-th of the table. Whole epochs are taken first; the last, partial epoch takes rows in key order up to the
     source's budget: with ``cut='word'`` the row at the budget gives exactly the words that are missing, with
     ``cut='document'`` it is taken whole if more than half of it lies below the budget.
 
@@ -81,12 +80,18 @@ def mix_sources(
         "mix",
     )
     n = rows.count()
-    bins = min(most_bins, max(1, math.ceil(n / rows_per_bin)))
+    bins = min(1 << 30, max(1, math.ceil(n / rows_per_bin)))
     rows = rows.withColumn("bin", F.shiftright((F.shiftright("key", 32) + (1 << 31)) * bins, 32).cast("int"))
-    sums = rows.groupBy("skey", "bin").agg(F.sum("size").alias("bin_size"))
+    sums = materialize(rows.groupBy("skey", "bin").agg(F.sum("size").alias("bin_size")), "bins").withColumn("range", F.floor(F.col("bin") / rows_per_bin))
     targets = source_targets(sums.groupBy("skey").agg(F.sum("bin_size").alias("source_size")), weights, share, max_epochs)
-    before = Window.partitionBy("skey").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("skey", "bin", F.coalesce(F.sum("bin_size").over(before), F.lit(0)).alias("offset")).join(targets, "skey")
+
+    def before(*keys: str):
+        return Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
+
+    ranges = sums.groupBy("skey", "range").agg(F.sum("bin_size").alias("range_size"))
+    ranges = ranges.select("skey", "range", F.coalesce(F.sum("range_size").over(before("skey", "range")), F.lit(0)).alias("range_offset")).join(targets, "skey")
+    placed_bins = sums.select("skey", "bin", "range", F.coalesce(F.sum("bin_size").over(before("skey", "range", "bin")), F.lit(0)).alias("bin_offset"))
+    offsets = placed_bins.join(ranges, ["skey", "range"]).select("skey", "bin", (F.col("range_offset") + F.col("bin_offset")).alias("offset"), "source_size", "target")
 
     inside = Window.partitionBy("skey", "bin").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.select("*", F.coalesce(F.sum("size").over(inside), F.lit(0)).alias("inner")).join(offsets, ["skey", "bin"])
@@ -113,11 +118,22 @@ def mix_sources(
 
 
 def repeat_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kwargs) -> DataFrame:
-    """``df`` with every row as often as the mix takes it whole (0 times or more), with all its columns."""
-    taken = mix_sources(df, id_col, text_col, cut="document", **kwargs).where("copies > 0")
-    taken = taken.groupBy(F.col(id_col).alias("tid"), F.col("text_hash").alias("thash")).agg(F.sum("copies").alias("n"), F.count(F.lit(1)).alias("rows"))
-    rows = df.withColumn("_cl_hash", F.xxhash64(text_col))
-    met = rows.join(taken, rows[id_col].eqNullSafe(taken["tid"]) & (rows["_cl_hash"] == taken["thash"]))
-    # equal rows share their copies: rows of them meet n copies in all
-    share = F.ceil(F.col("n") / F.col("rows")).cast("int")
-    return met.select(*[rows[c] for c in df.columns], F.explode(F.sequence(F.lit(1), share)).alias("_cl_copy")).drop("_cl_copy")
+    """``df`` with every row as often as the mix takes it whole (0 times or more), with all its columns.
+
+    Rows of one (id, text) share the copies that the mix takes of them all: n copies over r rows give each n div r, and one more to n mod r of them.
+    """
+    taken = mix_sources(df, id_col, text_col, cut="document", **kwargs)
+    taken = taken.groupBy(F.col(id_col).alias("_cl_id"), F.col("text_hash").alias("_cl_hash")).agg(F.sum("copies").alias("_cl_n"), F.count(F.lit(1)).alias("_cl_rows"))
+    taken = materialize(taken.where("_cl_n > 0"), "copies")
+    rows = df.withColumn("_cl_key", F.xxhash64(text_col))
+    met = rows.join(taken, rows[id_col].eqNullSafe(F.col("_cl_id")) & (F.col("_cl_key") == F.col("_cl_hash")))
+    once = met.where("_cl_rows = 1").select(*df.columns, F.col("_cl_n").alias("_cl_copies"))
+    # rows that repeat: equal ones are counted before they move, then each run of equal rows takes its part of the copies by running counts
+    again = met.where("_cl_rows > 1").groupBy(*df.columns, "_cl_key", "_cl_n", "_cl_rows").agg(F.count(F.lit(1)).alias("_cl_m"))
+    tie = F.to_json(F.struct(*[F.col(c) for c in df.columns if c != text_col]))
+    upto = F.sum("_cl_m").over(Window.partitionBy(id_col, "_cl_key").orderBy(tie).rowsBetween(Window.unboundedPreceding, 0))
+    again = again.withColumn("_cl_upto", upto)
+    more = F.greatest(F.lit(0), F.least(F.col("_cl_m"), F.expr("_cl_n % _cl_rows") - F.col("_cl_upto") + F.col("_cl_m")))
+    again = again.select(*df.columns, (F.col("_cl_m") * F.expr("_cl_n div _cl_rows") + more).alias("_cl_copies")).where("_cl_copies > 0")
+    both = once.unionByName(again)
+    return both.select(*df.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_cl_copies"))).alias("_cl_copy")).drop("_cl_copy")

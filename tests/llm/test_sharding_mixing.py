@@ -26,6 +26,31 @@ def test_odd_rows_each_get_a_slot(odd, bucket_bytes):
     assert Counter((r.doc_id, r.text) for r in rows) == Counter((r[0], r[1]) for r in ROWS)
 
 
+@pytest.mark.parametrize("broadcast", [0, 4_000_000])
+def test_partitions_of_several_buckets(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(sharding, "BROADCAST_BUCKETS", broadcast)
+    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("same text").alias("text"))
+    runs = [sharding.shard_documents(df.repartition(n), 7, bucket_bytes=2000, most_partitions=3).collect() for n in (2, 5)]
+    for rows in runs:
+        placed(rows, 7)
+        assert {r.doc_id for r in rows} == set(range(3000))
+    assert sorted(runs[0]) == sorted(runs[1])
+    plan = sharding.shard_documents(df, 7, bucket_bytes=2000, most_partitions=3)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" in plan and "ObjectHashAggregate" not in plan, "a bucket's array at a time"
+
+
+def test_hot_repeated_rows_fill_many_buckets(spark):
+    rows = [(None, None, {"k": 1})] * 700 + [(5, "x" * 30, None)] * 400 + [(i, "y" * 30, {"k": i}) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, extra map<string,int>").repartition(4)
+    plan = sharding.shard_documents(df, 4, bucket_bytes=1500)
+    out = plan.collect()
+    placed(out, 4)
+    assert Counter(r.doc_id for r in out) == Counter(r[0] for r in rows)
+    assert min(Counter(r.shard for r in out if r.doc_id is None).values()) > 100, "copies are spread"
+    again = {(r.shard, r.slot): r.doc_id for r in sharding.shard_documents(df.repartition(3), 4, bucket_bytes=1500).collect()}
+    assert again == {(r.shard, r.slot): r.doc_id for r in out}
+
+
 def test_fewer_rows_than_shards_and_none(odd):
     assert sharding.shard_documents(odd(empty=True)).count() == 0
     rows = sharding.shard_documents(odd(), shards=40).collect()
@@ -103,6 +128,28 @@ def test_mix_odd_rows(odd):
     assert all(words(t) for _, t in copies) and copies[(6, ROWS[5][1])] in (1, 2)
 
 
+def test_repeated_rows_share_their_copies(spark):
+    """Three equal rows, two that differ in another column, one other; the target of 24 words allows no more than it says."""
+    rows = [(1, "a b c d", "s", 1)] * 3 + [(2, "e f g h", "s", 1), (2, "e f g h", "s", 2)] + [(3, "i j k l", "s", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, extra int").repartition(3)
+    for share in (0.0, 0.4, 1.0, 1.5, 1.9, 2.0):
+        taken = mixing.mix_sources(df, share=share, cut="document").collect()
+        want = Counter()
+        for r in taken:
+            want[r.doc_id] += r.copies
+        got = Counter(r.doc_id for r in mixing.repeat_documents(df, share=share).collect())
+        assert got == +want
+        assert 4 * sum(got.values()) == pytest.approx(24 * share, abs=2)
+
+
+@pytest.mark.parametrize("rows_per_bin", [3, 10])
+def test_ranges_of_bins(spark, rows_per_bin):
+    """More bins than a range holds: places are those of one running sum."""
+    df = spark.createDataFrame([(i, "w " * (i % 7 + 1), "ab"[i % 3 == 0]) for i in range(900)], "doc_id long, text string, source string")
+    key = lambda rows: sorted((r.doc_id, r.taken) for r in rows)
+    assert key(mixing.mix_sources(df, rows_per_bin=rows_per_bin).collect()) == key(mixing.mix_sources(df, rows_per_bin=100_000).collect())
+
+
 def test_op7(spark, sf):
     assert op7_mixing(spark, sf).columns == ["doc_id", "size", "source_size", "target", "taken"]
 
