@@ -167,17 +167,38 @@ def test_ann_odd_vectors_and_copies(spark):
     rng = np.random.default_rng(3)
     v = rng.normal(size=(30, 4)).round(2).tolist()
     rows = [(i, v[i % 30]) for i in range(90)] + [(i, v[0]) for i in range(200, 260)]
-    rows += [(0, v[0]), (100, None), (300, [0.0] * 4), (400, [1.0, float("nan"), 0.0, 0.0]), (500, [1.0, None, 0.0, 0.0]), (600, [1.0, 2.0]), (700, [float("inf"), 0.0, 0.0, 0.0]), (None, v[3])]
+    rows += [(0, v[0]), (100, None), (300, [0.0] * 4), (400, [1.0, float("nan"), 0.0, 0.0]), (500, [1.0, None, 0.0, 0.0]), (700, [float("inf"), 0.0, 0.0, 0.0]), (800, []), (None, v[3])]
+    two = {i: rng.normal(size=2).round(1).tolist() for i in range(900, 930)}
+    one = {i: [float(i)] for i in (1000, 1001, 1002)}
+    rows += [*two.items(), *one.items(), (1100, [1.0] * 7)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("rank", F.lit(0))
-    got = defaultdict(list)
-    for r in ann.search(df, F.col("vec_id") % 100 == 0, recall=1.0).collect():
-        got[r.query_id].append((r.rank, r.vec_id, r.score))
-    vecs = {i: np.array(x) for i, x in rows[:150]}
-    want = brute_nearest(vecs, [0, 200])
-    assert set(got) == {0, 200}
-    for q, rs in got.items():
-        assert [(s, i) for _, i, s in sorted(rs)] == want[q]
+    kinds = [{i: np.array(x) for i, x in rows[:150]}, {i: np.array(x) for i, x in two.items()}, {i: np.array(x) for i, x in one.items()}]
+    want = brute_nearest(kinds[0], [0, 200]) | brute_nearest(kinds[1], [900]) | brute_nearest(kinds[2], [1000])
+    for lengths in (1, 2, 16):  # the other lengths are searched whole
+        got = defaultdict(list)
+        for r in ann.search(df, F.col("vec_id") % 100 == 0, recall=1.0, indexed_lengths=lengths).collect():
+            got[r.query_id].append((r.rank, r.vec_id, r.score))
+        assert set(got) == set(want), "of one length alone 1100 has no neighbour"
+        for q, rs in got.items():
+            assert [(pytest.approx(s, abs=1e-12), i) for _, i, s in sorted(rs)] == want[q]
     assert ann.search(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
+    with pytest.raises(TypeError):
+        ann.search(df.withColumn("vec_id", F.col("vec_id").cast("string")), F.lit(True))
+
+
+def test_ann_divides_long_lists(spark):
+    """Few lists allowed: they are divided again, recall holds and every query has its ten."""
+    rng = np.random.default_rng(12)
+    centres = rng.normal(size=(40, 8)) * 3
+    x = centres[rng.integers(0, 40, 6000)] + rng.normal(size=(6000, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    rows = ann.search(df, F.col("vec_id") % 100 == 0, least_lists=1, most_lists=4, rows_a_list=50, split_rows=300).collect()
+    got = defaultdict(dict)
+    for r in rows:
+        got[r.query_id][r.rank] = r.vec_id
+    want = brute_nearest(dict(enumerate(x)), range(0, 6000, 100))
+    assert set(got) == set(want) and all(sorted(g) == list(range(1, 11)) for g in got.values())
+    assert sum(len(set(got[q].values()) & {i for _, i in want[q]}) for q in want) / 600 >= 0.85
 
 
 def test_ann_always_finds_enough(spark):
