@@ -14,10 +14,11 @@ import numpy as np
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from corpusloom.llm.tokens import encoder
-from corpusloom.runtime import frugal, new_path, ship, text_bytes
+from corpusloom.runtime import frugal, new_path, qualified, ship, text_bytes
 
 MAGIC = b"CLBP0001"
 BLOCK = 1 << 16  # ids in a block; its bit planes are 8 KiB each
@@ -125,8 +126,8 @@ def _put(folder: str, name: str, pieces: Iterator[bytes]) -> int:
     """Write a file under a name of its own and move it into place, so that a second attempt of a task does no harm."""
     header, total = b"", HEADER.size
     temp = f".{name}.{uuid.uuid4().hex}"
-    if folder.startswith("file:") or "://" not in folder:
-        local = "/" + folder.split(":", 1)[-1].lstrip("/")
+    if folder.startswith("file:"):
+        local = "/" + folder.split(":", 1)[1].lstrip("/")
         os.makedirs(local, exist_ok=True)
         with open(f"{local}/{temp}", "wb") as f:
             f.write(bytes(HEADER.size))
@@ -162,13 +163,16 @@ def write_token_files(
     most_partitions: int = 50_000,
     file_ids: int = 16 << 20,
 ) -> DataFrame:
-    """Encode every text, append ``end_id`` and write the ids in ascending order of (id, text hash) under ``path``.
+    """Encode every text, append ``end_id`` and write the ids in ascending order of (id, text hash) under ``path`` (any place that Spark writes to; without a scheme, in its default file system).
 
     A partition is a range of about ``partition_bytes`` of text (more where that would make over ``most_partitions``) and writes a file whenever ``file_ids`` ids
     are together: part-00000-00000.clbp, part-00000-00001.clbp ... in order. Returns file, documents, bytes a file; the files are written when the result is computed. Null ids come first, null texts are
-    empty (the end id alone), repeated rows are separate documents. An empty table writes no file.
+    empty (the end id alone), repeated rows are separate documents. Document ids of another type than integers are refused. An empty table writes no file.
     """
+    if not isinstance(df.schema[id_col].dataType, T.IntegralType):
+        raise TypeError(f"{id_col}: document ids must be integers")
     ship(df.sparkSession)
+    path = qualified(df.sparkSession, path)
     _, size = text_bytes(df, text_col)
     parts = min(most_partitions, max(1, math.ceil(size / partition_bytes)))
     rows = df.select(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("text"))

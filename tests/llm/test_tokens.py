@@ -135,3 +135,10 @@ def test_token_files_odd_rows(odd, tmp_path):
     assert sorted((r.n_tokens, r.ids_crc32) for r in rows) == sorted(x[2:] for x in brute_ids([r[:2] for r in ROWS]))
     assert [r.start for r in rows] == np.cumsum([0, *[r.n_tokens for r in rows]])[:-1].tolist()
     assert bitplanes.round_trip(odd(empty=True), tokenizer_path()).count() == 0
+
+
+def test_token_files_paths_and_ids(spark, odd, tmp_path):
+    out = bitplanes.round_trip(odd(), tokenizer_path(), path=f"{tmp_path}/plain")  # no scheme
+    assert out.count() == len(ROWS) and list((tmp_path / "plain").glob("*.clbp"))
+    with pytest.raises(TypeError):
+        bitplanes.write_token_files(odd().selectExpr("cast(doc_id as string) doc_id", "text"), f"{tmp_path}/no", tokenizer_path())
