@@ -10,9 +10,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.vectors import cosine
+from corpusloom.functions.vectors import dot, norm
+from corpusloom.runtime import materialize, shuffle_partitions
 
 SIGNALS = ("node", "ayah", "ravi", "bab", "kitab", "vector")
+#: Signals fit in so many values: a place is position * RANKS + rank of the signal, so that positions stay below 2^59.
+RANKS = 8
+#: Pairs that a task groups at a time.
+PAIRS_A_TASK = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -26,8 +31,11 @@ class LinkOptions:
     never_block: tuple[str, ...] = ("kitab",)
 
 
-def postings(docs: DataFrame, signals: dict[str, Column], doc_col: str = "doc_id", pos_col: str = "pos") -> DataFrame:
-    """Distinct (doc, pos, signal, key). ``signals`` maps a signal's name to an array or scalar column; null and empty keys carry nothing."""
+def postings(docs: DataFrame, signals: dict[str, Column], doc_col: str = "doc_id", pos_col: str = "pos", distinct: bool = True) -> DataFrame:
+    """Distinct (doc, pos, signal, key). ``signals`` maps a signal's name to an array or scalar column; null and empty keys carry nothing.
+
+    Where each document is known to be one row, its keys are distinct as they are (``distinct=False`` saves the shuffle).
+    """
     types = docs.select(*[c.alias(s) for s, c in signals.items()]).schema
 
     def keys_of(signal: str, c: Column) -> Column:
@@ -36,7 +44,8 @@ def postings(docs: DataFrame, signals: dict[str, Column], doc_col: str = "doc_id
 
     keys = [keys_of(s, c) for s, c in signals.items()]
     rows = docs.select(F.col(doc_col).alias("doc"), F.col(pos_col).alias("pos"), F.explode(F.concat(*keys)).alias("k"))
-    return rows.select("doc", "pos", "k.signal", "k.key").where("key is not null and key <> ''").distinct()
+    rows = rows.select("doc", "pos", "k.signal", "k.key").where("key is not null and key <> ''")
+    return rows.distinct() if distinct else rows
 
 
 def idf(posts: DataFrame, n_docs: int) -> DataFrame:
@@ -46,53 +55,65 @@ def idf(posts: DataFrame, n_docs: int) -> DataFrame:
     return keys.withColumn("idf", F.log1p(n / F.col("df")))
 
 
-def blocking_keys(keys: DataFrame, n_docs: int, options: LinkOptions = LinkOptions()) -> DataFrame:
-    """The keys that may propose pairs. The caps come before the self-join: they bound its size at caps x keys."""
+def blocks(n_docs: int, options: LinkOptions = LinkOptions()) -> Column:
+    """Whether a key (signal, df) may propose pairs. The caps come before the self-join: they bound its size at caps x keys."""
     small = (F.col("df") >= 2) & (F.col("df") <= options.max_members)
     rare = F.lit(n_docs < options.min_docs) | (F.col("df") / F.lit(float(max(n_docs, 1))) <= options.max_ratio)
-    return keys.where(~F.col("signal").isin(*options.never_block) & small & rare)
+    return ~F.col("signal").isin(*options.never_block) & small & rare
 
 
-def propose(posts: DataFrame, keys: DataFrame, n_docs: int, options: LinkOptions = LinkOptions()) -> DataFrame:
-    """(left, right, blocked_by) for all pairs that share a blocking key.
+def members(posts: DataFrame, keys: DataFrame, n_docs: int, ranks: list[int], options: LinkOptions = LinkOptions()) -> DataFrame:
+    """(kid, place, rank, share, doc, and c, k, m, n for each of ``ranks``): a row for every document at every key that blocks.
 
-    blocked_by is the signal of the key that came first: by its first document, then by the order of signals.
+    ``share`` is what the key adds to a pair's score, ``place`` says which key came first (its first document, then the order of signals). The document's keys that
+    several documents have but that don't block travel with it, once a posting, so that a pair needs no second look at either side: by rank, c<rank> (kid, share), k<rank> the kids alone, and two masks with a bit for each
+    key: sets of keys whose masks have no bit in common have no key in common.
     """
-    blocks = blocking_keys(keys, n_docs, options).select("signal", "key", "first_pos")
     rank = F.coalesce(*[F.when(F.col("signal") == s, F.lit(i)) for i, s in enumerate(SIGNALS)], F.lit(len(SIGNALS)))
-    members = posts.join(blocks, ["signal", "key"]).select("signal", "key", F.struct("first_pos", rank.alias("rank")).alias("place"), "doc")
-    other = members.select("signal", "key", F.col("doc").alias("right"))
-    pairs = members.join(other, ["signal", "key"]).where(F.col("doc") < F.col("right"))
-    return pairs.groupBy(F.col("doc").alias("left"), "right").agg(F.min_by("signal", "place").alias("blocked_by"))
-
-
-def score(pairs: DataFrame, posts: DataFrame, keys: DataFrame, vectors: DataFrame | None = None, options: LinkOptions = LinkOptions()) -> DataFrame:
-    """``pairs`` with score and reasons (map signal -> share). All shared keys count, also those too common to block.
-
-    Each document's weighted keys are one array; a pair meets two arrays and intersects them in place, so that what is shuffled grows with the
-    pairs, not with pairs x keys. ``vectors`` (doc, v) adds the cosine of both documents' vectors where it is positive.
+    weight = F.coalesce(*[F.when(F.col("signal") == s, F.lit(float(x))) for s, x in options.weights.items()], F.lit(0.0))
+    k = keys.select("signal", "key", "kid", rank.alias("rank"), (F.col("first_pos").cast("long") * RANKS + rank).alias("place"), (F.col("idf") * weight).alias("share"), blocks(n_docs, options).alias("blocks")).where(keys["df"] > 1)
+    met = posts.select("doc", "signal", "key").join(k, ["signal", "key"])
+    item = F.struct("kid", "place", "rank", "share", "blocks")
+    docs = met.groupBy("doc").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    bit = lambda seed, k: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(F.lit(seed), k), F.lit(64)).cast("int"))
+    for r in ranks:
+        docs = docs.withColumn(f"c{r}", F.transform(F.filter("items", lambda x: ~x["blocks"] & (x["rank"] == r)), lambda x: F.struct(x["kid"].alias("kid"), x["share"].alias("share"))))  # noqa: B023
+        docs = docs.withColumn(f"k{r}", F.transform(f"c{r}", lambda x: x["kid"]))
+        docs = docs.withColumns({f"{name}{r}": F.aggregate(f"k{r}", F.lit(0).cast("long"), lambda m, k: m.bitwiseOR(bit(seed, k))) for seed, name in ((1, "m"), (2, "n"))})  # noqa: B023
+    common = [f"{c}{r}" for r in ranks for c in "ckmn"]
+    rows = docs.select("doc", *common, F.explode(F.filter("items", lambda x: x["blocks"])).alias("b"))
+    return rows.select("b.kid", "b.place", "b.rank", "b.share", "doc", *common)
+
+
+def pair_up(rows: DataFrame, n_pairs: int, blocking: list[int], common: list[int], vectors: DataFrame | None = None, weight: float = 0.0) -> DataFrame:
+    """(left, right, place, share_<rank> ...) of all pairs of ``members`` that share a blocking key, each once.
+
+    One self-join on the key (at most ``max_members`` rows a key) and one shuffle of narrow pairs into tasks of about ``PAIRS_A_TASK``, as ``n_pairs`` (from the keys' counts) asks for. Shares of blocking keys
+    are summed; those of common keys are worked out where a pair meets, and are the same wherever it does.
     """
-    w = F.coalesce(*[F.when(F.col("signal") == s, F.lit(x)) for s, x in options.weights.items()], F.lit(0.0))
-    weighted = posts.join(keys.select("signal", "key", (F.col("idf") * w).alias("w")), ["signal", "key"])
-    item = F.struct(F.concat_ws("\t", "signal", "key").alias("k"), "signal", "w")
-    items = weighted.groupBy("doc").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    left = items.select(F.col("doc").alias("left"), F.col("items").alias("li"))
-    right = items.select(F.col("doc").alias("right"), F.transform("items", lambda x: x["k"]).alias("rk"))
-    met = pairs.join(left, "left").join(right, "right")
-    shared = F.array_intersect(F.transform("li", lambda x: x["k"]), "rk")
-    met = met.withColumn("shared", shared).withColumn("hits", F.filter("li", lambda x: F.array_contains("shared", x["k"])))
-
-    def share(signal: str) -> Column:
-        own = F.filter("hits", lambda x: x["signal"] == signal)
-        return F.struct(F.lit(signal).alias("signal"), F.aggregate(own, F.lit(0.0), lambda t, x: t + x["w"]).alias("share"))
-
-    parts = [share(s) for s in options.weights if s != "vector"]
     if vectors is not None:
-        met = met.join(vectors.toDF("left", "va"), "left", "left").join(vectors.toDF("right", "vb"), "right", "left")
-        c = F.coalesce(cosine(F.col("va"), F.col("vb")), F.lit(0.0))
-        parts.append(F.struct(F.lit("vector").alias("signal"), F.greatest(F.lit(0.0), c * options.weights["vector"]).alias("share")))
-    found = met.select("left", "right", "blocked_by", F.filter(F.array(*parts), lambda x: x["share"] > 0).alias("found"))
-    return found.select("left", "right", "blocked_by", F.aggregate("found", F.lit(0.0), lambda t, x: t + x["share"]).alias("score"), F.map_from_entries("found").alias("reasons"))
+        unit = vectors.toDF("doc", "v").withColumn("n", norm(F.col("v"))).where("n > 0").select("doc", F.transform("v", lambda x: x / F.col("n")).alias("v"))
+        rows = materialize(rows.join(unit, "doc", "left"), "members")
+    v = ["v"] if vectors is not None else []
+    left = rows.select("kid", "place", "rank", "share", F.col("doc").alias("left"), *[F.col(c).alias(f"l_{c}") for r in common for c in (f"c{r}", f"m{r}", f"n{r}")], *[F.col(c).alias("l_v") for c in v])
+    right = rows.select("kid", F.col("doc").alias("right"), *[F.col(c).alias(f"r_{c}") for r in common for c in (f"k{r}", f"m{r}", f"n{r}")], *[F.col(c).alias("r_v") for c in v])
+    met = left.join(right, "kid").where(F.col("left") < F.col("right"))
+
+    def shared(r: int) -> Column:
+        total = F.aggregate(f"l_c{r}", F.lit(0.0), lambda t, x: F.when(F.array_contains(f"r_k{r}", x["kid"]), t + x["share"]).otherwise(t))
+        maybe = (F.col(f"l_m{r}").bitwiseAND(F.col(f"r_m{r}")) != 0) & (F.col(f"l_n{r}").bitwiseAND(F.col(f"r_n{r}")) != 0)
+        return F.when(maybe, total).otherwise(F.lit(0.0))
+
+    more = [shared(r).alias(f"c{r}") for r in common]
+    if vectors is not None:
+        more.append(F.coalesce(F.greatest(F.lit(0.0), dot(F.col("l_v"), F.col("r_v")) * weight), F.lit(0.0)).alias("vector"))
+    pairs = met.select("left", "right", "place", "rank", "share", *more)
+    parts = max(shuffle_partitions(rows.sparkSession), -(-n_pairs // PAIRS_A_TASK))
+    sums = [F.sum(F.when(F.col("rank") == r, F.col("share")).otherwise(F.lit(0.0))).alias(f"b{r}") for r in blocking]
+    extra = [F.max(f"c{r}").alias(f"c{r}") for r in common] + ([F.max("vector").alias("vector")] if vectors is not None else [])
+    g = pairs.repartition(parts, "left", "right").groupBy("left", "right").agg(F.min("place").alias("place"), *sums, *extra)
+    both = [sum((F.col(c) for c in (f"b{r}", f"c{r}") if c in g.columns), F.lit(0.0)).alias(f"share_{r}") for r in sorted({*blocking, *common})]
+    return g.select("left", "right", "place", *both, *([F.col("vector").alias(f"share_{SIGNALS.index('vector')}")] if vectors is not None else []))
 
 
 def rank(scored: DataFrame, min_score: float = 0.0, limit: int | None = None, judged: DataFrame | None = None) -> DataFrame:
@@ -105,26 +126,48 @@ def rank(scored: DataFrame, min_score: float = 0.0, limit: int | None = None, ju
 
 
 def candidates(docs: DataFrame, signals: dict[str, Column], doc_col: str = "doc_id", pos_col: str = "pos", options: LinkOptions = LinkOptions(), vectors: DataFrame | None = None) -> DataFrame:
-    """Proposed and scored pairs of ``docs``, not yet ranked."""
-    posts = postings(docs, signals, doc_col, pos_col)
-    n = docs.select(doc_col).distinct().count()
-    keys = idf(posts, n)
-    return score(propose(posts, keys, n, options), posts, keys, vectors, options)
+    """(left, right, blocked_by, score, reasons) of the pairs of ``docs`` that share a blocking key, not yet ranked.
+
+    All shared keys count, also those too common to block. blocked_by is the signal of the blocking key that came first; reasons maps signals to their shares. ``vectors`` (doc, v) adds
+    the cosine of both documents' vectors where it is positive. ``pos_col`` is an integer below 2^59. Documents, postings and keys are written tables: each input is read once, whatever the planner reuses.
+    """
+    names = list(signals)
+    rows = materialize(docs.select(F.col(doc_col).alias("doc"), F.col(pos_col).alias("pos"), *[c.alias(f"s_{s}") for s, c in signals.items()]), "link-docs")
+    size = rows.agg(F.count_distinct("doc").alias("n"), F.count("doc").alias("rows")).first()
+    n, posts = size["n"], postings(rows, {s: F.col(f"s_{s}") for s in names}, "doc", "pos", distinct=size["n"] < size["rows"])
+    posts = posts if n == size["rows"] else materialize(posts, "postings")
+    keys = materialize(idf(posts, n).withColumn("kid", F.monotonically_increasing_id()), "keys")  # written, so that a key keeps its number
+    by = keys.where("df > 1").groupBy("signal", blocks(n, options).alias("blocks")).agg(F.sum(F.col("df") * (F.col("df") - 1) / 2).cast("long").alias("pairs")).collect()  # two rows a signal
+    place = {s: i for i, s in enumerate(SIGNALS)}
+    numbers = {b: sorted({place.get(r["signal"], len(SIGNALS)) for r in by if r["blocks"] == b}) for b in (True, False)}
+    rows = materialize(members(posts, keys, n, numbers[False], options), "members")
+    pairs = pair_up(rows, sum(r["pairs"] for r in by if r["blocks"]), numbers[True], numbers[False], vectors, options.weights.get("vector", 0.0))
+    ranks = [int(c.split("_")[1]) for c in pairs.columns if c.startswith("share_")]
+    name = lambda r: SIGNALS[r] if r < len(SIGNALS) else "other"
+    parts = F.filter(F.array(*[F.struct(F.lit(name(r)).alias("signal"), F.col(f"share_{r}").alias("share")) for r in ranks]), lambda x: x["share"] > 0) if ranks else None
+    reasons = F.map_from_entries(parts) if ranks else F.create_map().cast("map<string,double>")
+    first = F.element_at(F.lit([*SIGNALS, "other"]), (F.col("place") % RANKS + 1).cast("int"))
+    return pairs.select("left", "right", first.alias("blocked_by"), sum((F.col(f"share_{r}") for r in ranks), F.lit(0.0)).alias("score"), reasons.alias("reasons"))
 
 
 def report(scored: DataFrame) -> DataFrame:
     """(kind, signal, pairs): how many pairs each signal proposed, and scored."""
-    by = scored.groupBy(F.lit("blocked_by").alias("kind"), F.col("blocked_by").alias("signal")).agg(F.count(F.lit(1)).alias("pairs"))
-    on = scored.select(F.lit("reason").alias("kind"), F.explode(F.map_keys("reasons")).alias("signal")).groupBy("kind", "signal").agg(F.count(F.lit(1)).alias("pairs"))
-    return by.unionByName(on)
+    signals = [*SIGNALS, "other"]
+    counts = scored.agg(*[F.count_if(F.col("blocked_by") == s).alias(f"blocked_by {s}") for s in signals], *[F.count_if(F.element_at("reasons", s).isNotNull()).alias(f"reason {s}") for s in signals])
+    rows = F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(s).alias("signal"), F.col(f"`{kind} {s}`").alias("pairs")) for kind in ("blocked_by", "reason") for s in signals])
+    return counts.select(F.explode(rows).alias("r")).select("r.*").where("pairs > 0")
 
 
 def buckets(posts: DataFrame, n_docs: int, max_ratio: float = 0.15, min_docs: int = 20) -> DataFrame:
-    """(key, df, docs sorted): an inverted index without keys of extreme document frequency; single members stay."""
-    sizes = posts.groupBy("key").agg(F.count_distinct("doc").alias("df"))
+    """(key, df, doc): an inverted index, a row a posting, without keys of extreme document frequency; keys of one document stay.
+
+    A key's documents may be many (``max_ratio`` of all), so they are rows, not an array: no task has to hold them.
+    """
+    once = posts.select("key", "doc").distinct()
+    sizes = once.groupBy("key").agg(F.count(F.lit(1)).alias("df"))
     if n_docs >= min_docs:
         sizes = sizes.where(F.col("df") / F.lit(float(n_docs)) <= max_ratio)
-    return posts.join(sizes, "key").groupBy("key", "df").agg(F.array_sort(F.collect_set("doc")).alias("docs"))
+    return once.join(sizes, "key").select("key", "df", "doc")
 
 
 def carrying_all(posts: DataFrame, keys: list[str]) -> DataFrame:

@@ -135,7 +135,8 @@ select * from b where (select count(*) from documents) < 20 or df / (select coun
 def buckets_df_cap(spark, sf_dir):
     docs = _Tables(spark, sf_dir).documents.select(F.col("doc_id").cast("string").alias("doc_id"), word_list().alias("w"))
     posts = linkage.postings(docs, {"word": F.col("w")}, pos_col="doc_id")
-    return linkage.buckets(posts, docs.count()).select("key", "df", F.array_join("docs", ",").alias("docs"))
+    found = linkage.buckets(posts, docs.count())
+    return found.groupBy("key", "df").agg(F.array_join(F.array_sort(F.collect_list("doc")), ",").alias("docs"))
 
 
 @query("""select l_orderkey as doc from lineitem join part on l_partkey = p_partkey where p_brand in ('Brand#2', 'Brand#17') group by 1 having count(distinct p_brand) = 2""")
