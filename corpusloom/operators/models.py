@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -38,9 +39,23 @@ class QuotaExhausted(RuntimeError):
     """No key can be used before the quota is renewed: the run stops, what is done stays done."""
 
 
+# What cools a key down, and for how long (seconds).
+COOLING = ("rate", "daily_quota", "invalid_key", "timeout", "server")
+FIRST_PAUSE, LONGEST_PAUSE, LONGEST_SERVER_PAUSE, DAY = 30.0, 1800.0, 300.0, 86_400.0
+
+
+def next_pacific_midnight(now: float) -> float:
+    """The next midnight in Los Angeles, where providers' days end, as seconds since 1970."""
+    import datetime
+    from zoneinfo import ZoneInfo
+
+    here = datetime.datetime.fromtimestamp(now, ZoneInfo("America/Los_Angeles"))
+    return (here + datetime.timedelta(days=1)).replace(hour=0, minute=0, second=0, microsecond=0).timestamp()
+
+
 @dataclass
 class KeyPool:
-    """Round robin over keys that aren't cooling down. Times are in seconds; ``clock`` is injected in tests."""
+    """Round robin over keys that aren't cooling down. Times are in seconds; ``clock`` and ``sleep`` are injected in tests; ``rows`` and ``restore`` carry the cooldowns between runs."""
 
     keys: list[str]
     clock: Callable[[], float] = time.time
@@ -48,59 +63,122 @@ class KeyPool:
     max_wait: float = 300.0
     until: dict[str, float] = field(default_factory=dict)
     strikes: dict[str, int] = field(default_factory=dict)
-    locked: set[str] = field(default_factory=set)
+    reason: dict[str, str] = field(default_factory=dict)
     at: int = 0
 
+    def healthy(self, key: str) -> bool:
+        return self.until.get(key, 0) <= self.clock()
+
     def acquire(self) -> str:
         for _ in range(len(self.keys)):
             key = self.keys[self.at % len(self.keys)]
             self.at += 1
-            if self.until.get(key, 0) <= self.clock():
-                self.locked.discard(key)
+            if self.healthy(key):
                 return key
-        if self.locked >= set(self.keys):
+        waitable = [self.until[k] for k in self.keys if self.reason.get(k) not in ("daily_quota", "invalid_key")]
+        if not waitable:
             raise QuotaExhausted("every key is locked")
-        wait = min(self.until[k] for k in self.keys if k not in self.locked) - self.clock()
+        wait = min(waitable) - self.clock()
         if wait > self.max_wait:
             raise QuotaExhausted("keys cool down for too long")
         self.sleep(max(0.0, wait))
         return self.acquire()
 
     def succeed(self, key: str) -> None:
-        self.strikes.pop(key, None)
-        self.until.pop(key, None)
-
-    def fail(self, key: str, kind: str, retry_after: float | None = None, midnight: float | None = None) -> None:
-        """Cool a key down: exponentially from 30 s to 30 min (5 min for server errors), as long as asked, until midnight, or 4 days if it is invalid."""
-        n = self.strikes[key] = self.strikes.get(key, 0) + 1
-        if kind == "daily_quota":
-            self.locked.add(key)
-            pause = (midnight - self.clock()) if midnight else 86_400.0
+        for held in (self.strikes, self.until, self.reason):
+            held.pop(key, None)
+
+    def fail(self, key: str, kind: str, retry_after: float | None = None) -> None:
+        """Cool a key down: as long as the provider asks, else exponentially from 30 s to 30 min (5 min for server errors and timeouts), until the provider's midnight, or 4 days if the key is invalid.
+
+        Other failures are the call's, not the key's. A strike counts on only while the key is still cooling.
+        """
+        if kind not in COOLING:
+            return
+        n = self.strikes[key] = 1 if self.healthy(key) else self.strikes.get(key, 0) + 1
+        now = self.clock()
+        if kind == "rate" and retry_after:
+            pause = min(max(retry_after, 1.0), LONGEST_PAUSE)
+        elif kind == "daily_quota":
+            pause = max(60.0, next_pacific_midnight(now) - now)
         elif kind == "invalid_key":
-            self.locked.add(key)
-            pause = 4 * 86_400.0
+            pause = 4 * DAY
         else:
-            pause = min(30.0 * 2 ** (n - 1), 300.0 if kind in ("timeout", "server") else 1800.0)
-            pause = max(pause, retry_after or 0.0)
-        self.until[key] = self.clock() + pause
+            pause = min(FIRST_PAUSE * 2 ** (n - 1), LONGEST_SERVER_PAUSE if kind in ("timeout", "server") else LONGEST_PAUSE)
+        self.until[key], self.reason[key] = now + pause, kind
+
+    def rows(self) -> list[tuple[str, str, int, float]]:
+        """(key, reason, strikes, until) of the keys that cool down, to be stored."""
+        return [(k, self.reason[k], self.strikes.get(k, 1), self.until[k]) for k in self.keys if k in self.until]
+
+    def restore(self, rows) -> KeyPool:
+        for key, reason, strikes, until in rows:
+            if key in self.keys:
+                self.reason[key], self.strikes[key], self.until[key] = reason, strikes, until
+        return self
+
+
+# How providers say what went wrong: (kind, HTTP statuses, wordings without blanks, dashes and underscores), in order of precedence, and how they ask to wait.
+ERRORS = (
+    ("rate", (429,), ("429", "resourceexhausted", "rate")),
+    ("invalid_key", (401, 403), ("apikey", "permission")),
+    ("server", (404, 500, 502, 503, 504), ("unavailable", "notfound", "nolongeravailable")),
+    ("timeout", (), ("timeout", "timedout")),
+)
+WAITS = (r"please retry in (\d+(?:\.\d+)?)\s*s", r"retryDelay['\":\s]+(\d+(?:\.\d+)?)s", r"retry[- ]after[:\s]*(\d+(?:\.\d+)?)")
+DAILY = "perday"
 
 
 def classify_error(message: str, status: int | None = None) -> tuple[str, float | None]:
-    """(kind, seconds to wait if the provider says) of a provider's error."""
-    import re
-
-    m = re.search(r"retry[^0-9]{0,20}([0-9]+(?:\.[0-9]+)?)\s*s", message, re.I)
-    wait = float(m[1]) if m else None
-    low = message.lower()
-    if status in (401, 403) or "api key" in low:
-        return "invalid_key", wait
-    if status == 429 or "quota" in low or "rate" in low:
-        return ("daily_quota" if "day" in low or "daily" in low else "rate"), wait
-    if status in (408, 504) or "timeout" in low or "timed out" in low:
-        return "timeout", wait
-    if status and status >= 500:
-        return "server", wait
-    return "other", wait
+    """(kind, seconds to wait if the provider says) of a provider's error; what fits no rule is ``other`` and isn't the key's fault."""
+    packed = re.sub(r"[_\- ]", "", message.lower())
+    kind = next((k for k, statuses, wordings in ERRORS if status in statuses or any(w in packed for w in wordings)), "other")
+    if kind == "rate" and DAILY in packed:
+        return "daily_quota", None
+    asked = [float(n) + 0.5 for p in WAITS for n in re.findall(p, message, re.I)] if kind in ("rate", "server") else []
+    return kind, asked[0] if asked else None
+
+
+class ProviderError(RuntimeError):
+    """A failed call of a provider."""
+
+    def __init__(self, message: str, status: int | None = None):
+        super().__init__(message)
+        self.status = status
+
+
+@dataclass
+class PooledBackend:
+    """Calls of a provider with keys in turn: ``call(key, prompt, system)`` answers or raises. A key that fails cools down and the next is tried, ``attempts`` times; calls start ``spacing`` seconds apart.
+
+    One instance serves a partition, so that the spacing holds for each task: run calls in as many partitions as the provider's limits allow.
+    """
+
+    call: Callable[[str, str, str], str]
+    pool: KeyPool
+    attempts: int = 6
+    spacing: float = 20.0
+    last: float | None = None
+
+    def complete(self, prompts: list[str], system: str) -> list[str]:
+        return [self._one(p, system) for p in prompts]
+
+    def _one(self, prompt: str, system: str) -> str:
+        error: Exception | None = None
+        for _ in range(self.attempts):
+            key = self.pool.acquire()
+            if self.last is not None:
+                self.pool.sleep(max(0.0, self.last + self.spacing - self.pool.clock()))
+            self.last = self.pool.clock()
+            try:
+                answer = self.call(key, prompt, system)
+            except Exception as e:  # whatever the provider's client raises
+                error, (kind, wait) = e, classify_error(str(e), getattr(e, "status", None))
+                self.pool.fail(key, kind, wait)
+                continue
+            self.pool.succeed(key)
+            return answer
+        raise error or ProviderError("no attempt was made")
 
 
 def complete(prompts: DataFrame, backend: ModelBackend, schema: str, system: str = "", validate: Validator | None = None, batch: int = 40, attempts: int = 3, key: str = "id", prompt: str = "prompt") -> DataFrame:

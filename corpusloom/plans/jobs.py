@@ -56,7 +56,7 @@ def _by(part: str, *order: str):
 
 def ingest(spark: SparkSession, store: TableStore, registry: dict[str, dict], book_id: str, root: str, limit: int | None = None) -> DataFrame:
     """Add a book's work items that aren't stored yet; short and contents pages are marked SKIPPED. Returns the new rows."""
-    files = resolve_book(registry, book_id, root)
+    files = resolve_book(spark, registry, book_id, root)
     pipeline = registry[book_id].get("pipeline", "plain")
     items = prepare(read_units(spark, *files), pipeline)
     if limit:
@@ -215,8 +215,8 @@ def harvest_book_headings(units: DataFrame) -> DataFrame:
     from corpusloom.runtime import ship
 
     ship(units.sparkSession)
-    heads = units.select(F.col("source_path").alias("file"), F.col("unit_seq").alias("seq"), F.posexplode(pages.headings_udf("text")).alias("pos", "h"))
-    heads = heads.select("file", "seq", "pos", "h.level", pages.topic_udf("h.title").alias("topic"))
+    heads = units.select(F.col("source_path").alias("file"), F.col("unit_seq").alias("seq"), F.posexplode(pages.headings(F.col("text"))).alias("pos", "h"))
+    heads = heads.select("file", "seq", "pos", "h.level", pages.heading_topic(F.col("h.title")).alias("topic"))
     return harvest.scan_headings(heads)
 
 

@@ -424,7 +424,7 @@ def strip_notes(spark, sf_dir):
     from corpusloom.runtime import ship
 
     ship(spark)
-    return _Tables(spark, sf_dir).documents.select("doc_id", pages.strip_notes_udf("text").alias("body"))
+    return _Tables(spark, sf_dir).documents.select("doc_id", pages.strip_notes(F.col("text")).alias("body"))
 
 
 @query("""with d as (select source, doc_id, trim(text, ' ' || chr(9) || chr(10) || chr(13)) as text, row_number() over (partition by source order by doc_id) - 1 as unit_seq from documents) select source as source_path, cast(unit_seq as integer) as unit_seq, cast(doc_id as varchar) as locator, text from d where text <> ''""")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import glob
-import os
-from pathlib import Path
+import html.entities
+import json
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,19 +53,34 @@ def read_texts(spark: SparkSession, *paths: str) -> DataFrame:
     return units_of_texts(files)
 
 
-def strip_html(html: Column) -> Column:
-    """Text of HTML: scripts and styles go, tags become line breaks, lines are trimmed and blank ones dropped, the common entities decoded."""
-    t = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>", "")
-    t = F.regexp_replace(t, r"(?s)<!--.*?-->|<[^>]*>", "\n")
-    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        t = F.replace(t, F.lit(entity), F.lit(char))
-    lines = F.filter(F.transform(F.split(t, r"\r?\n"), lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", "")), lambda x: x != "")
+def decode_entities(c: Column) -> Column:
+    """Character references, named, decimal or hexadecimal, as their characters, each once; unknown names stay, impossible code points become U+FFFD."""
+    # HTML 4 names, by the standard library; the five of markup are among them but for the apostrophe
+    names = F.create_map(*[F.lit(x) for name, point in sorted((html.entities.name2codepoint | {"apos": 39}).items()) for x in (name, chr(point))])
+    reference = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});"
+
+    def char(r: Column) -> Column:
+        number = F.when(r.rlike("^#[xX]"), F.conv(F.substring(r, 3, 9), 16, 10)).when(r.startswith("#"), F.substring(r, 2, 9)).try_cast("int")
+        real = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        point = F.decode(F.unhex(F.lpad(F.hex(F.when(real, number).otherwise(F.lit(0xFFFD)).cast("long")), 8, "0")), "UTF-32")
+        return F.when(r.startswith("#"), point).otherwise(F.coalesce(F.try_element_at(names, r), F.concat(F.lit("&"), r, F.lit(";"))))
+
+    found = F.transform(F.regexp_extract_all(c, F.lit(reference), F.lit(1)), char)
+    both = F.arrays_zip(F.split(c, reference, -1).alias("t"), F.concat(found, F.array(F.lit(""))).alias("e"))
+    return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(both, lambda x: F.concat(x["t"], x["e"])), "")).otherwise(c)
+
+
+def strip_html(c: Column) -> Column:
+    """Text of HTML: scripts and styles go, tags become line breaks, lines are trimmed and blank ones dropped, character references decoded."""
+    t = F.regexp_replace(c, r"(?is)<(script|style)\b.*?</\1\s*>", "")
+    t = decode_entities(F.regexp_replace(t, r"(?s)<!--.*?-->|<[^>]*>", "\n"))
+    lines = F.filter(F.transform(F.split(t, r"\r?\n"), lambda x: F.regexp_replace(x, r"(?U)^[\s\u00a0]+|[\s\u00a0]+$", "")), lambda x: x != "")
     return F.array_join(lines, "\n")
 
 
-def html_heading(html: Column) -> Column:
+def html_heading(c: Column) -> Column:
     """Text of the first h1, h2 or h3; empty if there is none."""
-    h = F.regexp_extract(html, r"(?is)<h([123])\b[^>]*>(.*?)</h\1\s*>", 2)
+    h = F.regexp_extract(c, r"(?is)<h([123])\b[^>]*>(.*?)</h\1\s*>", 2)
     return squeeze(F.replace(strip_html(h), F.lit("\n"), F.lit(" ")))
 
 
@@ -107,18 +122,49 @@ def read_units(spark: SparkSession, *paths: str) -> DataFrame:
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def resolve_book(registry: dict[str, dict], book_id: str, root: str) -> list[str]:
-    """Files of a registered book: its globs in order, each sorted, .txt and .epub only, each file once."""
+def read_document(spark: SparkSession, path: str) -> dict | list:
+    """A small JSON or YAML file (a registry, a catalog) from any file system that Spark reads; a missing or empty one is an empty dict."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return {}
+    text = spark.read.text(path, wholetext=True).first()
+    if text is None or not (text[0] or "").strip():
+        return {}
+    if path.lower().endswith((".yaml", ".yml")):
+        try:
+            import yaml
+        except ImportError as e:
+            raise RuntimeError("YAML files need the yaml module; JSON files don't") from e
+        return yaml.safe_load(text[0]) or {}
+    return json.loads(text[0])
+
+
+def _glob_regex(pattern: str) -> re.Pattern:
+    parts = re.split(r"(\*\*/|\*\*|\*|\?)", pattern)
+    wild = {"**/": "(?:.*/)?", "**": ".*", "*": "[^/]*", "?": "[^/]"}
+    return re.compile("".join(wild.get(p, re.escape(p)) for p in parts))
+
+
+def resolve_book(spark: SparkSession, registry: dict[str, dict], book_id: str, root: str) -> list[str]:
+    """Files of a registered book: its globs (``**`` for folders at any depth) below ``root`` in order, each sorted, .txt and .epub only, each file once. Listed through Hadoop's file systems."""
     if book_id not in registry:
         raise KeyError(book_id)
-    found: dict[str, str] = {}
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    base = fs.makeQualified(base)
+    paths, listed = [], fs.listFiles(base, True) if fs.exists(base) else None
+    while listed is not None and listed.hasNext():
+        paths.append(listed.next().getPath().toString())
+    names = {p: p[len(base.toString()) :].lstrip("/") for p in sorted(paths)}
+    found: dict[str, None] = {}
     for pattern in registry[book_id].get("globs", []):
-        for path in sorted(glob.glob(os.path.join(root, pattern))):
-            if Path(path).suffix.lower() in (".txt", ".epub"):
-                found.setdefault(os.path.realpath(path), path)
+        expr = _glob_regex(pattern)
+        found |= dict.fromkeys(p for p, name in names.items() if expr.fullmatch(name) and name.lower().endswith((".txt", ".epub")))
     if not found:
         raise FileNotFoundError(f"{book_id}: no files")
-    return list(found.values())
+    return list(found)
 
 
 def read_payloads(spark: SparkSession, path: str, skip: str = "nodes.json") -> DataFrame:

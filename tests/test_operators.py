@@ -81,15 +81,15 @@ def test_banner_files_epub_and_html(spark, tmp_path):
     assert [(r.unit_seq, r.locator) for r in rows] == [(0, "Title one"), (2, "3.xhtml")] and rows[0].text.endswith("A & B") and "x" not in rows[0].text.split()
 
 
-def test_resolve_book(tmp_path):
+def test_resolve_book(spark, tmp_path):
     for n in ("b.txt", "a.txt", "c.pdf"):
         (tmp_path / n).write_text("x")
     registry = {"k": {"globs": ["b*", "*"]}, "none": {"globs": ["z*"]}}
-    assert [p.rsplit("/", 1)[1] for p in files.resolve_book(registry, "k", str(tmp_path))] == ["b.txt", "a.txt"]
+    assert [p.rsplit("/", 1)[1] for p in files.resolve_book(spark, registry, "k", str(tmp_path))] == ["b.txt", "a.txt"]
     with pytest.raises(KeyError):
-        files.resolve_book(registry, "q", str(tmp_path))
+        files.resolve_book(spark, registry, "q", str(tmp_path))
     with pytest.raises(FileNotFoundError):
-        files.resolve_book(registry, "none", str(tmp_path))
+        files.resolve_book(spark, registry, "none", str(tmp_path))
 
 
 def test_payload_shapes(spark, tmp_path):
@@ -113,18 +113,23 @@ def test_payload_shapes(spark, tmp_path):
 # --- pages
 
 
-def test_notes_end_where_the_body_resumes():
+def test_notes_end_where_the_body_resumes(spark):
     page = "1- قال\n[1] أي كذا «مِنْ شَرِّ\n\nشرح الْوَسْواسِ الْخَنَّاسِ\nالَّذِي يُوَسْوِسُ»\nوَالْعَقْلُ نُورٌ مِنَ اللَّهِ\n2 - متن [2] آخر"
     roles = [(r, n) for _, r, n in pages.line_roles(page)]
     assert roles == [("body", None), ("note", "1"), ("note", "1"), ("note", "1"), ("note", "1"), ("body", None), ("body", None)]
-    assert "[2]" not in pages.strip_notes(page) and "شرح" not in pages.strip_notes(page)
+    body = applied(spark, page, pages.strip_notes)
+    assert "[2]" not in body and "شرح" not in body
 
 
-def test_headings_and_topics():
+def applied(spark, value, f):
+    return one(spark, value, f(F.col("x")))
+
+
+def test_headings_and_topics(spark):
     page = "كتاب العقل والجهل\n\nباب صفة العلم\nو فضله\n1- حديث\nكتاب جليل و إذا فيه\n١ ـ باب وجوب الصلاة :"
-    assert pages.headings(page) == [("book", "كتاب العقل والجهل"), ("chapter", "باب صفة العلم و فضله"), ("chapter", "١ باب وجوب الصلاة :")]
-    assert pages.heading_topic("١ ـ باب وجوب الصلاة :") == "وجوب الصلاة"
-    assert pages.heading_topic("كتاب الصلاة القسم الثالث") == "الصلاة" and pages.heading_topic("كتاب الفرائض و") == "الفرائض"
+    assert [tuple(h) for h in applied(spark, page, pages.headings)] == [("book", "كتاب العقل والجهل"), ("chapter", "باب صفة العلم و فضله"), ("chapter", "١ باب وجوب الصلاة :")]
+    assert applied(spark, "١ ـ باب وجوب الصلاة :", pages.heading_topic) == "وجوب الصلاة"
+    assert applied(spark, "كتاب الصلاة القسم الثالث", pages.heading_topic) == "الصلاة" and applied(spark, "كتاب الفرائض و", pages.heading_topic) == "الفرائض"
 
 
 def test_page_parts_and_sections(spark):
@@ -401,16 +406,66 @@ def test_key_pool_cools_and_locks():
     assert [pool.acquire(), pool.acquire(), pool.acquire()] == ["a", "b", "a"]
     pool.fail("a", "rate")
     assert pool.acquire() == "b" and pool.acquire() == "b"
-    pool.fail("b", "timeout", retry_after=60)
+    pool.fail("b", "rate", retry_after=60)
     assert pool.acquire() == "a" and now[0] == 30
-    pool.fail("a", "daily_quota", midnight=1e5)
+    pool.fail("a", "other")
+    assert pool.acquire() == "a", "what isn't the key's fault cools nothing"
+    pool.fail("a", "rate")
+    pool.fail("a", "rate")
+    assert pool.until["a"] == 90 and pool.strikes["a"] == 2, "a second strike while it cools doubles the pause"
+    now[0] = 95
+    pool.fail("a", "server")
+    assert pool.until["a"] == 125 and pool.strikes["a"] == 1, "strikes lapse once it has cooled"
+    kept = models.KeyPool(["a", "b"], clock=lambda: 0.0).restore(pool.rows())
+    assert (kept.until, kept.reason) == (pool.until, pool.reason)
+    pool.fail("a", "daily_quota")
     pool.fail("b", "invalid_key")
+    assert pool.until == {"a": 8 * 3600, "b": 95 + 4 * 86_400}, "midnight in Los Angeles is eight hours after the epoch"
     with pytest.raises(models.QuotaExhausted):
         pool.acquire()
-    now[0] = 1e5
+    now[0] = 8 * 3600
     assert pool.acquire() == "a"
-    assert models.classify_error("Quota exceeded, retry in 12 s", 429) == ("rate", 12.0)
-    assert models.classify_error("daily quota", 429)[0] == "daily_quota" and models.classify_error("x", 503)[0] == "server"
+
+
+@pytest.mark.parametrize("message, status, want", [
+    ("Please retry in 12.5 s", 429, ("rate", 13.0)), ("RESOURCE_EXHAUSTED: Resource exhausted", None, ("rate", None)), ("limit: requests_per_day", 429, ("daily_quota", None)), ("GenerateRequestsPerDay exceeded, rate", None, ("daily_quota", None)),
+    ("permission denied", None, ("invalid_key", None)), ("x", 403, ("invalid_key", None)), ("API key not valid", 400, ("invalid_key", None)), ("x", 404, ("server", None)), ("model is no longer available", None, ("server", None)),
+    ("Service Unavailable, retry-after: 3", None, ("server", 3.5)), ("request timed out", None, ("timeout", None)), ("bad schema", None, ("other", None)),
+])
+def test_provider_errors(message, status, want):
+    assert models.classify_error(message, status) == want
+
+
+def test_pooled_backend_turns_keys_and_spaces_calls():
+    now, seen = [0.0], []
+
+    def call(key, prompt, system):
+        seen.append((key, now[0]))
+        if key == "a":
+            raise models.ProviderError("quota: requests per day", 429)
+        return prompt.upper()
+
+    pool = models.KeyPool(["a", "b"], clock=lambda: now[0], sleep=lambda s: now.__setitem__(0, now[0] + s))
+    assert models.PooledBackend(call, pool, spacing=20).complete(["x", "y"], "") == ["X", "Y"]
+    assert seen == [("a", 0.0), ("b", 20.0), ("b", 40.0)]
+    pool.fail("b", "invalid_key")
+    with pytest.raises(models.QuotaExhausted):
+        models.PooledBackend(call, pool).complete(["z"], "")
+
+
+@pytest.mark.parametrize("html, want", [
+    ("a&#1740;b&zwnj;c&mdash;d", "aیb\u200cc—d"), ("&#x6CC;&amp;lt;&apos;&quot;", "ی&lt;'\""), ("&unknown; & &#0; &#xD800; &#9999999;", "&unknown; & \ufffd \ufffd \ufffd"),
+    ("<p>x&nbsp;y&nbsp;</p><script>&lt;</script>&copy;&#8217;", "x\u00a0y\n©’"), (None, None), ("", ""),
+])
+def test_character_references(spark, html, want):
+    assert applied(spark, html, files.strip_html) == want
+
+
+def test_page_locators(spark):
+    loc = "جلد 1 - صفحه 30"
+    cases = [(loc, "30", None, True), (loc, 30, 1, True), (loc, loc, None, True), (loc, "300", None, False), (loc, 30, 2, False), ("جلد 1 - صفحه 3", "30", None, False), ("جلد 2، صفحه 5", 2, None, False), ("صفحه 301", 30, None, False), (None, 1, None, False), (loc, "", None, False)]
+    for locator, page, volume, want in cases:
+        assert applied(spark, locator, lambda c: pages.page_locator_matches(c, page, volume)) is want, (locator, page, volume)  # noqa: B023
 
 
 def test_model_calls(spark):
