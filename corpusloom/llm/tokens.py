@@ -18,7 +18,7 @@ _STUCK = rf"\A[,.]|[^{_LETTERS}][,.]|[,.][^\n {_LETTERS}]"
 #: Where letters or digits end and ASCII signs begin, pieces do too.
 _SIGNS = rf"([{_LETTERS}])([!-/:-@\[-`{{-~])"
 #: Bytes of text that are cut into parts at a time.
-_AT_ONCE = 4 << 20
+_AT_ONCE = 2 << 20
 
 
 class Encoder:
@@ -117,7 +117,7 @@ class Encoder:
                     out[i] = part
         return out
 
-    def encode_column(self, texts: pa.Array, at_once: int = 2 * _AT_ONCE) -> Iterator[np.ndarray]:
+    def encode_column(self, texts: pa.Array, at_once: int = 8 << 20) -> Iterator[np.ndarray]:
         """The ids of every text in order; few texts' ids are in memory at a time."""
         size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
         a = 0
@@ -135,6 +135,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """One per Python worker and file."""
-    return Encoder(path)
+def encoder(path: str, most_parts: int = 240_000) -> Encoder:
+    """One per Python worker, file and size of its tables."""
+    return Encoder(path, most_parts)
