@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from corpusloom.functions.morphology import words_with_roots
 from corpusloom.functions.text import fold_citation
+from corpusloom.runtime import materialize
 
 #: Letters of a block that windows are cut from.
 BLOCK = 256
@@ -23,6 +24,27 @@ def letter_grams(df: DataFrame, id_col: str, text_col: str, n: int = 16, folding
     return at.select("id", (F.col("from") + F.col("i") - 1).alias("pos"), F.col("b").substr(F.col("i"), F.lit(n)).alias("gram"))
 
 
+def letter_hits(df: DataFrame, id_col: str, text_col: str, index: DataFrame, n: int = 16, folding=fold_citation) -> DataFrame:
+    """(id, gram) for the windows of ``n`` letters that may be in ``index`` (gram, ...): all that are, and few others.
+
+    Any window holds one whole half-window that begins at a multiple of ``n`` - n/2 + 1 letters. So only every such half-window is cut from the text, with the letters around it, and
+    looked up among the index's half-windows; the windows about those that are there are cut next. A text is passed on as 24 letters for every 9, not as 16 for every one.
+    """
+    half = n // 2
+    step, reach = n - half + 1, 2 * n - half
+    pad, block = " " * (n - half), step * 28
+    t = df.select(F.col(id_col).alias("id"), F.replace(folding(text_col), F.lit(" "), F.lit("")).alias("t")).where(F.length("t") >= n)
+    t = t.select("id", F.concat(F.lit(pad), "t", F.lit(" " * reach)).alias("t"))  # no gram has a space
+    cut = t.select("id", "t", F.explode(F.sequence(F.lit(1), F.length("t") - reach, F.lit(block))).alias("from"))
+    b = cut.select("id", F.col("t").substr(F.col("from"), F.lit(block + reach - step)).alias("b"))
+    at = b.select("id", "b", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("b") - reach + 1), F.lit(step))).alias("i"))
+    near = at.select("id", F.col("b").substr(F.col("i"), F.lit(reach)).alias("near")).withColumn("half", F.col("near").substr(n - half + 1, half))
+    halves = index.select(F.explode(F.transform(F.sequence(F.lit(1), F.lit(n - half + 1)), lambda i: F.col("gram").substr(i, F.lit(half)))).alias("half")).distinct()
+    hit = near.join(halves, "half", "left_semi")
+    grams = F.transform(F.sequence(F.lit(1), F.lit(step)), lambda i: F.col("near").substr(i, F.lit(n)))
+    return hit.select("id", F.explode(grams).alias("gram")).where(~F.contains("gram", F.lit(" ")) & (F.length("gram") == n))
+
+
 def sequence_grams(df: DataFrame, id_col: str, items: Column, n: int = 4) -> DataFrame:
     """(id, pos, gram) for every window of ``n`` items of an array."""
     t = df.select(F.col(id_col).alias("id"), items.alias("x")).where(F.size("x") >= n)
@@ -61,7 +83,8 @@ def root_index(verses: DataFrame, n: int = 4) -> DataFrame:
 
 def match_verses(texts: DataFrame, verses: DataFrame, id_col: str = "id", text_col: str = "text", letters: int = 16, roots: int = 4) -> DataFrame:
     """(id, refs): verbatim matches first, then matches by roots, each once."""
-    a = best_matches(letter_grams(texts, id_col, text_col, letters), gram_index(verses, letters)).withColumn("tier", F.lit(0))
+    index = materialize(gram_index(verses, letters), "gram-index")
+    a = best_matches(letter_hits(texts, id_col, text_col, index, letters), index).withColumn("tier", F.lit(0))
     b = best_matches(_root_grams(texts, id_col, text_col, roots), root_index(verses, roots)).withColumn("tier", F.lit(1))
     both = a.unionByName(b).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("tier", "n", "ref"))).alias("x"))
     return both.select("id", F.array_distinct(F.transform("x", lambda r: r["ref"])).alias("refs"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,18 @@ def connected_components(edges: DataFrame, src: str = "a", dst: str = "b", max_r
     return nodes.unionByName(roots)
 
 
+def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest index that each of ``n`` nodes reaches over the links a-b: what a task answers with instead of all its links."""
+    label = np.arange(n)
+    while len(a) and (label[a] != label[b]).any():
+        low = np.minimum(label[a], label[b])
+        for ends in (label[a], label[b]):
+            np.minimum.at(label, ends, low)
+        while (label[label] != label).any():
+            label = label[label]
+    return label
+
+
 def _large_star(e: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Each node links its larger neighbours to the smallest node of its neighbourhood. Also returns the minima."""
     both = e.union(e.select(F.col("v"), F.col("u"))).toDF("u", "v")

@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from corpusloom.functions.text import fold_label
 from corpusloom.operators.catalog import decompose
 from corpusloom.operators.similarity import sparse_cosine
+from corpusloom.runtime import materialize
 
 # Printed titles of one and the same book, by folded title.
 BOOK_ALIASES = {
@@ -154,12 +155,10 @@ def attest(candidates: DataFrame, pages: DataFrame, words: Column, key: Column,
     ``longest`` words meets the candidates by an equi-join; of candidates with one key the smallest stands.
     """
     c = candidates.select("candidate", key.alias("key")).where("key <> ''").groupBy("key").agg(F.min("candidate").alias("candidate"))
-    p = pages.select("page_id", "kitab", words.alias("w"))
-    grams = None
-    for n in range(1, longest + 1):
-        at = p.where(F.size("w") >= n).select("page_id", "kitab", "w", F.explode(F.sequence(F.lit(1), F.size("w") - n + 1)).alias("i"))
-        g = at.select("page_id", "kitab", F.array_join(F.slice("w", F.col("i"), n), " ").alias("key"))
-        grams = g if grams is None else grams.unionByName(g)
+    p = pages.select("page_id", "kitab", words.alias("w")).where(F.size("w") > 0)
+    at = p.select("page_id", "kitab", "w", F.explode(F.sequence(F.lit(1), F.size("w"))).alias("i"))
+    here = [F.when(F.col("i") + n - 1 <= F.size("w"), F.array_join(F.slice("w", F.col("i"), n), " ")) for n in range(1, longest + 1)]
+    grams = at.select("page_id", "kitab", F.explode(F.array(*here)).alias("key")).where("key is not null")
     hits = grams.join(c, "key").select("candidate", "kitab", "page_id").distinct()
     return hits.groupBy("candidate", "kitab").agg(F.count(F.lit(1)).alias("pages"))
 
@@ -170,9 +169,10 @@ def ground_aliases(proposed: DataFrame, taken: DataFrame, attested: DataFrame, m
     In order: same_as_concept, already_a_concept, not_in_corpus (fewer than ``min_pages``), different_context (overlap of the pages' books below
     ``min_overlap``), contested (an earlier concept claimed it), kept.
     """
+    attested = materialize(attested.select("candidate", "kitab", "pages"), "attested")
     p = proposed.withColumn("folded", folding("alias")).withColumn("own", folding("concept"))
     total = attested.groupBy(F.col("candidate").alias("alias")).agg(F.sum("pages").alias("pages"))
-    over = sparse_cosine(attested.select("candidate", "kitab", "pages"), attested.select("candidate", "kitab", "pages")).toDF("concept", "alias", "overlap")
+    over = sparse_cosine(attested, attested, proposed.select(F.col("concept").alias("a"), F.col("alias").alias("b"))).toDF("concept", "alias", "overlap")
     known = taken.select("folded").distinct().withColumn("is_taken", F.lit(True))
     p = p.join(known, "folded", "left").join(total, "alias", "left").join(over, ["concept", "alias"], "left")
     early = (

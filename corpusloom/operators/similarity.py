@@ -7,8 +7,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corpusloom.operators.graph import connected_components
-from corpusloom.runtime import ship
+from corpusloom.operators.graph import connected_components, spanning
+from corpusloom.runtime import materialize, ship
+
+
+def _blocks(rows: DataFrame, blocks: int | None, block_rows: int) -> DataFrame:
+    """Rows (id, v) dealt by hash, once for each pair of blocks (i, j) that their block b is part of."""
+    n = blocks or max(1, -(-rows.count() // block_rows))
+    mine = F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    dealt = rows.select("id", "v", mine.alias("b"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("o"))
+    return dealt.select("id", "v", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b")
+
+
+def _near(pdf, threshold: float, strict: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, row, cosine) of the pairs of a pair of blocks, each pair once."""
+    x = np.array(pdf["v"].tolist(), np.float64).reshape(len(pdf), -1)
+    length = np.sqrt((x**2).sum(1))
+    x = x / np.where(length > 0, length, 1.0)[:, None]
+    b, i, j = pdf["b"].to_numpy(), pdf["i"].iloc[0], pdf["j"].iloc[0]
+    a, z = np.flatnonzero(b == i), np.flatnonzero(b == j)
+    s = x[a] @ x[z].T
+    p, q = np.nonzero(s > threshold if strict else s >= threshold)
+    once = a[p] < z[q] if i == j else np.ones(len(p), bool)
+    return a[p][once], z[q][once], s[p, q][once]
 
 
 def cosine_pairs(df: DataFrame, id_col: str, vec_col: str, threshold: float, blocks: int | None = None, block_rows: int = 2000, strict: bool = True) -> DataFrame:
@@ -20,37 +41,45 @@ def cosine_pairs(df: DataFrame, id_col: str, vec_col: str, threshold: float, blo
     """
     ship(df.sparkSession)
     rows = df.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("v")).where("id is not null and v is not null")
-    n = blocks or max(1, -(-rows.count() // block_rows))
-    mine = F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-    dealt = rows.select("id", "v", mine.alias("b"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("o"))
-    dealt = dealt.select("id", "v", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b")
     id_type = rows.schema["id"].dataType.simpleString()
 
     def compare(pdf):
         import pandas as pd
 
-        x = np.array(pdf["v"].tolist(), np.float64).reshape(len(pdf), -1)
-        length = np.sqrt((x**2).sum(1))
-        x = x / np.where(length > 0, length, 1.0)[:, None]
-        ids, b, i, j = pdf["id"].to_numpy(), pdf["b"].to_numpy(), pdf["i"].iloc[0], pdf["j"].iloc[0]
-        a, z = np.flatnonzero(b == i), np.flatnonzero(b == j)
-        s = x[a] @ x[z].T
-        p, q = np.nonzero(s > threshold if strict else s >= threshold)
-        left, right = ids[a[p]], ids[z[q]]
-        keep = left < right if i == j else np.ones(len(left), bool)
+        a, z, cosine = _near(pdf, threshold, strict)
+        ids = pdf["id"].to_numpy()
+        left, right = ids[a], ids[z]
+        keep = left != right
         lo, hi = np.where(left < right, left, right), np.where(left < right, right, left)
-        return pd.DataFrame({"left": lo[keep], "right": hi[keep], "cosine": s[p, q][keep]})
+        return pd.DataFrame({"left": lo[keep], "right": hi[keep], "cosine": cosine[keep]})
 
-    return dealt.groupBy("i", "j").applyInPandas(compare, f"left {id_type}, right {id_type}, cosine double")
+    return _blocks(rows, blocks, block_rows).groupBy("i", "j").applyInPandas(compare, f"left {id_type}, right {id_type}, cosine double")
 
 
-def duplicate_clusters(df: DataFrame, id_col: str, vec_col: str, similarity: float = 0.92) -> DataFrame:
+def duplicate_clusters(df: DataFrame, id_col: str, vec_col: str, similarity: float = 0.92, blocks: int | None = None, block_rows: int = 2000) -> DataFrame:
     """(id, cluster) of the rows that have a neighbour at cosine >= ``similarity``; the cluster is its smallest id.
 
     Density clustering with two points a neighbourhood leaves every point with a neighbour in the cluster of that neighbour: clusters are the connected components of the links.
+    Equal vectors are one node, however many rows share it, and a pair of blocks answers with a spanning forest of its links, never with all of them.
     """
-    links = cosine_pairs(df, id_col, vec_col, 1 - max(1 - similarity, 1e-6), strict=False)
-    return connected_components(links, "left", "right").toDF(id_col, "cluster")
+    ship(df.sparkSession)
+    cut = 1 - max(1 - similarity, 1e-6)
+    rows = df.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("v")).where("id is not null").where(F.exists("v", lambda x: x != 0))
+    nodes = materialize(rows.groupBy("v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")), "vectors")
+    id_type = rows.schema["id"].dataType.simpleString()
+
+    def link(pdf):
+        import pandas as pd
+
+        a, z, _ = _near(pdf, cut, False)
+        label, ids = spanning(len(pdf), a, z), pdf["id"].to_numpy()
+        linked = np.flatnonzero(label != np.arange(len(pdf)))
+        return pd.DataFrame({"a": ids[linked], "b": ids[label[linked]]})
+
+    links = _blocks(nodes.select("id", "v"), blocks, block_rows).groupBy("i", "j").applyInPandas(link, f"a {id_type}, b {id_type}")
+    found = connected_components(links)
+    named = nodes.join(found, nodes["id"] == found["node"], "left").where("component is not null or n > 1").select("v", F.coalesce("component", nodes["id"]).alias("cluster"))
+    return rows.join(named, "v").select(F.col("id").alias(id_col), "cluster")
 
 
 def canonical_ids(groups: DataFrame, group_col: str, id_col: str, preview: Column, limit: int = 4000) -> DataFrame:
@@ -69,10 +98,14 @@ def apply_canonical(rows: DataFrame, mapping: DataFrame, id_col: str = "id", cur
     return rows.join(new, rows[id_col] == new["_child"], "left").select(*keep, F.coalesce("_new", old, F.col(id_col)).alias(current))
 
 
-def sparse_cosine(a: DataFrame, b: DataFrame) -> DataFrame:
-    """(a, b, overlap): cosine of two sparse count maps given as rows (name, key, n); pairs without a common key have no row."""
+def sparse_cosine(a: DataFrame, b: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """(a, b, overlap): cosine of two sparse count maps given as rows (name, key, n); pairs without a common key have no row.
+
+    With ``pairs`` (a, b) only these are worked out: each side of a pair meets its own counts, so that a key that all names share joins nothing but the pairs.
+    """
     x, y = a.toDF("a", "key", "n"), b.toDF("b", "key", "m")
     na = x.groupBy("a").agg(F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("na"))
     nb = y.groupBy("b").agg(F.sqrt(F.sum(F.col("m") * F.col("m"))).alias("nb"))
-    dots = x.join(y, "key").groupBy("a", "b").agg(F.sum(F.col("n") * F.col("m")).alias("dot"))
+    met = x.join(y, "key") if pairs is None else pairs.select("a", "b").distinct().join(x, "a").join(y, ["b", "key"])
+    dots = met.groupBy("a", "b").agg(F.sum(F.col("n") * F.col("m")).alias("dot"))
     return dots.join(na, "a").join(nb, "b").select("a", "b", (F.col("dot") / (F.col("na") * F.col("nb"))).alias("overlap"))

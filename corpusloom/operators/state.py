@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.operators.topk import keep_first
+from corpusloom.runtime import write_text
 
 STATUSES = ("PENDING", "PROCESSED_PHASE1", "EMBEDDED", "PROCESSED_PHASE2", "ERROR", "SKIPPED")
 
@@ -38,6 +39,42 @@ def merge(table: DataFrame, updates: DataFrame, key: list[str], overwrite: tuple
     return both.select(*out)
 
 
+def chunk_by_id(chunks: DataFrame, chunk: str) -> DataFrame:
+    """One chunk; the condition reaches the scan."""
+    return chunks.where(F.col("id") == chunk)
+
+
+def embeddings_of(embeddings: DataFrame, model: str, ids: DataFrame | None = None) -> DataFrame:
+    """Embeddings (chunk_id, model, vector) of one model, of the chunks in ``ids`` (id) alone if given."""
+    e = embeddings.where(F.col("model") == model)
+    return e if ids is None else e.join(ids.select(F.col("id").alias("chunk_id")), "chunk_id", "left_semi")
+
+
+def upsert_embeddings(embeddings: DataFrame, new: DataFrame) -> DataFrame:
+    """``new`` replaces what chunks have by the same model."""
+    return embeddings.join(new.select("chunk_id", "model"), ["chunk_id", "model"], "left_anti").unionByName(new)
+
+
+def set_progress(progress: DataFrame, rows: DataFrame) -> DataFrame:
+    """Last locators (book_id, source_path, locator) of files; the newest counts."""
+    return merge(progress, rows, ["book_id", "source_path"])
+
+
+def start_job(jobs: DataFrame, job_id: str, kind: str, started: Column | None = None) -> DataFrame:
+    """The job log (job_id, kind, started, finished, status, detail) with a new entry."""
+    row = jobs.sparkSession.range(1).select(F.lit(job_id).alias("job_id"), F.lit(kind).alias("kind"), (F.current_timestamp() if started is None else started).alias("started"), F.lit(None).cast("timestamp").alias("finished"), F.lit("running").alias("status"), F.lit(None).cast("string").alias("detail"))
+    return jobs.unionByName(row)
+
+
+def finish_job(jobs: DataFrame, job_id: str, status: str, detail: str | None = None, finished: Column | None = None) -> DataFrame:
+    mine = F.col("job_id") == job_id
+    return jobs.withColumns({
+        "finished": F.when(mine, F.current_timestamp() if finished is None else finished).otherwise(F.col("finished")),
+        "status": F.when(mine, F.lit(status)).otherwise(F.col("status")),
+        "detail": F.when(mine, F.lit(detail)).otherwise(F.col("detail")),
+    })
+
+
 def latest(log: DataFrame, key: list[str], order: list[Column | str]) -> DataFrame:
     """State of a change log: the last row of each key."""
     return keep_first(log, key, order)
@@ -102,14 +139,27 @@ class TableStore:
             if schema is None:
                 raise FileNotFoundError(name)
             return self.spark.createDataFrame([], schema)
-        version = self.spark.read.text(self._pointer(name)).first()[0]
-        return self.spark.read.parquet(f"{self.root}/{name}/{version}")
+        return self.spark.read.parquet(f"{self.root}/{name}/{self._versions(name)[0]}")
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
+        """A new version, pointed to once it is whole. The version before the last is deleted: a reader of the last isn't disturbed."""
+        kept = self._versions(name)
         version = f"v-{uuid.uuid4().hex}"
         df.write.parquet(f"{self.root}/{name}/{version}")
-        p, fs = self._fs(self._pointer(name))
-        out = fs.create(p, True)
-        out.write(bytearray(version.encode()))
-        out.close()
+        write_text(self.spark, self._pointer(name), "\n".join([version, *kept[:1]]))
+        for old in kept[1:]:
+            p, fs = self._fs(f"{self.root}/{name}/{old}")
+            fs.delete(p, True)
+        return self.read(name)
+
+    def append(self, name: str, rows: DataFrame) -> DataFrame:
+        """More rows in the current version: a table that only grows isn't written again. What a table's keys allow is the caller's to see to."""
+        kept = self._versions(name)
+        if not kept:
+            return self.write(name, rows)
+        rows.write.mode("append").parquet(f"{self.root}/{name}/{kept[0]}")
         return self.read(name)
+
+    def _versions(self, name: str) -> list[str]:
+        """The current version and the one before."""
+        return [r[0] for r in self.spark.read.text(self._pointer(name)).collect() if r[0]] if self.exists(name) else []

@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from corpusloom.functions.keys import chunk_id, pair_id
 from corpusloom.functions.text import fold_latin
 from corpusloom.functions.vectors import cosine
 from corpusloom.operators import assembly, audit, catalog, citations, export, harvest, linkage, models, pages, resolver, similarity, state, topk
+from corpusloom.runtime import materialize
 from corpusloom.sources.files import html_heading, strip_html, units_of_texts
 from corpusloom.streaming.records import windowed_counts
 
@@ -401,10 +403,10 @@ def pack_greedy(spark, sf_dir):
 
 
 _PAGE_TEXT = r"regexp_replace(regexp_replace(regexp_replace({0}, '<script\b.*?</script\s*>', '', 'gis'), '<style\b.*?</style\s*>', '', 'gis'), '<!--.*?-->|<[^>]*>', chr(10), 'gs')"
-_ENTITIES = "replace(replace(replace(replace(replace(replace({0}, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')"
+_ENTITIES = "replace(replace(replace(replace(replace(replace({0}, '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')"
 
 
-@query(f"""select page_id, array_to_string(list_filter(list_transform(string_split({_ENTITIES.format(_PAGE_TEXT.format('html'))}, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13))), lambda x: x <> ''), chr(10)) as text from pages""")
+@query(f"""select page_id, array_to_string(list_filter(list_transform(string_split({_ENTITIES.format(_PAGE_TEXT.format('html'))}, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13) || chr(160))), lambda x: x <> ''), chr(10)) as text from pages""")
 def page_text(spark, sf_dir):
     return _Tables(spark, sf_dir).pages.select("page_id", strip_html(F.col("html")).alias("text"))
 
@@ -449,8 +451,8 @@ def _items(t: _Tables, text: Column = None) -> DataFrame:
 bs as (select item_id, replace({FOLD.format('text')}, ' ', '') as t from benchmark), i as (select distinct item_id, unnest(list_transform(range(1, length(t) - 14), lambda i: substr(t, i, 16))) as gram from bs where length(t) >= 16)""" + _BEST)
 def gram_match(spark, sf_dir):
     t = _Tables(spark, sf_dir)
-    index = citations.gram_index(_items(t), 16, fold_latin)
-    best = citations.best_matches(citations.letter_grams(t.documents, "doc_id", "text", 16, fold_latin), index)
+    index = materialize(citations.gram_index(_items(t), 16, fold_latin), "gram-index")
+    best = citations.best_matches(citations.letter_hits(t.documents, "doc_id", "text", index, 16, fold_latin), index)
     return best.select(F.col("id").alias("doc_id"), F.col("ref").alias("item_id"), "weight")
 
 
@@ -465,13 +467,14 @@ def word_gram_match(spark, sf_dir):
 
 
 @query(f"""with m as (select doc_id, d.text as body, array_to_string(w[1:2], ' ') as mention, array_to_string(w[1:5], ' ') as evidence, case when doc_id % 2 = 0 then 'concept' else 'person' end as type, doc_id % 11 = 0 as narrator
-from documents d join (select item_id, {WORDS} as w from benchmark) b on b.item_id = d.doc_id % 40), f as (select *, replace({FOLD.format('body')}, ' ', '') as fb, replace({FOLD.format('mention')}, ' ', '') as fm, replace({FOLD.format('evidence')}, ' ', '') as fe, length({FOLD.format('evidence')}) >= 6 as usable from m)
+from documents d left join (select row_number() over (order by item_id) - 1 as n, {WORDS} as w from benchmark) b on b.n = coalesce(d.doc_id, 0) % (select count(*) from benchmark)), f as (select *, replace({FOLD.format('body')}, ' ', '') as fb, replace({FOLD.format('mention')}, ' ', '') as fm, replace({FOLD.format('evidence')}, ' ', '') as fe, length({FOLD.format('evidence')}) >= 6 as usable from m)
 select doc_id, case when narrator then 'narrator' when trim(coalesce(body, '')) = '' then null when trim(mention) = '' then 'empty' when usable and not (fe <> '' and contains(fb, fe)) then 'evidence not in text'
  when not usable and not (fm <> '' and contains(fb, fm)) then 'no evidence and not in text' when type = 'person' and not (fm <> '' and contains(fb, fm)) then 'entity not in text' end as reason from f""")
 def ground_mentions(spark, sf_dir):
     t = _Tables(spark, sf_dir)
-    b = t.benchmark.select("item_id", word_list().alias("w"))
-    m = t.documents.join(b, F.col("item_id") == F.col("doc_id") % 40).select(
+    items = t.benchmark.count()
+    b = t.benchmark.select((F.row_number().over(Window.orderBy("item_id")) - 1).alias("n"), word_list().alias("w"))
+    m = t.documents.join(b, F.col("n") == F.coalesce("doc_id", F.lit(0)) % items, "left").select(
         "doc_id", F.col("text").alias("body"), F.array_join(F.slice("w", 1, 2), " ").alias("text"), F.array_join(F.slice("w", 1, 5), " ").alias("evidence"),
         F.when(F.col("doc_id") % 2 == 0, "concept").otherwise("person").alias("type"), F.lit(None).cast("array<string>").alias("quotes"), (F.col("doc_id") % 11 == 0).alias("is_narrator"),
     )
@@ -481,9 +484,9 @@ def ground_mentions(spark, sf_dir):
 # --- state, keys, export, audit ----------------------------------------------------------------------------------------
 
 
-@query("select o_orderstatus as status, count(*) as n from orders where o_orderkey % 2 = 0 group by 1")
+@query("select o_orderstatus as status, count(*) as n from orders group by 1")
 def status_counts(spark, sf_dir):
-    return state.status_counts(_Tables(spark, sf_dir).orders.withColumnRenamed("o_orderstatus", "status"), keep=F.col("o_orderkey") % 2 == 0)
+    return state.status_counts(_Tables(spark, sf_dir).orders.withColumnRenamed("o_orderstatus", "status"))
 
 
 @query("select o_orderkey, sha256(least(cast(o_orderkey as varchar), cast(o_custkey as varchar)) || '|' || greatest(cast(o_orderkey as varchar), cast(o_custkey as varchar))) as pair_id from orders")
@@ -543,28 +546,38 @@ def audit_risk(spark, sf_dir):
 
 
 def _graph(t: _Tables) -> tuple[DataFrame, DataFrame]:
-    chunks = t.orders.select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderstatus").alias("book_id"), F.col("o_orderpriority").alias("locator"), F.lit("p").alias("pipeline"),
-                             F.when(F.col("o_orderkey") % 10 == 1, (F.col("o_orderkey") - 1).cast("string")).alias("canonical_id"), F.when(F.col("o_orderkey") % 7 == 0, F.concat(F.lit("1:"), (F.col("o_orderkey") % 5).cast("string"))).alias("anchor"))
+    """Orders as records of two pipelines, in chapters of their customer and books of their priority; lines as nodes and citations."""
+    key = F.col("o_orderkey")
+    chunks = t.orders.select(key.cast("string").alias("id"), F.col("o_orderstatus").alias("book_id"), F.col("o_orderpriority").alias("locator"), F.when(key % 3 == 0, "tafsir").otherwise("hadith").alias("pipeline"),
+                             F.when(key % 10 == 1, (key - 1).cast("string")).alias("canonical_id"), F.when(key % 7 == 0, F.concat(F.lit("1:"), (key % 5).cast("string"))).alias("anchor"),
+                             F.when(key % 4 != 0, F.col("o_orderpriority")).alias("kitab"), F.when(F.col("o_custkey") % 5 != 0, F.concat(F.lit("b"), (F.col("o_custkey") % 40).cast("string"))).otherwise("باب النوادر").alias("bab"))
     li = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    nodes = li.select(F.col("l_orderkey").cast("string").alias("id"), F.col("p_type").alias("key"), F.col("p_type").alias("label"), F.when(F.col("p_size") % 2 == 0, "concept").otherwise("person").alias("type"))
+    nodes = li.groupBy(F.col("l_orderkey").cast("string").alias("id"), F.col("p_type").alias("key"), F.col("p_type").alias("label"), F.when(F.col("p_size") % 2 == 0, "concept").otherwise("person").alias("type")).agg(F.when(F.max("l_quantity") > 25, "primary").otherwise("secondary").alias("role"))
     verdicts = t.orders.where("o_orderkey % 4 = 0").select(F.col("o_orderkey").cast("string").alias("left_id"), F.col("o_custkey").cast("string").alias("right_id"), F.when(F.col("o_orderkey") % 8 == 0, "SUPPORTS").otherwise("UNRELATED").alias("relation"), F.col("o_totalprice").alias("score"))
-    return export.export_graph(chunks, nodes, verdicts)
+    told = t.lineitem.select(F.col("l_orderkey").cast("string").alias("id"), (F.col("l_suppkey") % 9).cast("string").alias("name"))
+    cited = t.lineitem.select(F.col("l_orderkey").cast("string").alias("id"), F.concat(F.lit("2:"), (F.col("l_partkey") % 30).cast("string")).alias("ref"))
+    return export.export_graph(chunks, nodes, verdicts, told, cited)
 
 
-_TYPED = "select distinct l_orderkey as id, case when p_size % 2 = 0 then 'concept' else 'person' end as type, p_type from lineitem join part on l_partkey = p_partkey"
+_GRAPH = """with t as (select l_orderkey as id, case when p_size % 2 = 0 then 'concept' else 'person' end as type, p_type, case when max(l_quantity) > 25 then 'primary' else 'secondary' end as role from lineitem join part on l_partkey = p_partkey group by all),
+s as (select o_orderkey as id, 'kitab' as type, o_orderpriority as name from orders where o_orderkey % 4 <> 0 union all select o_orderkey, 'bab', 'b' || (o_custkey % 40) from orders where o_custkey % 5 <> 0)
+"""
 
 
-@query(f"""with t as ({_TYPED}) select id, min(label) as label, arg_min(name, label || name) as name from (
+@query(_GRAPH + """select id, min(label) as label, arg_min(name, label || name) as name from (
 select cast(o_orderkey as varchar) as id, 'Chunk' as label, o_orderpriority as name from orders union select distinct 'book:' || o_orderstatus, 'Book', o_orderstatus from orders union select distinct type || ':' || p_type, case type when 'concept' then 'Concept' else 'Person' end, p_type from t
-union select distinct 'ayah:1:' || (o_orderkey % 5), 'Ayah', '1:' || (o_orderkey % 5) from orders where o_orderkey % 7 = 0) group by id""")
+union select distinct 'ayah:1:' || (o_orderkey % 5), 'Ayah', '1:' || (o_orderkey % 5) from orders where o_orderkey % 21 = 0 union select distinct 'ayah:2:' || (l_partkey % 30), 'Ayah', '2:' || (l_partkey % 30) from lineitem
+union select distinct type || ':' || name, case type when 'kitab' then 'Kitab' else 'Bab' end, name from s union select distinct 'narrator:' || (l_suppkey % 9), 'Narrator', cast(l_suppkey % 9 as varchar) from lineitem) group by id""")
 def export_nodes(spark, sf_dir):
     return _graph(_Tables(spark, sf_dir))[0]
 
 
-@query(f"""with t as ({_TYPED}) select cast(id as varchar) as src, case type when 'concept' then 'HAS_CONCEPT' else 'MENTIONS' end as kind, type || ':' || p_type as dst, null::double as score from t
-union select cast(o_orderkey as varchar), 'IN_BOOK', 'book:' || o_orderstatus, null from orders union select cast(o_orderkey as varchar), 'COMMENTS_ON', 'ayah:1:' || (o_orderkey % 5), null from orders where o_orderkey % 7 = 0
-union select cast(o_orderkey - 1 as varchar), 'APPEARS_IN', cast(o_orderkey as varchar), null from orders where o_orderkey % 10 = 1
-union select cast(o_orderkey as varchar), 'SUPPORTS', cast(o_custkey as varchar), o_totalprice from orders where o_orderkey % 8 = 0""")
+@query(_GRAPH + """select cast(id as varchar) as src, case type when 'concept' then 'HAS_CONCEPT' else 'MENTIONS' end as kind, type || ':' || p_type as dst, null::double as score, role, null::varchar as locator, null::varchar as book_id from t
+union select cast(id as varchar), case type when 'kitab' then 'IN_KITAB' else 'IN_BAB' end, type || ':' || name, null, null, null, null from s
+union select cast(o_orderkey as varchar), 'IN_BOOK', 'book:' || o_orderstatus, null, null, null, null from orders union select cast(o_orderkey as varchar), 'COMMENTS_ON', 'ayah:1:' || (o_orderkey % 5), null, null, null, null from orders where o_orderkey % 21 = 0
+union select cast(o_orderkey - 1 as varchar), 'APPEARS_IN', cast(o_orderkey as varchar), null, null, o_orderpriority, o_orderstatus from orders where o_orderkey % 10 = 1 and o_orderkey % 3 <> 0
+union select cast(o_orderkey as varchar), 'SUPPORTS', cast(o_custkey as varchar), o_totalprice, null, null, null from orders where o_orderkey % 8 = 0
+union select cast(l_orderkey as varchar), 'CITES', 'ayah:2:' || (l_partkey % 30), null, null, null, null from lineitem union select cast(l_orderkey as varchar), 'NARRATED_BY', 'narrator:' || (l_suppkey % 9), null, null, null, null from lineitem""")
 def export_edges(spark, sf_dir):
     return _graph(_Tables(spark, sf_dir))[1]
 
@@ -579,8 +592,6 @@ def windowed_events(spark, sf_dir):
 r as (select *, row_number() over (partition by doc, text, type order by pos) > 1 as again, count(*) over (partition by doc) as n from m)
 select doc, pos, case when not (salience between 0 and 1) then 'salience' when again then 'repeated' when pos > 6 then 'too many' when n < 2 then 'too few' end as error from r""")
 def response_validation(spark, sf_dir):
-    from pyspark.sql.window import Window
-
     li = _Tables(spark, sf_dir).lineitem
     pos = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"))
     m = li.select(F.col("l_orderkey").alias("doc"), pos.alias("pos"), (F.col("l_partkey") % 5).cast("string").alias("text"), F.col("l_returnflag").alias("type"), (F.col("l_quantity") / 48).alias("salience"))

@@ -92,6 +92,19 @@ def qualified(spark: SparkSession, path: str) -> str:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, written beside its place and moved into it, so that a reader sees the old one or the new one."""
+    jvm = spark.sparkContext._jvm
+    there, beside = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    fs = there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(beside, there):  # some file systems don't rename over a file
+        fs.delete(there, False)
+        fs.rename(beside, there)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
