@@ -34,6 +34,73 @@ def merge_catalogs(rows: list[dict], fold) -> list[dict]:
     return out
 
 
+SECTIONS = {"persons": "person", "places": "place", "groups": "group", "events": "event", "works": "work"}
+
+
+def _texts(x) -> list[str]:
+    return [str(v).strip() for v in (x if isinstance(x, (list, tuple)) else [] if x is None else [x]) if str(v).strip()]
+
+
+def parse_concepts(raw: list) -> list[dict]:
+    """Rows (id, pref, aliases, broader, group) of a catalog's entries: plain labels or mappings; ``broader`` is one parent or several; entries without a label go."""
+    out = []
+    for entry in raw or []:
+        e = {"id": entry} if isinstance(entry, str) else entry
+        if not isinstance(e, dict):
+            continue
+        pref = str(e.get("pref") or e.get("id") or "").strip()
+        if pref:
+            out.append({"id": str(e.get("id") or pref).strip(), "pref": pref, "aliases": _texts(e.get("aliases")), "broader": _texts(e.get("broader")), "group": bool(e.get("group"))})
+    return out
+
+
+def parse_entities(raw: dict, sections: dict[str, str] = SECTIONS) -> list[dict]:
+    """Rows (type, id, pref, aliases, ambiguous) of a gazetteer, section by section; of entries with one type and id the first counts."""
+    out: dict[tuple[str, str], dict] = {}
+    for section, kind in sections.items():
+        for e in (raw or {}).get(section) or []:
+            pref = str(e.get("pref") or e.get("id") or "").strip() if isinstance(e, dict) else ""
+            if pref:
+                row = {"type": kind, "id": str(e.get("id") or pref).strip(), "pref": pref, "aliases": _texts(e.get("aliases")), "ambiguous": bool(e.get("ambiguous"))}
+                out.setdefault((kind, row["id"]), row)
+    return list(out.values())
+
+
+def concept_table(spark, rows: list[dict]) -> DataFrame:
+    """Concepts in order as a table (id, pref, aliases, broader, group, ord)."""
+    return spark.createDataFrame([(r["id"], r["pref"], r["aliases"], r["broader"], r["group"], i) for i, r in enumerate(rows)], "id string, pref string, aliases array<string>, broader array<string>, group boolean, ord int")
+
+
+def entity_table(spark, rows: list[dict]) -> DataFrame:
+    return spark.createDataFrame([(r["type"], r["id"], r["pref"], r["aliases"], r["ambiguous"], i) for i, r in enumerate(rows)], "type string, id string, pref string, aliases array<string>, ambiguous boolean, ord int")
+
+
+def broader_edges(concepts: DataFrame) -> DataFrame:
+    """(child, parent) by label of a concept table."""
+    return concepts.select(F.col("pref").alias("child"), F.explode("broader").alias("parent"))
+
+
+def apply_promotions(concepts: DataFrame, plan: DataFrame, folding=fold_label) -> DataFrame:
+    """``concepts`` (id, pref, aliases, broader, group, ord) and the terms that ``plan`` promotes, after them, but those whose folded label is there already."""
+    last = concepts.agg(F.coalesce(F.max("ord"), F.lit(-1)).alias("last"))
+    have = concepts.select(folding("pref").alias("folded")).distinct()
+    new = plan.where("action = 'promote'").withColumn("folded", folding("term")).where("folded <> ''").groupBy("folded").agg(F.min("term").alias("term")).join(have, "folded", "left_anti")
+    numbered = new.withColumn("n", F.row_number().over(Window.orderBy("term"))).join(F.broadcast(last))  # one row
+    none = F.array().cast("array<string>")
+    return concepts.unionByName(numbered.select(F.col("term").alias("id"), F.col("term").alias("pref"), none.alias("aliases"), none.alias("broader"), F.lit(False).alias("group"), (F.col("last") + F.col("n")).cast("int").alias("ord")), allowMissingColumns=True)
+
+
+def replace_section(concepts: DataFrame, rows: DataFrame, origin: str) -> DataFrame:
+    """``concepts`` (with a column origin) where ``rows`` take the place of all rows of that origin: applied twice it changes nothing."""
+    return concepts.where(~F.col("origin").eqNullSafe(F.lit(origin))).unionByName(rows.withColumn("origin", F.lit(origin)), allowMissingColumns=True)
+
+
+def vocabulary_block(concepts: list[str], groups: list[str], max_chars: int = 8000) -> str:
+    """The catalog's labels for a prompt, cut at ``max_chars``."""
+    lines = ["CONCEPTS: " + " · ".join(concepts)] + (["GROUPS: " + " · ".join(groups)] if groups else [])
+    return "\n".join(lines)[:max_chars]
+
+
 def concept_forms(concepts: DataFrame, folding=fold_label) -> DataFrame:
     """(folded, pref, ord): every id, label and alias. On collisions the earliest concept wins."""
     forms = F.explode(F.array_distinct(F.concat(F.array("id", "pref"), F.coalesce("aliases", F.array().cast("array<string>")))))
@@ -175,3 +242,27 @@ def _with_repairs(n: DataFrame, parts: DataFrame, ids: list[str], strict: bool)
     first = parts.groupBy(*ids).agg(F.min_by("pref", "word_pos").alias("repair"))
     out = n.join(first, ids, "left").withColumn("label", label).where("label is not null")
     return out.select(*ids, F.col("label").alias("node"), F.col("kind").alias("type"), "role", (F.col("hit").isNotNull() & (F.col("kind") == "concept")).alias("curated"), (F.col("hit").isNull() & closed).alias("repaired"))
+
+
+def node_policy(nodes: DataFrame, forms: DataFrame, entities: DataFrame, docs: DataFrame | None = None, strict: bool = True, folding=fold_label) -> DataFrame:
+    """Raw nodes (doc, pos, node, type, role) as records may keep them: (doc, pos, node, type, role, repaired).
+
+    In order: known types alone; catalog labels or repairs (``resolve_nodes``); narrators of the record (``docs``: doc, ravis) go; each (label, type) once; the first six; roles anew, two primaries at most (``assign_roles``).
+    """
+    n = resolve_nodes(nodes, forms, entities, strict, folding)
+    if docs is not None:
+        told = narrator_identities(docs, entities, folding)
+        n = n.withColumn("folded", folding("node")).join(told, ["doc", "folded"], "left_anti").drop("folded")
+    policy = assign_roles(n)
+    return policy.join(n.select("doc", "pos", "repaired"), ["doc", "pos"])
+
+
+def remap_payloads(payloads: DataFrame, forms: DataFrame, entities: DataFrame, folding=fold_label) -> DataFrame:
+    """(id, semantic_nodes) of the stored payloads (id, semantic_nodes, ravis, resolved) that the policy changes; resolved ones are left alone."""
+    todo = payloads.where(~F.coalesce("resolved", F.lit(False)))
+    raw = todo.select(F.col("id").alias("doc"), F.posexplode("semantic_nodes").alias("pos", "n")).select("doc", "pos", "n.node", "n.type", "n.role")
+    kept = node_policy(raw, forms, entities, todo.select(F.col("id").alias("doc"), F.coalesce("ravis", F.array().cast("array<string>")).alias("ravis")), folding=folding)
+    new = kept.groupBy("doc").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "node", "type", "role"))), lambda x: x.dropFields("pos")).alias("new"))  # six nodes at most
+    none = F.array().cast("array<struct<node:string,type:string,role:string>>")
+    both = todo.join(new, todo["id"] == new["doc"], "left").select("id", F.coalesce("semantic_nodes", none).alias("old"), F.coalesce("new", none).alias("semantic_nodes"))
+    return both.where(F.to_json("old") != F.to_json("semantic_nodes")).select("id", "semantic_nodes")

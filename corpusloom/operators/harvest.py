@@ -108,12 +108,32 @@ def seam(flags: DataFrame, keys: list[str], order: list[str], flag: Column, min_
     return f.where(ok).groupBy(*keys).agg(F.max_by("cut", F.struct(before - after, -F.col("cut"))).alias("cut"))
 
 
-def scan_headings(heads: DataFrame, forms: DataFrame | None = None) -> DataFrame:
-    """Chapter headings (file, seq, pos, level, topic) as rows (file, seq, pos, topic, kitab, is_term): each with the book in force."""
-    w = Window.partitionBy("file").orderBy("seq", "pos").rowsBetween(Window.unboundedPreceding, 0)
-    inforce = F.coalesce(F.last(F.when(F.col("level") == "book", F.col("topic")), ignorenulls=True).over(w), F.lit(""))
-    h = heads.withColumn("kitab", inforce).where("level = 'chapter' and topic <> ''").withColumn("topic", strip_meta_head(F.col("topic"))).where("topic <> ''")
-    return h.select("file", "seq", "pos", "topic", "kitab", is_term(F.col("topic")).alias("is_term"))
+def scan_headings(heads: DataFrame, page_text: Column | None = None, **seam_floors) -> DataFrame:
+    """Chapter headings (file, seq, pos, level, topic, and what ``page_text`` reads) as rows (file, seq, pos, topic, kitab, is_term): each with its book.
+
+    A book heading that is no term clears the book in force: chapters after it have none, rather than the wrong one. With ``page_text``, chapters whose pages stop naming their book lose it from the
+    seam on (``seam``), as an unmarked change of book is likelier there than a digression.
+    """
+    order = Window.partitionBy("file").orderBy("seq", "pos").rowsBetween(Window.unboundedPreceding, 0)
+    is_book = F.col("level") == "book"
+    book = F.coalesce(F.nullif(strip_meta_head(F.col("topic")), F.lit("")), "topic")
+    named = heads.where("topic <> ''").where(~F.col("topic").rlike(PROPOSITIONAL)).withColumn("_book", F.when(is_book, F.when(is_term(book), book).otherwise("")))
+    h = named.withColumn("kitab", F.coalesce(F.last("_book", ignorenulls=True).over(order), F.lit(""))).withColumn("span", F.sum(is_book.cast("int")).over(order))
+    h = h.where("level = 'chapter'").withColumn("topic", strip_meta_head(F.col("topic"))).where("topic <> ''").withColumn("is_term", is_term(F.col("topic")))
+    if page_text is not None:
+        head = F.split_part(fold_label("kitab"), F.lit(" "), F.lit(1))
+        h = h.withColumn("about", (head != "") & F.contains(fold_label(page_text), head))
+        cuts = seam(h.where("kitab <> ''"), ["file", "span"], ["seq", "pos"], F.col("about"), **seam_floors)
+        place = F.row_number().over(Window.partitionBy("file", "span").orderBy("seq", "pos"))
+        h = h.withColumn("_n", place).join(cuts, ["file", "span"], "left").withColumn("kitab", F.when(F.col("_n") > F.col("cut"), "").otherwise(F.col("kitab")))
+    return h.select("file", "seq", "pos", "topic", "kitab", "is_term")
+
+
+def books_of(heads: DataFrame) -> DataFrame:
+    """(kitab, n): the books that headings name, and how often."""
+    book = F.coalesce(F.nullif(strip_meta_head(F.col("topic")), F.lit("")), "topic")
+    named = heads.where("level = 'book' and topic <> ''").where(~F.col("topic").rlike(PROPOSITIONAL)).select(book.alias("kitab")).where(is_term(F.col("kitab")))
+    return named.groupBy("kitab").agg(F.count(F.lit(1)).alias("n"))
 
 
 def vote(chapters: DataFrame) -> DataFrame:
@@ -122,6 +142,50 @@ def vote(chapters: DataFrame) -> DataFrame:
     return chapters.where("is_term").groupBy(F.col("topic").alias("term"), own.alias("kitab")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def harvest(heads: DataFrame, base: DataFrame, page_text: Column | None = None, rounds: int = 3, folding=fold_label, **seam_floors) -> tuple[DataFrame, DataFrame]:
+    """(terms, outcomes): the vocabulary that headings carry. Terms: term, n, broader; outcomes: outcome, terms.
+
+    Chapters that are terms vote for their books; long titles are mined for the concepts of ``base`` (folded, pref) and of the terms found so far, again while that finds new ones (``rounds`` at most), each
+    title voting once, by the last round; a majority settles each term's parent.
+    """
+    chapters = materialize(scan_headings(heads, page_text, **seam_floors), "chapters")
+    books = materialize(books_of(heads), "books")
+    own, long = vote(chapters), chapters.where("not is_term").select(F.xxhash64("file", "seq", "pos").alias("title_id"), F.col("topic").alias("title"), "kitab")
+    words = base.select("folded", "pref").unionByName(own.select(F.col("term").alias("pref")).union(books.select("kitab")).distinct().select(folding("pref").alias("folded"), "pref"))
+    forms, size, mined = None, -1, None
+    for _ in range(rounds):
+        forms = materialize(words.where("folded <> ''").groupBy("folded").agg(F.min("pref").alias("pref")), "forms")
+        now = forms.count()
+        if now == size:
+            break
+        size = now
+        mined = materialize(mine_long_titles(long, forms, folding), "mined")
+        words = forms.unionByName(mined.select("term").distinct().select(folding("term").alias("folded"), F.col("term").alias("pref")))
+    abstain = F.when(F.col("term") == F.col("kitab"), F.lit("")).otherwise(F.col("kitab"))
+    votes = materialize(own.unionByName(mined.select("term", abstain.alias("kitab"), "n")).groupBy("term", "kitab").agg(F.sum("n").alias("n")), "votes")
+    parents = materialize(settle_parents(votes, books, own.select("term")), "parents")
+    counts = votes.groupBy("term").agg(F.sum("n").alias("n")).unionByName(books.select(F.col("kitab").alias("term"), "n")).groupBy("term").agg(F.sum("n").alias("n"))
+    terms = counts.join(parents.select("term", F.col("parent").alias("broader")), "term", "left").select("term", "n", "broader")
+    return terms, parents.groupBy("outcome").agg(F.count(F.lit(1)).alias("terms"))
+
+
+def derived_catalog(terms: DataFrame, min_sources: int = 1, folding=fold_label) -> DataFrame:
+    """Rows (id, pref, broader, n) of the catalog that a harvest writes: of terms with one folded form the smallest, with enough sources, none its own parent."""
+    t = terms.where(F.col("n") >= min_sources).withColumn("folded", folding("term")).where("folded <> ''")
+    first = t.groupBy("folded").agg(F.min(F.struct("term", "broader", "n")).alias("x")).select("folded", "x.*")
+    parent = F.when(folding("broader") != F.col("folded"), F.nullif("broader", F.lit("")))
+    return first.select(F.col("term").alias("id"), F.col("term").alias("pref"), parent.alias("broader"), "n")
+
+
+def catalog_yaml(rows: list[dict]) -> str:
+    """A catalog file of rows (id, pref, broader, n); text is quoted and escaped as YAML's double-quoted style (JSON strings are) wants."""
+    import json
+
+    quoted = lambda x: json.dumps(x, ensure_ascii=False)
+    lines = [f"  - {{id: {quoted(r['id'])}, pref: {quoted(r['pref'])}" + (f", broader: {quoted(r['broader'])}" if r.get("broader") else "") + "}" + (f"  # x{r['n']}" if r.get("n") else "") for r in rows]
+    return "concepts:\n" + "\n".join(lines) + "\n" if lines else "concepts: []\n"
+
+
 def mine_long_titles(titles: DataFrame, forms: DataFrame, folding=fold_label) -> DataFrame:
     """(term, kitab, n): votes of titles (title_id, title, kitab) for the concepts among their words, one a title."""
     found = decompose(titles.select("title_id", "kitab", F.col("title").alias("text")), forms, ["title_id", "kitab"], "text", folding)
@@ -141,6 +205,20 @@ def group_proposals(proposals: DataFrame, known: DataFrame, folding=fold_label)
     return p.groupBy("folded").agg(F.min_by("term", "seq").alias("term"), F.count_distinct("source").alias("df"), F.array_sort(F.collect_set("term")).alias("variants"))
 
 
+def proposals_per_source(proposals: DataFrame, folding=fold_label) -> DataFrame:
+    """(source, terms): how many different terms each source proposed."""
+    return proposals.withColumn("folded", folding("term")).where("folded <> ''").groupBy("source").agg(F.count_distinct("folded").alias("terms"))
+
+
+def repair_map(plan: DataFrame) -> DataFrame:
+    """(term, anchor) of the proposals that the plan repairs."""
+    return plan.where("action = 'repair'").select("term", "anchor")
+
+
+def verdict_counts(verdicts: DataFrame) -> DataFrame:
+    return verdicts.groupBy("verdict").agg(F.count(F.lit(1)).alias("n"))
+
+
 def plan_proposals(grouped: DataFrame, anchors: DataFrame, threshold: Column) -> DataFrame:
     """``grouped`` with action: promote (df reaches the threshold), repair (``anchors``: folded, anchor), drop."""
     g = grouped.join(anchors, "folded", "left")
