@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.morphology import words_with_roots
+from corpusloom.functions.text import translation_incomplete
 
 # Weights of the checks, and the sets that are on by default.
 WEIGHTS = {"truncated_translation": 4, "too_few_mentions": 3, "ungrounded_mention": 5, "contrast_foil_without_elevated": 6, "framing_only_top": 4, "repeated_root_uncovered": 2, "high_salience_not_in_text": 2, "predicate_hinge_missing": 6}
@@ -108,6 +109,44 @@ def predicate_hinge(docs: DataFrame, stem: str = "نفع", inflected: str = "ن
     return docs.where((F.size("words") > 0) & near & ~covered & typed).select(*issue(F.col("doc"), "predicate_hinge_missing", F.lit(stem)))
 
 
+def excerpt(raw: Column, folded: Column, limit: int = 1800, before: int = 20) -> Column:
+    """The raw text from about the first "said" of its folded form on, ``limit`` characters at most. The place is the folded text's, so that marks shift it: a little is kept before."""
+    at = F.greatest(F.locate(" قال ", folded), F.lit(0))
+    at = F.when(at > 0, at).otherwise(F.locate(" يقول ", folded))
+    cut = F.trim(F.when(at > 0, F.substring(raw, F.greatest(at - before, F.lit(1)), F.length(raw))).otherwise(raw))
+    return F.when(F.length(cut) <= limit, cut).otherwise(F.concat(F.substring(cut, F.lit(1), F.lit(limit)), F.lit("\n…")))
+
+
+def ungrounded(mentions: DataFrame) -> DataFrame:
+    """Issues for mentions (doc, text, reason) that their record's text doesn't support."""
+    return mentions.where(F.col("reason").isNotNull()).select(*issue(F.col("doc"), "ungrounded_mention", F.concat_ws(": ", "text", "reason")))
+
+
+def truncated_translations(docs: DataFrame) -> DataFrame:
+    """Issues for records (doc, translation) whose translation breaks off."""
+    return docs.where(translation_incomplete(F.col("translation"))).select(*issue(F.col("doc"), "truncated_translation", F.lit("translation")))
+
+
+def review_issues(issues: DataFrame, texts: DataFrame, backend, batch: int = 40) -> DataFrame:
+    """(doc, code, verdict) of a model's view of each issue on the excerpt (doc, text) it was found in; an unreadable answer keeps the issue."""
+    from corpusloom.operators.models import complete
+
+    asked = issues.join(texts, "doc").select(F.to_json(F.struct("doc", "code", "detail")).alias("id"), F.concat(F.lit("issue: "), "code", F.lit("\ndetail: "), F.coalesce("detail", F.lit("")), F.lit("\ntext: "), F.coalesce("text", F.lit(""))).alias("prompt")).distinct()
+    said = complete(asked, backend, "keep boolean", key="id", batch=batch)
+    at = said.select(F.from_json("id", issues.select("doc", "code", "detail").schema).alias("i"), F.when(F.coalesce("answer.keep", F.lit(True)), "keep").otherwise("drop").alias("verdict"))
+    return at.select("i.doc", "i.code", "verdict").groupBy("doc", "code").agg(F.max("verdict").alias("verdict"))
+
+
+def review_report(kept: DataFrame, dropped: DataFrame, title: str = "Review", limit: int = 200) -> str:
+    """A person's report: counts by check, then the kept issues, most risky records first, then what was dismissed."""
+    by = lambda df: {r["code"]: r["n"] for r in df.groupBy("code").agg(F.count(F.lit(1)).alias("n")).collect()}
+    k, d = by(kept), by(dropped)
+    out = [f"# {title}", "", "| check | kept | dismissed |", "|-|-|-|"] + [f"| {c} | {k.get(c, 0)} | {d.get(c, 0)} |" for c in sorted({*k, *d})] + [""]
+    for r in risk([kept], top=limit).collect() if k else []:
+        out += [f"## {r['doc']} (risk {r['risk']})", *[f"- {i['code']}: {i['detail']}" for i in r["issues"]]]
+    return "\n".join(out) + "\n"
+
+
 def filter_by_verdicts(issues: DataFrame, verdicts: DataFrame) -> DataFrame:
     """Issues that a reviewer (doc, code, verdict) didn't dismiss; what wasn't reviewed stays."""
     v = issues.join(verdicts, ["doc", "code"], "left")

@@ -174,3 +174,10 @@ def carrying_all(posts: DataFrame, keys: list[str]) -> DataFrame:
     """Documents that carry every one of ``keys``."""
     hit = posts.where(F.col("key").isin(*keys)).groupBy("doc").agg(F.count_distinct("key").alias("n"))
     return hit.where(F.col("n") == len(set(keys))).select("doc")
+
+
+def capped_groups(posts: DataFrame, most: int = 200) -> DataFrame:
+    """(key, doc, n) of the first ``most`` documents (by pos) of each key: groups as an older judge took them, whole, in one call. The cut is its feature; ``candidates`` has none."""
+    from corpusloom.operators.topk import top_per
+
+    return top_per(posts.select("key", "doc", "pos").distinct(), ["key"], ["pos", "doc"], most, "n").select("key", "doc", "n")

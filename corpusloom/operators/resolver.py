@@ -162,3 +162,8 @@ def ground(mentions: DataFrame, folding, require_evidence: bool = True, min_evid
         .when(F.col("type").isin(*grounded_types) & ~inside("text"), "entity not in text")
     )
     return mentions.withColumn("reason", reason)
+
+
+def node_report(nodes: DataFrame, limit: int = 40) -> DataFrame:
+    """The most frequent nodes, then by label."""
+    return nodes.select("label", "type", "df", "curated", "parent").orderBy(F.desc("df"), "label").limit(limit)

@@ -8,16 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.keys import chunk_id, pair_id
-from corpusloom.functions.text import fold, fold_label, should_skip
-from corpusloom.operators import assembly, catalog, citations, export, harvest, linkage, models, pages, resolver, similarity, state
+from corpusloom.functions.text import fold, fold_label, match_key, should_skip, translation_incomplete
+from corpusloom.operators import assembly, audit, catalog, citations, export, harvest, linkage, models, pages, resolver, similarity, state
+from corpusloom.operators.payloads import PRIMARY_WEIGHT, embed_text, needs_enrichment
 from corpusloom.operators.state import TableStore
-from corpusloom.sources.files import mentions_of, read_units, resolve_book
+from corpusloom.runtime import materialize, write_text
+from corpusloom.sources.files import mentions_of, read_document, read_units, resolve_book, salience
 
 CHUNKS = (
     "id string, book_id string, pipeline string, source_path string, unit_seq int, locator string, marker string, text string, kitab string, bab string,"
     " status string, payload string, error string, attempts int, canonical_id string, anchor string"
 )
-PAYLOAD = "mentions array<struct<text:string,type:string,salience:string,evidence:string>>, quotes array<string>, ravis array<string>, quran_refs array<string>, proposed_nodes array<string>"
+PAYLOAD = "mentions array<struct<text:string,type:string,salience:string,evidence:string>>, quotes array<string>, ravis array<string>, quran_refs array<string>, proposed_nodes array<string>, translation string"
 EDGES = "pair_id string, left_id string, right_id string, relation string, score double"
 VECTORS = "id string, vector array<double>"
 DOC_NODES = "id string, key string, label string, type string, weight double, parent string"
@@ -54,11 +56,17 @@ def _by(part: str, *order: str):
     return Window.partitionBy(part).orderBy(*order)
 
 
-def ingest(spark: SparkSession, store: TableStore, registry: dict[str, dict], book_id: str, root: str, limit: int | None = None) -> DataFrame:
-    """Add a book's work items that aren't stored yet; short and contents pages are marked SKIPPED. Returns the new rows."""
+def ingest(spark: SparkSession, store: TableStore, registry: dict[str, dict], book_id: str, root: str, limit: int | None = None, page: str | None = None, volume: str | None = None) -> DataFrame:
+    """Add a book's work items that aren't stored yet; short and contents pages are marked SKIPPED. ``page`` (and ``volume``) take the items of one printed page alone. Returns the new rows."""
     files = resolve_book(spark, registry, book_id, root)
-    pipeline = registry[book_id].get("pipeline", "plain")
-    items = prepare(read_units(spark, *files), pipeline)
+    return ingest_units(store, read_units(spark, *files), book_id, registry[book_id].get("pipeline", "plain"), limit, page, volume)
+
+
+def ingest_units(store: TableStore, units: DataFrame, book_id: str, pipeline: str, limit: int | None = None, page: str | None = None, volume: str | None = None) -> DataFrame:
+    """As ``ingest``, of units that are read already. New rows are appended: no stored book is written again."""
+    items = prepare(units, pipeline)
+    if page:
+        items = items.where(pages.page_locator_matches(F.col("locator"), page, volume))
     if limit:
         items = items.orderBy("source_path", "unit_seq").limit(limit)
     marked = F.when(F.col("marker").isNotNull(), F.concat_ws("|", "marker", "locator")).otherwise(F.col("locator"))
@@ -67,8 +75,8 @@ def ingest(spark: SparkSession, store: TableStore, registry: dict[str, dict], bo
         F.when(should_skip(F.col("text")), "SKIPPED").otherwise("PENDING").alias("status"), F.lit(None).cast("string").alias("payload"), F.lit(None).cast("string").alias("error"), F.lit(0).alias("attempts"), F.lit(None).cast("string").alias("canonical_id"), "anchor",
     )
     old = store.read("chunks", CHUNKS)
-    fresh = rows.join(old.select("id"), "id", "left_anti")
-    store.write("chunks", state.insert_if_absent(old, rows, ["id"], ["source_path", "unit_seq"]))
+    fresh = materialize(state.insert_if_absent(old.limit(0), rows.join(old.select("id"), "id", "left_anti").select(*old.columns), ["id"], ["source_path", "unit_seq"]), "fresh")
+    store.append("chunks", fresh)
     return fresh
 
 
@@ -95,14 +103,19 @@ def _mentions(chunks: DataFrame) -> DataFrame:
     return mentions_of(p, "id")
 
 
-def grounded_mentions(chunks: DataFrame, entities: DataFrame) -> DataFrame:
-    """Mentions of stored payloads that their own text supports and that aren't its narrators."""
+def judged_mentions(chunks: DataFrame, entities: DataFrame) -> DataFrame:
+    """Mentions of stored payloads with the reason why their own text doesn't support them (null: it does); narrators are no mentions."""
     m = _mentions(chunks).join(_payloads(chunks).select(F.col("id").alias("doc"), F.col("text").alias("body"), "p.quotes", "p.ravis"), "doc")
     told = catalog.narrator_identities(_payloads(chunks).select(F.col("id").alias("doc"), F.coalesce("p.ravis", F.array().cast("array<string>")).alias("ravis")), entities)
     own = m.select("doc", "pos", fold_label("text").alias("folded"))
     known = own.join(entities, "folded").select("doc", "pos", fold_label("pref").alias("folded"))
     narr = own.union(known).join(told, ["doc", "folded"], "left_semi").select("doc", "pos").distinct().withColumn("is_narrator", F.lit(True))
-    return resolver.ground(m.join(narr, ["doc", "pos"], "left"), fold).where("reason is null").drop("reason")
+    return resolver.ground(m.join(narr, ["doc", "pos"], "left"), fold)
+
+
+def grounded_mentions(chunks: DataFrame, entities: DataFrame) -> DataFrame:
+    """Mentions of stored payloads that their own text supports and that aren't its narrators."""
+    return judged_mentions(chunks, entities).where("reason is null").drop("reason")
 
 
 def resolve(store: TableStore, concepts: DataFrame, entities: DataFrame) -> DataFrame:
@@ -119,8 +132,13 @@ def resolve(store: TableStore, concepts: DataFrame, entities: DataFrame) -> Data
 def embed(store: TableStore, embedder: Callable[[list[str]], list[list[float]]]) -> DataFrame:
     """Vectors of the chunks that have none."""
     chunks, old = store.read("chunks", CHUNKS), store.read("vectors", VECTORS)
-    new = models.embed(chunks.where("status <> 'SKIPPED'").select("id", "text"), embedder, cache=old)
-    return store.write("vectors", old.unionByName(new))
+    none = F.lit(None).cast("string")
+    body = embed_text(F.col("pipeline"), F.col("text"), F.lit(None).cast("array<string>"), none, none, F.lit(None).cast("array<string>"))
+    new = materialize(models.embed(chunks.where("status <> 'SKIPPED'").select("id", body.alias("text")), embedder, cache=old), "vectors")
+    done = new.select("id", F.lit("EMBEDDED").alias("status")).join(chunks.where("status = 'PROCESSED_PHASE1'").select("id"), "id", "left_semi")
+    vectors = store.append("vectors", new)
+    store.write("chunks", state.merge(chunks, done, ["id"]))
+    return vectors
 
 
 def deduplicate(store: TableStore, cut: float = 0.92) -> DataFrame:
@@ -205,19 +223,126 @@ def export_store(store: TableStore, path: str) -> tuple[DataFrame, DataFrame]:
     chunks = store.read("chunks", CHUNKS).where("status <> 'SKIPPED'")
     told = _payloads(chunks).select("id", F.explode("p.ravis").alias("name")).where("name is not null and name <> ''").distinct()
     edges = store.read("edges", EDGES)
-    nodes, links = export.export_graph(chunks, store.read("doc_nodes", DOC_NODES), edges, told)
+    cited = _payloads(chunks).select("id", F.explode("p.quran_refs").alias("ref")).distinct()
+    doc_nodes = store.read("doc_nodes", DOC_NODES).withColumn("role", F.when(F.col("weight") >= PRIMARY_WEIGHT, "primary").otherwise("secondary"))
+    nodes, links = export.export_graph(chunks, doc_nodes, edges, told, cited)
     export.write_graph(nodes, links, path)
     return nodes, links
 
 
-def harvest_book_headings(units: DataFrame) -> DataFrame:
-    """(term, kitab, n) votes of all headings of paged units."""
+def headings_of(units: DataFrame) -> DataFrame:
+    """(file, seq, pos, level, topic, text): the headings of paged units that name a subject, with their page."""
+    from corpusloom.functions.text import plain
     from corpusloom.runtime import ship
 
     ship(units.sparkSession)
-    heads = units.select(F.col("source_path").alias("file"), F.col("unit_seq").alias("seq"), F.posexplode(pages.headings(F.col("text"))).alias("pos", "h"))
-    heads = heads.select("file", "seq", "pos", "h.level", pages.heading_topic(F.col("h.title")).alias("topic"))
-    return harvest.scan_headings(heads)
+    heads = units.select(F.col("source_path").alias("file"), F.col("unit_seq").alias("seq"), "text", F.posexplode(pages.headings(F.col("text"))).alias("pos", "h"))
+    heads = heads.select("file", "seq", "pos", "h.level", plain(pages.heading_topic(F.col("h.title"))).alias("topic"), "text")
+    return heads.where((F.col("topic") != "") & ~F.col("topic").rlike("|".join(pages.EMPTY_TOPICS)))
+
+
+def harvest_book_headings(units: DataFrame) -> DataFrame:
+    """Chapters (file, seq, pos, topic, kitab, is_term) of paged units."""
+    return harvest.scan_headings(headings_of(units))
+
+
+def harvest_vocabulary(store: TableStore, units: DataFrame, base: DataFrame, path: str | None = None, min_sources: int = 1, min_df: int = 2) -> tuple[DataFrame, DataFrame]:
+    """Mine the headings of ``units`` and, if nodes were resolved, recurring labels that no chapter has, against the hand-written catalog (``base``: folded, pref) alone, never an earlier harvest.
+
+    Stores the table derived, writes it as a catalog file to ``path`` and returns it with the outcomes of the parents' vote.
+    """
+    terms, outcomes = harvest.harvest(headings_of(units), base, F.col("text"))
+    if store.exists("nodes"):
+        have = terms.select(fold_label("term").alias("folded"))
+        more = harvest.promote(store.read("nodes"), base.select("folded").union(have), min_df)
+        terms = terms.unionByName(more.select(F.col("label").alias("term"), F.col("df").alias("n"), F.lit(None).cast("string").alias("broader")))
+    derived = store.write("derived", harvest.derived_catalog(terms, min_sources))
+    if path:
+        write_text(units.sparkSession, path, harvest.catalog_yaml([r.asDict() for r in derived.orderBy("id").toLocalIterator()]))
+    return derived, outcomes
+
+
+def load_catalogs(spark: SparkSession, *paths: str) -> DataFrame:
+    """Concept catalogs in order of precedence as one table (id, pref, aliases, broader, group, ord); files that don't exist are empty."""
+    rows = []
+    for path in paths:
+        found = read_document(spark, path)
+        rows += catalog.parse_concepts(found.get("concepts") if isinstance(found, dict) else found)
+    keys = {r["pref"]: k for k, r in zip(_folded(spark, [r["pref"] for r in rows]), rows)}
+    return catalog.concept_table(spark, catalog.merge_catalogs(rows, lambda label: keys.get(label, label)))
+
+
+def _folded(spark: SparkSession, labels: list[str]) -> list[str]:
+    """The catalog keys of labels (a catalog's: few), by the same fold as everywhere."""
+    if not labels:
+        return []
+    df = spark.createDataFrame(list(enumerate(labels)), "i int, label string").select("i", fold_label("label").alias("key"))
+    return [r["key"] for r in sorted(df.collect(), key=lambda r: r["i"])]
+
+
+def load_entities(spark: SparkSession, path: str) -> DataFrame:
+    found = read_document(spark, path)
+    return catalog.entity_table(spark, catalog.parse_entities(found if isinstance(found, dict) else {}))
+
+
+def enrich_aliases(store: TableStore, concepts: DataFrame, units: DataFrame, proposed: DataFrame, min_pages: int = 5, min_overlap: float = 0.2) -> DataFrame:
+    """(concept, pos, alias, outcome) of proposed wordings, judged by the pages of the corpus; the kept ones become the table derived_aliases (pref, alias)."""
+    words = F.filter(F.split(match_key("text"), " "), lambda w: w != "")
+    names = proposed.select(F.col("concept").alias("candidate")).union(proposed.select("alias")).distinct()
+    pages_ = units.select(F.xxhash64("source_path", "unit_seq").alias("page_id"), F.col("source_path").alias("kitab"), "text")
+    attested = harvest.attest(names, pages_, words, match_key("candidate"))
+    out = materialize(harvest.ground_aliases(proposed, concepts, attested, min_pages, min_overlap), "aliases")
+    store.write("derived_aliases", out.where("outcome = 'kept'").select(F.col("concept").alias("pref"), "alias"))
+    return out
+
+
+def unify(store: TableStore, backend: models.ModelBackend, head: int = 8_000) -> DataFrame:
+    """Ask the model to complete records that lack something (several pages, an unfinished translation, under two topics, no narrators); what it gives fills gaps and is merged with what is there."""
+    chunks = store.read("chunks", CHUNKS)
+    p = _payloads(chunks).where("pipeline = 'hadith'").select("id", "locator", "text", "p")
+    ends = F.split("locator", " … ")
+    lacking = needs_enrichment(ends[0], F.element_at(ends, -1), F.coalesce("p.translation", F.lit("")), F.coalesce(F.size("p.mentions"), F.lit(0)), F.coalesce(F.size("p.ravis"), F.lit(0)))
+    todo = p.where(lacking).select("id", F.concat(F.lit("complete:\n"), F.substring("text", 1, head)).alias("prompt"))
+    got = models.complete(todo, backend, PAYLOAD, key="id").where("error is null").select("id", F.col("answer").alias("a"))
+    both = got.join(p.select("id", "p"), "id")
+    none = F.array().cast("array<struct<text:string,type:string,salience:string,evidence:string>>")
+    number = lambda m: F.struct(m["text"].alias("text"), m["type"].alias("type"), salience(m["salience"]).alias("salience"), m["evidence"].alias("evidence"))
+    mentions = assembly.union_mentions(F.transform(F.concat(F.coalesce("p.mentions", none), F.coalesce("a.mentions", none)), number))
+    strings = F.array().cast("array<string>")
+    merged = F.struct(
+        F.transform(mentions, lambda m: m.withField("salience", m["salience"].cast("string"))).alias("mentions"), F.coalesce("p.quotes", "a.quotes").alias("quotes"),
+        F.when(F.size(F.coalesce("a.ravis", strings)) > 0, F.col("a.ravis")).otherwise(F.col("p.ravis")).alias("ravis"),
+        F.array_distinct(F.concat(F.coalesce("p.quran_refs", strings), F.coalesce("a.quran_refs", strings))).alias("quran_refs"),
+        F.array_distinct(F.concat(F.coalesce("p.proposed_nodes", strings), F.coalesce("a.proposed_nodes", strings))).alias("proposed_nodes"),
+        F.when(translation_incomplete(F.coalesce("p.translation", F.lit(""))), F.coalesce(F.nullif("a.translation", F.lit("")), "p.translation")).otherwise(F.col("p.translation")).alias("translation"),
+    )
+    done = both.select("id", F.to_json(merged).alias("payload"))
+    return store.write("chunks", state.merge(chunks, done, ["id"]))
+
+
+def audit_mentions(store: TableStore, entities: DataFrame, top: int | None = None, path: str | None = None) -> DataFrame:
+    """Records by risk: unsupported mentions, broken translations, too few mentions. Written as a report to ``path``."""
+    chunks = store.read("chunks", CHUNKS)
+    p = _payloads(chunks)
+    judged = judged_mentions(chunks, entities)
+    few = p.select(F.col("id").alias("doc"), F.coalesce(F.size("p.mentions"), F.lit(0)).alias("n_mentions"), F.size(F.split("text", r"\s+")).alias("n_words"))
+    cut = p.where("p.translation is not null").select(F.col("id").alias("doc"), F.col("p.translation").alias("translation"))
+    found = audit.risk([audit.ungrounded(judged), audit.few_mentions(few), audit.truncated_translations(cut)], top=top)
+    if path:
+        write_text(store.spark, path, audit.to_markdown(found, "Mentions to review", ["doc", "risk", "issues"]))
+    return found
+
+
+def filter_audit(store: TableStore, found: DataFrame, backend: models.ModelBackend, path: str | None = None) -> DataFrame:
+    """The issues of an audit that a model, shown the record's excerpt, doesn't dismiss. Written as a review to ``path``."""
+    rows = materialize(found.select("doc", F.explode("issues").alias("i")).select("doc", "i.code", "i.detail", "i.weight"), "issues")
+    text = store.read("chunks", CHUNKS).select(F.col("id").alias("doc"), audit.excerpt(F.col("text"), fold("text")).alias("text"))
+    verdicts = materialize(audit.review_issues(rows, text, backend), "reviews")
+    kept = audit.filter_by_verdicts(rows, verdicts)
+    if path:
+        gone = rows.join(verdicts.where("verdict = 'drop'"), ["doc", "code"], "left_semi")
+        write_text(store.spark, path, audit.review_report(kept, gone))
+    return kept
 
 
 def proposals(store: TableStore, known: DataFrame, threshold: int | None = None) -> DataFrame:

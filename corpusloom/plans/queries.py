@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from corpusloom.functions import morphology, text
 from corpusloom.functions.keys import chunk_id, pair_id
 from corpusloom.functions.text import fold_latin
 from corpusloom.functions.vectors import cosine
 from corpusloom.operators import assembly, audit, catalog, citations, export, harvest, linkage, models, pages, resolver, similarity, state, topk
-from corpusloom.runtime import materialize
+from corpusloom.runtime import materialize, ship
 from corpusloom.sources.files import html_heading, strip_html, units_of_texts
 from corpusloom.streaming.records import windowed_counts
 
@@ -52,8 +53,8 @@ def same(c: Column | str) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
 
-def word_list(text: str = "text") -> Column:
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+def word_list(column: str = "text") -> Column:
+    return F.filter(F.split(F.lower(F.coalesce(column, F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
 WORDS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
@@ -423,8 +424,6 @@ def fold_documents(spark, sf_dir):
 
 @query(r"""select doc_id, trim(regexp_replace(regexp_replace(coalesce(text, ''), '\[[0-9]{1,3}\]', '', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), ' ' || chr(9) || chr(10) || chr(13)) as body from documents""")
 def strip_notes(spark, sf_dir):
-    from corpusloom.runtime import ship
-
     ship(spark)
     return _Tables(spark, sf_dir).documents.select("doc_id", pages.strip_notes(F.col("text")).alias("body"))
 
@@ -443,7 +442,7 @@ _BEST = """, hits as (select g.doc_id, i.item_id, count(*) as weight from g join
 select doc_id, item_id, weight from b where weight = best qualify row_number() over (partition by doc_id order by item_id) <= 3"""
 
 
-def _items(t: _Tables, text: Column = None) -> DataFrame:
+def _items(t: _Tables) -> DataFrame:
     return t.benchmark.select(F.col("item_id").alias("ref"), F.col("item_id").alias("sura"), F.lit(0).alias("ayah"), "text")
 
 
@@ -610,3 +609,111 @@ def _digest(prompt: str) -> str:
     import json
 
     return json.dumps({"digest": hashlib.md5(prompt.encode()).hexdigest()})
+
+
+# --- Arabic text: rows stated here, what must come out stated in the SQL ------------------------------------------------
+
+
+def _given(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
+    return spark.createDataFrame(rows, schema)
+
+
+@query("""select * from (values
+ (1, 'العقل', 'العقل', 'عقل'), (2, 'امه', 'امه', 'امه'), (3, 'الابصر', 'الابصار', 'ابصار'), (4, 'القضاء و الاحكام', 'القضاء و الاحكام', 'قضاء والاحكام'), (5, 'ابي عبد الله ع', 'ابي عبد الله ع', 'ابو عبد الله'), (6, 'ب ج', 'ب ج', 'a ب! ج'), (7, '', '', ''), (8, 'الحج', 'الحج', 'حج'), (9, 'ال', 'ال', 'ال')
+) v(n, folded, citation, label)""")
+def arabic_folds(spark, sf_dir):
+    raw = ["الْعَقْلُ", "أُمَّة", "ٱلْأَبْصَٰرِ", "القضاء و الأحكام", "أبي عبد الله (ع)", "a ب!  ج", None, "الحج", "ال"]
+    rows = _given(spark, "n int, raw string", [(i, r) for i, r in enumerate(raw, 1)])
+    return rows.select("n", text.fold("raw").alias("folded"), text.fold_citation("raw").alias("citation"), text.fold_label("raw").alias("label"))
+
+
+@query("""select * from (values ('العقل', 'عقل'), ('عقول', 'عقل'), ('عاقل', 'عقل'), ('معقول', 'عقل'), ('حساب', 'حسب'), ('الحساب', 'حسب')) v(word, root)""")
+def arabic_roots(spark, sf_dir):
+    ship(spark)
+    rows = _given(spark, "word string", [("العقل",), ("عقول",), ("عاقل",), ("معقول",), ("حساب",), ("الحساب",)])
+    return rows.select("word", morphology.root("word").alias("root"))
+
+
+@query("""select * from (values (1, 2, true), (2, 2, false)) v(id, roots, tautology)""")
+def label_signatures(spark, sf_dir):
+    rows = _given(spark, "id int, label string", [(1, "اجتهاد المجتهدين"), (2, "كمال العقل"), (3, "")])
+    return morphology.signatures(rows, "id", "label").select("id", F.size("signature").alias("roots"), "tautology")
+
+
+@query("""select * from (values (1, 'زراره', 1), (2, 'بدر,الكبري', 2)) v(n, tokens, size)""")
+def arabic_name_tokens(spark, sf_dir):
+    rows = _given(spark, "n int, name string", [(1, "زرارة بن أعين"), (2, "غزوة بدر الكبرى")])
+    return rows.select("n", F.array_join(text.name_tokens("name"), ",").alias("tokens"), F.size(text.name_tokens("name")).alias("size"))
+
+
+@query("""select * from (values (1, true, true, false, true), (2, false, false, true, false), (3, false, false, false, false), (4, false, false, false, false), (5, true, false, false, false), (6, false, false, false, false)) v(n, p30, p30v1, p3v1, fragment)""")
+def page_locators(spark, sf_dir):
+    locators = ["جلد 1 - صفحه 30", "جلد 1 - صفحه 3", "جلد 30، صفحه 5", "صفحه 301", "جلد 2 - صفحه 30", None]
+    rows = _given(spark, "n int, locator string", list(enumerate(locators, 1)))
+    at = lambda *a: pages.page_locator_matches(F.col("locator"), *a)
+    return rows.select("n", at(30).alias("p30"), at(30, 1).alias("p30v1"), at(3, 1).alias("p3v1"), at("جلد 1 - صفحه 30").alias("fragment"))
+
+
+@query("""select * from (values (1, 'aیb' || chr(8204) || 'c—d'), (2, 'ی&lt;''"'), (3, '&unknown; & ' || chr(65533)), (4, 'x' || chr(160) || 'y' || chr(10) || '©’'), (5, '')) v(n, body)""")
+def character_references(spark, sf_dir):
+    given = ["a&#1740;b&zwnj;c&mdash;d", "&#x6CC;&amp;lt;&apos;&quot;", "&unknown; & &#xD800;", "<p>x&nbsp;y&nbsp;</p><script>&lt;</script>&copy;&#8217;", "<br/>"]
+    return _given(spark, "n int, html string", list(enumerate(given, 1))).select("n", strip_html(F.col("html")).alias("body"))
+
+
+_PAGE = "1- قال\n[1] أي كذا «مِنْ شَرِّ\n\nشرح الْوَسْواسِ الْخَنَّاسِ\nالَّذِي يُوَسْوِسُ»\nوَالْعَقْلُ نُورٌ مِنَ اللَّهِ\n2 - متن [2] آخر"
+
+
+@query("""select 1 as n, '1- قال' || chr(10) || 'وَالْعَقْلُ نُورٌ مِنَ اللَّهِ' || chr(10) || '2 - متن  آخر' as body, 'body,note,note,note,note,body,body' as roles, 2 as starts""")
+def footnote_page(spark, sf_dir):
+    ship(spark)
+    rows = _given(spark, "n int, page string", [(1, _PAGE)])
+    body = pages.strip_notes(F.col("page"))
+    rows = rows.select("n", body.alias("body"), F.array_join(F.transform(pages.line_roles_udf("page"), lambda x: x["role"]), ",").alias("roles"))
+    return rows.withColumn("starts", F.size(pages.page_parts(F.col("body"))["starts"]))
+
+
+@query("""select * from (values (0, 'book', 'كتاب العقل والجهل', 'العقل والجهل'), (1, 'chapter', 'باب صفة العلم و فضله', 'صفة العلم و فضله'), (2, 'chapter', '١ باب وجوب الصلاة :', 'وجوب الصلاة')) v(pos, level, title, topic)""")
+def page_headings(spark, sf_dir):
+    ship(spark)
+    rows = _given(spark, "page string", [("كتاب العقل والجهل\n\nباب صفة العلم\nو فضله\n1- حديث\nكتاب جليل و إذا فيه\n١ ـ باب وجوب الصلاة :",)])
+    found = rows.select(F.posexplode(pages.headings(F.col("page"))).alias("pos", "h"))
+    return found.select("pos", "h.level", "h.title", pages.heading_topic(F.col("h.title")).alias("topic"))
+
+
+@query("""select * from (values (1, true, 'العلم'), (2, false, 'في العلم'), (3, false, ''), (4, true, 'الصلاة'), (5, false, 'كيف يصلي')) v(n, is_term, stripped)""")
+def heading_terms(spark, sf_dir):
+    rows = _given(spark, "n int, topic string", list(enumerate(["فضل العلم", "في العلم", "فضل", "الصلاة", "كيف يصلي"], 1)))
+    return rows.withColumn("stripped", harvest.strip_meta_head(F.col("topic"))).select("n", harvest.is_term(F.col("stripped")).alias("is_term"), "stripped")
+
+
+@query("""with v(vec_id, bab) as (select vec_id, vec_id // 5 from embeddings), n as (select count(*)::double as n from v), g as (select bab, count(*) as df from v group by 1)
+select cast(least(cast(a.vec_id as varchar), cast(b.vec_id as varchar)) as varchar) as "left", greatest(cast(a.vec_id as varchar), cast(b.vec_id as varchar)) as "right", round(0.8 * ln(1 + (select n from n) / df) + greatest(0, 1.2 * """ + _COS + """), 6) as score
+from embeddings a join embeddings b on a.vec_id // 5 = b.vec_id // 5 and a.vec_id < b.vec_id join g on g.bab = a.vec_id // 5""")
+def vector_candidates(spark, sf_dir):
+    e = _Tables(spark, sf_dir).embeddings
+    docs = e.select(F.col("vec_id").cast("string").alias("doc_id"), F.col("vec_id").alias("pos"), F.expr("cast(vec_id div 5 as string)").alias("bab"))
+    vectors = e.select(F.col("vec_id").cast("string").alias("doc"), F.col("embedding").cast("array<double>").alias("v"))
+    found = linkage.candidates(docs, {"bab": F.col("bab")}, vectors=vectors)
+    return found.select("left", "right", F.round("score", 6).alias("score"))
+
+
+@query("""with t as (select conv_id, turn, role, length(coalesce(text, '')) as n, row_number() over (partition by conv_id order by turn) as i, sum((role = 'user')::int) over (partition by conv_id order by turn rows unbounded preceding) as record_no from conversations),
+r as (select *, min(turn) over (partition by conv_id, record_no) as first_turn from t where record_no > 0),
+m as (select conv_id, first_turn, role as text, max(n % 10 / 10.0) as salience, min(turn) as at, arg_min(case when turn % 2 = 0 then 'e' || turn else '' end, case when turn % 2 = 0 then turn else 1000 + turn end) as evidence from r group by 1, 2, 3)
+select r.conv_id, cast(first_turn as varchar) as page_start, cast(max(turn) as varchar) as page_end, string_agg(case when turn = first_turn then (turn + 1) || '- ' || role || ' ' || n else role || ' ' || n end, chr(10) order by turn) as body,
+ (select string_agg(m.text || ':' || round(m.salience, 1) || ':' || m.evidence, ',' order by m.at) from m where m.conv_id = r.conv_id and m.first_turn = r.first_turn) as mentions,
+ (select string_agg(distinct 'p' || (x.n % 4), ',' order by 'p' || (x.n % 4)) from r x where x.conv_id = r.conv_id and x.first_turn = r.first_turn) as proposed
+from r group by r.conv_id, r.first_turn""")
+def assembled_records(spark, sf_dir):
+    """Turns as pages: a user's turn begins a numbered record, what follows goes on; what was said of each page is merged over the record."""
+    c = _Tables(spark, sf_dir).conversations.select("conv_id", "turn", "role", F.length(F.coalesce("text", F.lit(""))).alias("n"))
+    user, line = F.col("role") == "user", F.concat_ws(" ", "role", F.col("n").cast("string"))
+    marker = F.concat((F.col("turn") + 1).cast("string"), F.lit("-"))
+    turns = c.select(F.col("conv_id").alias("source_path"), F.col("turn").alias("unit_seq"), F.col("turn").cast("string").alias("locator"), F.when(user, F.concat_ws(" ", marker, line)).otherwise(line).alias("text"))
+    none, strings = F.lit(None).cast("string"), F.array().cast("array<string>")
+    mention = F.struct(F.col("role").alias("text"), F.lit("concept").alias("type"), (F.col("n") % 10 / 10).alias("salience"), F.when(F.col("turn") % 2 == 0, F.concat(F.lit("e"), F.col("turn").cast("string"))).otherwise("").alias("evidence"))
+    items = c.select(F.col("conv_id").alias("source_path"), F.col("turn").alias("unit_seq"), F.lit(0).alias("item_no"), F.when(user, marker).otherwise("continuation").alias("marker"), none.alias("hadith"), none.alias("hadith_fa"), none.alias("hadith_en"),
+                     strings.alias("ravis"), F.array(F.concat(F.lit("p"), (F.col("n") % 4).cast("string"))).alias("proposed_nodes"), F.array(mention).alias("mentions"), F.array().cast("array<struct<text:string,kind:string>>").alias("quotes"))
+    r = assembly.assemble_records(turns, items)
+    said = F.transform("mentions", lambda m: F.concat_ws(":", m["text"], F.round(m["salience"], 1).cast("string"), m["evidence"]))
+    return r.select(F.col("source_path").alias("conv_id"), "page_start", "page_end", F.col("hadith").alias("body"), F.array_join(said, ",").alias("mentions"), F.array_join(F.array_sort("proposed_nodes"), ",").alias("proposed"))

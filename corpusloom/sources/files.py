@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import squeeze
-from corpusloom.runtime import ship
+from corpusloom.runtime import ship, write_text
 
 UNIT = "source_path string, unit_seq int, locator string, text string"
 #: Superset of the payload shapes that extraction has written over time.
@@ -175,6 +175,41 @@ def read_payloads(spark: SparkSession, path: str, skip: str = "nodes.json") -> D
     return ok.select("path", "p.*")
 
 
+def read_audit_payloads(spark: SparkSession, path: str) -> DataFrame:
+    """As ``read_payloads``, but those alone that hold a narration or mentions, whatever is in them."""
+    return read_payloads(spark, path).where("hadith is not null or mentions is not null")
+
+
+def payload_at(payloads: DataFrame, path: str) -> DataFrame:
+    """The payload of one file."""
+    return payloads.where(F.col("path") == path)
+
+
+def payload_items(p: Column, items: Column) -> Column:
+    """The narrations of a payload: those it lists, or itself as the one."""
+    return F.when(F.size(items) > 0, items).otherwise(F.array(p))
+
+
+def verse_corpus_place(spark: SparkSession, *places: str) -> str:
+    """The first of ``places`` that exists: a copy of one's own before a shared one."""
+    jvm = spark.sparkContext._jvm
+    for place in places:
+        p = jvm.org.apache.hadoop.fs.Path(place)
+        if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+            return place
+    raise FileNotFoundError(", ".join(places))
+
+
+def json_to_markdown(spark: SparkSession, folder: str, path: str) -> int:
+    """All JSON files of a folder, by name, indented and under their names, in one text file; returns how many. The report is put together on the driver, as it is for reading."""
+    files = spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True).select(F.col("_metadata.file_name").alias("name"), "value").orderBy("name")
+    blocks = [f"[ {r['name']} ]\n{json.dumps(json.loads(r['value']), ensure_ascii=False, indent=2)}" for r in files.toLocalIterator()]
+    if not blocks:
+        raise FileNotFoundError(f"no JSON files in {folder}")
+    write_text(spark, path, "\n\n".join(blocks) + "\n")
+    return len(blocks)
+
+
 def read_verses(rows: DataFrame) -> DataFrame:
     """(ref, sura, ayah, text) of a verse corpus (surah_number, ayah_number, arabic_text); rows that don't parse are skipped."""
     sura, ayah = F.expr("try_cast(surah_number as int)"), F.expr("try_cast(ayah_number as int)")

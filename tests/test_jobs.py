@@ -79,3 +79,69 @@ def test_a_corpus_from_files_to_graph(spark, tmp_path):
     assert store.read("chunks").where("canonical_id <> id").count() > 0
     jobs.reset(store, "kafi")
     assert store.read("chunks").select("book_id").distinct().count() == 1 and store.read("edges").count() == 0
+
+
+def test_the_demo_and_the_command_line(spark, tmp_path, capsys):
+    from corpusloom.__main__ import main
+    from corpusloom.plans import demo
+
+    store = TableStore(spark, f"file://{tmp_path}/store")
+    made = demo.run(spark, store)
+    assert made["chunks"] == 3 and made["nodes"] >= 3 and made["pairs"] >= 1 and made["cites"] == 1
+    assert (tmp_path / "store" / "graph" / "import.cypher").exists()
+    assert main(["--store", f"file://{tmp_path}/store", "status"]) == 0
+    (tmp_path / "books.json").write_text(json.dumps(REGISTRY))
+    assert main(["--store", f"file://{tmp_path}/s2", "list-books", "--registry", f"{tmp_path}/books.json"]) == 0
+    (tmp_path / "raw" / "deep").mkdir(parents=True)
+    (tmp_path / "raw" / "deep" / "kafi1.txt").write_text(BOOK, encoding="utf-8")
+    registry = {"kafi": {"pipeline": "hadith", "globs": ["**/kafi*.txt"]}}
+    (tmp_path / "books.json").write_text(json.dumps(registry))
+    where = ["--registry", f"{tmp_path}/books.json", "--root", f"{tmp_path}/raw"]
+    s2 = ["--store", f"file://{tmp_path}/s2"]
+    assert main([*s2, "ingest", *where, "kafi"]) == 0 and "3 chunks new" in capsys.readouterr().out
+    assert main([*s2, "harvest-ontology", *where, "--out", f"{tmp_path}/derived.yaml", "kafi"]) == 0
+    assert "طلب العلم" in (tmp_path / "derived.yaml").read_text(encoding="utf-8")
+    assert main([*s2, "audit-mentions"]) == 0
+    (tmp_path / "j").mkdir()
+    (tmp_path / "j" / "a.json").write_text('{"x": 1}')
+    assert main([*s2, "json-to-markdown", f"{tmp_path}/j", f"{tmp_path}/all.md"]) == 0 and (tmp_path / "all.md").read_text() == '[ a.json ]\n{\n  "x": 1\n}\n'
+
+
+def test_catalogs_are_parsed_promoted_and_replaced(spark, tmp_path):
+    raw = ["العقل", {"id": "c1", "pref": "الصلاة", "aliases": ["صلاة", " "], "broader": "العبادة"}, {"pref": "", "id": ""}, 7, {"id": "c2", "broader": ["a", "b"]}]
+    rows = catalog.parse_concepts(raw)
+    assert [(r["pref"], r["aliases"], r["broader"]) for r in rows] == [("العقل", [], []), ("الصلاة", ["صلاة"], ["العبادة"]), ("c2", [], ["a", "b"])]
+    (tmp_path / "base.json").write_text(json.dumps({"concepts": raw}))
+    (tmp_path / "more.json").write_text(json.dumps({"concepts": ["العَقل", "الحج"]}))
+    table = jobs.load_catalogs(spark, f"{tmp_path}/base.json", f"{tmp_path}/more.json", f"{tmp_path}/missing.json")
+    assert [r.pref for r in table.orderBy("ord").collect()] == ["العقل", "الصلاة", "c2", "الحج"]
+    plan = spark.createDataFrame([("الزكاة", "promote"), ("العقل", "promote"), ("x", "drop")], "term string, action string")
+    assert [r.pref for r in catalog.apply_promotions(table, plan).orderBy("ord").collect()][-1] == "الزكاة" and catalog.apply_promotions(table, plan).count() == 5
+    with_origin = table.withColumn("origin", F.lit("hand"))
+    new = table.limit(1)
+    once = catalog.replace_section(with_origin, new, "adjudicated")
+    assert once.count() == 5 and catalog.replace_section(once, new, "adjudicated").count() == 5
+    gazetteer = catalog.parse_entities({"persons": [{"id": "z", "pref": "زرارة"}, {"id": "z", "pref": "other"}], "groups": [{"pref": "الشيعة", "ambiguous": True}, "bad"]})
+    assert [(e["type"], e["pref"], e["ambiguous"]) for e in gazetteer] == [("person", "زرارة", False), ("group", "الشيعة", True)]
+    assert catalog.vocabulary_block(["a", "b"], ["g"], 14) == "CONCEPTS: a · "
+
+
+def test_node_policy_as_one(spark):
+    forms = catalog.concept_forms(spark.createDataFrame([("العقل", "العقل", None, 0), ("الصبر", "الصبر", None, 1)], "id string, pref string, aliases array<string>, ord int"))
+    ents = catalog.entity_forms(catalog.entity_table(spark, [{"type": "person", "id": "z", "pref": "زرارة", "aliases": [], "ambiguous": False}]))
+    raw = [("d", 0, "العَقْل", "concept", "primary"), ("d", 1, "زرارة", "person", "primary"), ("d", 2, "محض الصبر", "concept", "primary"), ("d", 3, "لا شيء", "concept", "primary"), ("d", 4, "فضيلة محمد", "person", "primary"), ("d", 5, "العقل", "concept", "secondary")]
+    nodes = spark.createDataFrame(raw, "doc string, pos int, node string, type string, role string")
+    docs = spark.createDataFrame([("d", ["زرارة"])], "doc string, ravis array<string>")
+    got = catalog.node_policy(nodes, forms, ents, docs).orderBy("pos").collect()
+    assert [(r.node, r.role, r.repaired) for r in got] == [("العقل", "primary", False), ("الصبر", "primary", True)]
+    stored = spark.createDataFrame([("d", [("العَقْل", "concept", "primary")], ["زرارة"], False), ("e", [("العقل", "concept", "primary")], None, False), ("f", [("x", "concept", "primary")], None, True)], "id string, semantic_nodes array<struct<node:string,type:string,role:string>>, ravis array<string>, resolved boolean")
+    assert [(r.id, [n.node for n in r.semantic_nodes]) for r in catalog.remap_payloads(stored, forms, ents).collect()] == [("d", ["العقل"])]
+
+
+def test_a_vote_loses_the_book_beyond_its_seam(spark):
+    heads = [("f", 0, 0, "book", "الصيام", "الصيام")] + [("f", 1 + i, 0, "chapter", "الصيام المندوب" if i < 33 else "الحج المندوب", "صيام" if i < 33 else "حج") for i in range(99)]
+    df = spark.createDataFrame(heads, "file string, seq int, pos int, level string, topic string, page string")
+    from corpusloom.operators import harvest
+
+    rows = harvest.scan_headings(df, F.col("page")).groupBy("topic", "kitab").count().collect()
+    assert {(r.topic, r.kitab): r["count"] for r in rows} == {("الصيام المندوب", "الصيام"): 33, ("الحج المندوب", ""): 66}
