@@ -404,7 +404,8 @@ def pack_greedy(spark, sf_dir):
 
 
 _PAGE_TEXT = r"regexp_replace(regexp_replace(regexp_replace({0}, '<script\b.*?</script\s*>', '', 'gis'), '<style\b.*?</style\s*>', '', 'gis'), '<!--.*?-->|<[^>]*>', chr(10), 'gs')"
-_ENTITIES = "replace(replace(replace(replace(replace(replace({0}, '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')"
+# the character references that the pages hold, and those of markup
+_ENTITIES = "replace(replace(replace(replace(replace(replace(replace(replace({0}, '&copy;', '©'), '&middot;', '·'), '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')"
 
 
 @query(f"""select page_id, array_to_string(list_filter(list_transform(string_split({_ENTITIES.format(_PAGE_TEXT.format('html'))}, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13) || chr(160))), lambda x: x <> ''), chr(10)) as text from pages""")
