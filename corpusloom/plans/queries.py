@@ -718,3 +718,45 @@ def assembled_records(spark, sf_dir):
     r = assembly.assemble_records(turns, items)
     said = F.transform("mentions", lambda m: F.concat_ws(":", m["text"], F.round(m["salience"], 1).cast("string"), m["evidence"]))
     return r.select(F.col("source_path").alias("conv_id"), "page_start", "page_end", F.col("hadith").alias("body"), F.array_join(said, ",").alias("mentions"), F.array_join(F.array_sort("proposed_nodes"), ",").alias("proposed"))
+
+
+@query("""select * from (values (1, false, true, 'a1-', 2, 0), (2, true, true, '2ـ', 0, 1), (3, true, false, '', 0, 0), (4, true, true, 'x', 1, -1)) v(n, skip, unfinished, marker, marks, depth)""")
+def scalar_text_rules(spark, sf_dir):
+    """Rules over one text: not worth a call, a translation that breaks off, a marker without blanks, vowel marks, guillemets left open."""
+    given = [("نص طويل " * 10, "it goes on ...", " a 1 - ", "قَالَ", "«»"), ("short", "ادامه دارد", "2 ـ", "قال", "«a"), ("فهرس " + "x" * 60, "the end.", None, None, None), (None, "", "x", "قُل", "»")]
+    rows = _given(spark, "n int, body string, translation string, marker string, voiced string, quoted string", [(i, *r) for i, r in enumerate(given, 1)])
+    return rows.select("n", text.should_skip("body").alias("skip"), text.translation_incomplete("translation").alias("unfinished"), text.norm_marker("marker").alias("marker"), text.vowel_marks("voiced").alias("marks"), text.quote_depth("quoted").alias("depth"))
+
+
+@query("""select * from (values (0, '', ''), (1, 'كتاب العلم', 'باب الفقه'), (2, 'كتاب العلم', 'باب الفقه'), (3, 'كتاب الحج', ''), (4, 'كتاب الحج', 'باب الطواف و السعي')) v(unit_seq, kitab, bab)""")
+def book_sections(spark, sf_dir):
+    given = ["1- x", "كتاب العلم\nباب الفقه\n1- go on", "x", "كتاب الحج\n1- x", "باب الطواف\nو السعي\n2- y"]
+    rows = _given(spark, "source_path string, unit_seq int, text string", [("f", i, t) for i, t in enumerate(given)])
+    return pages.attach_sections(rows).select("unit_seq", "kitab", "bab")
+
+
+@query("""select * from (values ('الصيام المندوب', 'الصيام', 33), ('الحج المندوب', '', 66)) v(topic, kitab, n)""")
+def seam_orphans(spark, sf_dir):
+    """Chapters beyond an unmarked change of book keep no parent: 33 on their book, then 66 off it."""
+    heads = [(0, "book", "الصيام", "الصيام")] + [(1 + i, "chapter", "الصيام المندوب" if i < 33 else "الحج المندوب", "صيام" if i < 33 else "حج") for i in range(99)]
+    rows = _given(spark, "file string, seq int, pos int, level string, topic string, page string", [("f", seq, 0, level, topic, page) for seq, level, topic, page in heads])
+    return harvest.scan_headings(rows, F.col("page")).groupBy("topic", "kitab").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""select * from (values (0, 'العقل', 'concept', 'primary', false), (2, 'الصبر', 'concept', 'primary', true)) v(pos, node, type, role, repaired)""")
+def node_policy_whole(spark, sf_dir):
+    """Catalog labels, one repaired; a narrator, a label of no concept, a descriptive head and a repeat go."""
+    concepts = _given(spark, "id string, pref string, aliases array<string>, ord int", [("العقل", "العقل", None, 0), ("الصبر", "الصبر", None, 1)])
+    entities = _given(spark, "type string, id string, pref string, aliases array<string>, ambiguous boolean, ord int", [("person", "z", "زرارة", [], False, 0)])
+    raw = [(0, "العَقْل", "concept", "primary"), (1, "زرارة", "person", "primary"), (2, "محض الصبر", "concept", "primary"), (3, "لا شيء", "concept", "primary"), (4, "فضيلة محمد", "person", "primary"), (5, "العقل", "concept", "secondary")]
+    nodes = _given(spark, "doc string, pos int, node string, type string, role string", [("d", *r) for r in raw])
+    docs = _given(spark, "doc string, ravis array<string>", [("d", ["زرارة"])])
+    return catalog.node_policy(nodes, catalog.concept_forms(concepts), catalog.entity_forms(entities), docs).select("pos", "node", "type", "role", "repaired")
+
+
+@query("""select * from (values (1, null), (2, 'no evidence and not in text'), (3, 'entity not in text'), (4, 'narrator'), (5, 'quoted'), (6, 'empty'), (7, 'evidence not in text')) v(n, reason)""")
+def grounded_reasons(spark, sf_dir):
+    body, none = "قَالَ زُرَارَةُ الصَّبْرُ نِصْفُ الْإِيمَانِ", None
+    given = [("الصبر", "concept", "الصبر نصف", none, False), ("الصلاة", "concept", "", none, False), ("كربلاء", "place", "الصبر نصف", none, False), ("زرارة", "person", "", none, True), ("نصف الايمان", "concept", "", ["الصبر نصف الايمان"], False), (" ", "concept", "", none, False), ("الصبر", "concept", "الصلاة عمود الدين", none, False)]
+    rows = _given(spark, "n int, text string, type string, evidence string, quotes array<string>, is_narrator boolean, body string", [(i, *r, body) for i, r in enumerate(given, 1)])
+    return resolver.ground(rows, text.fold).select("n", "reason")

@@ -502,3 +502,25 @@ def test_record_views(spark):
     assert [r.e for r in t.select(e.alias("e")).collect()] == ["x", "raw", "c", "t1\nt2"]
     n = spark.createDataFrame([("p1", "p1", "whole.", 2, 1), ("p1", "p2", "whole.", 2, 1), ("p1", "p1", "cut ...", 2, 1), ("p1", "p1", "w", 1, 1), ("p1", "p1", "w", 2, 0)], "a string, b string, t string, n int, r int")
     assert [r.x for r in n.select(pl.needs_enrichment(F.col("a"), F.col("b"), F.col("t"), F.col("n"), F.col("r")).alias("x")).collect()] == [False, True, True, True, True]
+
+
+def test_equal_vectors_are_one_node(spark):
+    """50,000 rows of one vector cost one node, not their pairs."""
+    df = spark.range(50_000).select("id", F.array(F.lit(1.0), F.lit(2.0)).alias("v")).union(spark.createDataFrame([(60_000, [1.0, 2.001]), (60_001, [-1.0, 5.0])], "id long, v array<double>"))
+    got = similarity.duplicate_clusters(df, "id", "v").groupBy("cluster").count().collect()
+    assert [tuple(r) for r in got] == [(0, 50_001)]
+
+
+def test_letter_windows_by_halves(spark):
+    """The windows that the index has, all of them, as plain windows would find them."""
+    rng = random.Random(8)
+    verses = [(f"1:{k}", 1, k, "".join(rng.choice("abcd ") for _ in range(rng.randint(14, 60)))) for k in range(12)]
+    texts = [(i, "".join(rng.choice("abcd ") for _ in range(rng.randint(0, 700))) + rng.choice(verses)[3] + "".join(rng.choice("abcd") for _ in range(rng.randint(0, 30)))) for i in range(60)]
+    v = spark.createDataFrame(verses, "ref string, sura int, ayah int, text string")
+    t = spark.createDataFrame(texts, "id int, text string")
+    for n in (6, 16):
+        index = citations.gram_index(v, n, tx.fold_latin)
+        plain = citations.letter_grams(t, "id", "text", n, tx.fold_latin).select("id", "gram").join(index.select("gram").distinct(), "gram", "left_semi")
+        found = citations.letter_hits(t, "id", "text", index, n, tx.fold_latin).join(index.select("gram").distinct(), "gram", "left_semi")
+        key = lambda df: sorted((r.id, r.gram) for r in df.select("id", "gram").collect())
+        assert key(found) == key(plain) and (n == 6 or key(plain))
