@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.tokens import encoder
+from corpusloom.llm.tokens import AT_ONCE, encoder
 from corpusloom.runtime import frugal, ship, text_bytes, without
 
 #: Kinds of a place where a window may end: end of a document, end of a sentence, any token.
@@ -96,9 +96,9 @@ class _Stream:
 
 
 @lru_cache(maxsize=2)
-def _sentence_tables(tokenizer: str, most_parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _sentence_tables(tokenizer: str, most_parts: int, at_once: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """By id: closes a sentence, begins with white space, holds a line break."""
-    texts = encoder(tokenizer, most_parts).strings()
+    texts = encoder(tokenizer, most_parts, at_once).strings()
     stops = np.array([t.rstrip(" \t").endswith((".", "!", "?", "…", "\n", '."', ".”", ".)")) for t in texts])
     return stops, np.array([t[:1].isspace() for t in texts]), np.array(["\n" in t for t in texts])
 
@@ -115,6 +115,7 @@ def pack_documents(
     most_partitions: int = 50_000,
     block_tokens: int = 1 << 20,
     most_parts: int = 240_000,
+    at_once: int = AT_ONCE,
 ) -> DataFrame:
     """Cut the documents, in order of (id, text), into windows of at most ``window`` tokens.
 
@@ -123,7 +124,7 @@ def pack_documents(
     that memory stays bounded whatever a partition holds (about ``partition_bytes``, more where that would make over ``most_partitions``). Windows may end after documents (free), after sentences or, inside a sentence longer than a window,
     every ``window`` / 64 tokens (``penalties`` in tokens of padding).
 
-    ``most_parts`` bounds a worker's tables of known words: more of them take less time and more memory, and change nothing else.
+    ``most_parts`` bounds a worker's tables of known words, ``at_once`` the bytes of text whose words it looks up together: more of either takes less time and more memory, and changes nothing else.
 
     Returns a row a piece: the columns of ``df`` except the text and those named like these: ``start``,
     ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id`` and ``offset`` (all long). Sequence ids rise in order of
@@ -143,8 +144,8 @@ def pack_documents(
     def pack(batches):
         import pyarrow as pa
 
-        e = encoder(tokenizer, most_parts)
-        stops, opens, lines = _sentence_tables(tokenizer, most_parts)
+        e = encoder(tokenizer, most_parts, at_once)
+        stops, opens, lines = _sentence_tables(tokenizer, most_parts, at_once)
         stream = _Stream(window, penalties, TaskContext.get().partitionId() << 40)
 
         def places(ids: np.ndarray, last: bool) -> tuple[np.ndarray, np.ndarray]:

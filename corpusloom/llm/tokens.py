@@ -17,8 +17,8 @@ _WHOLE = r"[\x00-\x09\x0B-\x1F\x7F-\x{A0}\x{1680}\x{180E}\x{2000}-\x{200B}\x{202
 _STUCK = rf"\A[,.]|[^{_LETTERS}][,.]|[,.][^\n {_LETTERS}]"
 #: Where letters or digits end and ASCII signs begin, pieces do too.
 _SIGNS = rf"([{_LETTERS}])([!-/:-@\[-`{{-~])"
-#: Bytes of text that are cut into parts at a time.
-_AT_ONCE = 2 << 20
+#: Bytes of text that are cut into parts at a time, unless said otherwise.
+AT_ONCE = 4 << 20
 
 
 class Encoder:
@@ -31,14 +31,14 @@ class Encoder:
     library does, such a string becomes its one id.
     """
 
-    def __init__(self, path: str, most_parts: int = 240_000):
+    def __init__(self, path: str, most_parts: int = 240_000, at_once: int = AT_ONCE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.whole = "|".join([_WHOLE, *(r"\Q" + t + r"\E" for t in added if t)])
-        self.most_parts = most_parts
+        self.most_parts, self.at_once = most_parts, at_once
         self.table: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
         (self.newline,) = self._ids("\n").tolist()
@@ -110,7 +110,7 @@ class Encoder:
         stuck = pc.match_substring_regex(texts, _STUCK).to_numpy(zero_copy_only=False)
         for kind in (False, True):
             cut = np.flatnonzero(~whole & (stuck == kind) & (size > 0))
-            group = np.cumsum(size[cut]) // _AT_ONCE
+            group = np.cumsum(size[cut]) // self.at_once
             for rows in np.split(cut, np.flatnonzero(np.diff(group)) + 1) if len(cut) else []:
                 ids, ends = self._by_parts(texts.take(pa.array(rows)), kind)
                 for i, part in zip(rows.tolist(), np.split(ids, ends[:-1])):
@@ -135,6 +135,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, most_parts: int = 240_000) -> Encoder:
-    """One per Python worker, file and size of its tables."""
-    return Encoder(path, most_parts)
+def encoder(path: str, most_parts: int = 240_000, at_once: int = AT_ONCE) -> Encoder:
+    """One per Python worker, file and use of memory."""
+    return Encoder(path, most_parts, at_once)
