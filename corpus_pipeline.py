@@ -38,7 +38,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: pieces of the documents in sequences of at most 2048 tokens; repeated rows are separate documents, a null text is empty."""
-    pieces = packing.pack_documents(docs.select("doc_id", "text"), tokenizer_path(), most_parts=120_000)  # workers have earlier stages' memory to bear
+    pieces = packing.pack_documents(docs.select("doc_id", "text"), tokenizer_path(), most_parts=120_000, at_once=2 << 20)  # workers have earlier stages' memory to bear
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
