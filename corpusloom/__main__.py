@@ -1,4 +1,4 @@
-"""Command line: ``python -m corpusloom COMMAND --store FOLDER ...``. Commands that ask a model take ``--backend module:name``, a callable that makes one (see ``operators.models``)."""
+"""Command line: ``python -m corpusloom COMMAND --store FOLDER ...``. Commands that ask a model take ``--backend module:name``, a callable that makes one (see ``operators.models``); ``run-phase2`` embeds texts if it has ``embed(texts)``."""
 
 from __future__ import annotations
 
@@ -72,7 +72,9 @@ def main(argv: list[str] | None = None, backend=None) -> int:
             jobs.extract(store, backend, limit=args.limit)
             jobs.status(store, args.book).show()
     elif args.command == "run-phase2":
-        jobs.deduplicate(store)
+        if hasattr(backend, "embed"):
+            jobs.embed(store, backend.embed)
+        jobs.verify_duplicates(store, backend)
         print(jobs.link(store, backend, args.budget).count(), "pairs judged")
     elif args.command == "link":
         jobs.link(store, budget=args.budget).select("left", "right", "score", "blocked_by").show(50, truncate=False)

@@ -80,6 +80,11 @@ def ingest_units(store: TableStore, units: DataFrame, book_id: str, pipeline: st
     return fresh
 
 
+def _answers(asked: DataFrame) -> DataFrame:
+    """What a model said, written before it is used: neither a second use nor a lost shuffle asks again."""
+    return materialize(asked, "answers")
+
+
 def extract(store: TableStore, backend: models.ModelBackend, prompt: Callable[[str], str] = lambda t: t, limit: int | None = None) -> DataFrame:
     """Ask the model for the payload of pending chunks and store answers and errors; what has an answer is never asked again."""
     chunks = store.read("chunks", CHUNKS)
@@ -87,7 +92,7 @@ def extract(store: TableStore, backend: models.ModelBackend, prompt: Callable[[s
     todo = todo.limit(limit) if limit else todo
     head = prompt("\0").split("\0")
     asked = todo.select("id", F.concat(F.lit(head[0]), "text", F.lit(head[-1])).alias("prompt"))
-    got = models.complete(asked, backend, PAYLOAD, key="id")
+    got = _answers(models.complete(asked, backend, PAYLOAD, key="id"))
     done = got.select("id", F.to_json("answer").alias("payload"), "error", F.when(F.col("error").isNull(), "PROCESSED_PHASE1").otherwise("ERROR").alias("status"))
     done = done.join(chunks.select("id", (F.col("attempts") + 1).alias("attempts")), "id")
     return store.write("chunks", state.merge(chunks, done, ["id"], overwrite=("error",)))
@@ -157,7 +162,7 @@ def verify_duplicates(store: TableStore, backend: models.ModelBackend, cut: floa
     text = chunks.select("id", F.substring("text", 1, 4000).alias("t"))
     both = found.join(text.toDF("child_id", "b"), "child_id").join(text.toDF("canonical_id", "a"), "canonical_id")
     asked = both.select(F.col("child_id").alias("id"), F.concat(F.lit("A:\n"), "a", F.lit("\n\nB:\n"), "b").alias("prompt"))
-    said = models.complete(asked, backend, "duplicate boolean", key="id").where("answer.duplicate").select(F.col("id").alias("child_id"))
+    said = _answers(models.complete(asked, backend, "duplicate boolean", key="id")).where("answer.duplicate").select(F.col("id").alias("child_id"))
     return store.write("chunks", similarity.apply_canonical(chunks, found.join(said, "child_id")).select(*chunks.columns))
 
 
@@ -168,7 +173,7 @@ def adjudicate(store: TableStore, concepts: DataFrame, backend: models.ModelBack
     lost = resolver.orphans(m.select(F.xxhash64("doc", "pos").alias("mention_seq"), "text", "type", "locator"), concepts)
     old = store.read("verdicts", "folded string, label string, verdict string, target string, count long")
     asked = lost.select("folded", "label", "count", F.concat_ws(" ", F.lit("label:"), "label", F.lit("seen:"), F.col("count").cast("string")).alias("prompt"))
-    got = models.complete_cached(asked, old, backend, "verdict string, target string", key="folded", limit=limit, order=[F.desc("count"), "folded"]).where("error is null")
+    got = _answers(models.complete_cached(asked, old, backend, "verdict string, target string", key="folded", limit=limit, order=[F.desc("count"), "folded"])).where("error is null")
     new = got.join(lost, "folded").select("folded", "label", "answer.verdict", "answer.target", "count")
     return harvest.plan_adjudication(store.write("verdicts", old.unionByName(new)), concepts)
 
@@ -177,7 +182,7 @@ def propose_aliases(store: TableStore, concepts: DataFrame, backend: models.Mode
     """Ask the model for wordings of the concepts (pref) that weren't asked about yet; returns (concept, pos, alias) of all answers so far."""
     old = store.read("aliases", "concept string, aliases array<string>")
     asked = concepts.where("pref is not null and trim(pref) <> ''").select(F.col("pref").alias("concept"), F.concat(F.lit("concept: "), "pref").alias("prompt")).distinct()
-    got = models.complete_cached(asked, old, backend, "aliases array<string>", key="concept", limit=limit).where("error is null")
+    got = _answers(models.complete_cached(asked, old, backend, "aliases array<string>", key="concept", limit=limit)).where("error is null")
     both = store.write("aliases", old.unionByName(got.select("concept", "answer.aliases")))
     return both.select("concept", F.posexplode("aliases").alias("pos", "alias")).where("trim(alias) <> ''")
 
@@ -208,7 +213,7 @@ def link(store: TableStore, backend: models.ModelBackend | None = None, budget:
     text = store.read("chunks", CHUNKS).select("id", F.substring("text", 1, 4000).alias("t"))
     both = ranked.join(text.toDF("left", "a"), "left").join(text.toDF("right", "b"), "right").withColumn("pair_id", pair_id(F.col("left"), F.col("right")))
     asked = both.select("pair_id", F.concat(F.lit("A:\n"), "a", F.lit("\n\nB:\n"), "b").alias("prompt"))
-    got = models.complete(asked, backend, "relation string", key="pair_id", validate=_relation).where("error is null")
+    got = _answers(models.complete(asked, backend, "relation string", key="pair_id", validate=_relation)).where("error is null")
     new = got.join(both.select("pair_id", "left", "right", "score"), "pair_id").select("pair_id", F.col("left").alias("left_id"), F.col("right").alias("right_id"), "answer.relation", "score")
     store.write("edges", state.merge(edges, new, ["pair_id"]))
     return ranked
@@ -303,7 +308,7 @@ def unify(store: TableStore, backend: models.ModelBackend, head: int = 8_000) ->
     ends = F.split("locator", " … ")
     lacking = needs_enrichment(ends[0], F.element_at(ends, -1), F.coalesce("p.translation", F.lit("")), F.coalesce(F.size("p.mentions"), F.lit(0)), F.coalesce(F.size("p.ravis"), F.lit(0)))
     todo = p.where(lacking).select("id", F.concat(F.lit("complete:\n"), F.substring("text", 1, head)).alias("prompt"))
-    got = models.complete(todo, backend, PAYLOAD, key="id").where("error is null").select("id", F.col("answer").alias("a"))
+    got = _answers(models.complete(todo, backend, PAYLOAD, key="id")).where("error is null").select("id", F.col("answer").alias("a"))
     both = got.join(p.select("id", "p"), "id")
     none = F.array().cast("array<struct<text:string,type:string,salience:string,evidence:string>>")
     number = lambda m: F.struct(m["text"].alias("text"), m["type"].alias("type"), salience(m["salience"]).alias("salience"), m["evidence"].alias("evidence"))

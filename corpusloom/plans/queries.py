@@ -34,10 +34,13 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from corpusloom.plans import stated  # noqa: F401  (registers its own)
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(SQL)
 
 

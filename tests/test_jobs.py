@@ -145,3 +145,108 @@ def test_a_vote_loses_the_book_beyond_its_seam(spark):
 
     rows = harvest.scan_headings(df, F.col("page")).groupBy("topic", "kitab").count().collect()
     assert {(r.topic, r.kitab): r["count"] for r in rows} == {("الصيام المندوب", "الصيام"): 33, ("الحج المندوب", ""): 66}
+
+
+def _store(spark, tmp_path):
+    (tmp_path / "raw").mkdir(exist_ok=True)
+    (tmp_path / "raw" / "kafi1.txt").write_text(BOOK, encoding="utf-8")
+    store = TableStore(spark, f"file://{tmp_path}/store")
+    jobs.ingest(spark, store, {"kafi": REGISTRY["kafi"]}, "kafi", f"{tmp_path}/raw")
+    return store
+
+
+def _payload(store, marker):
+    return json.loads(store.read("chunks").where(F.col("marker") == marker).first().payload)
+
+
+def test_unify_fills_gaps_and_merges(spark, tmp_path):
+    store = _store(spark, tmp_path)
+    first = {"1-": {"mentions": [{"text": "العقل", "type": "concept", "salience": 0.4, "evidence": ""}], "ravis": ["زرارة"], "translation": "it goes on ..."}}
+    whole = {"mentions": [{"text": t, "type": "concept", "salience": 0.5, "evidence": t} for t in ("الصلاة", "المؤمن")], "ravis": ["a"], "translation": "done.", "quran_refs": ["1:1"]}
+    jobs.extract(store, models.StubBackend(lambda p: json.dumps(first["1-"] if "زرارة" in p else whole)))
+    asked = str(tmp_path / "asked")
+
+    def more(prompt):
+        with open(asked, "a") as f:  # the stub runs in another process
+            f.write("x")
+        return json.dumps({"mentions": [{"text": "العقل", "type": "concept", "salience": 0.9, "evidence": "العقل نور"}, {"text": "العلم", "type": "concept", "salience": 0.6, "evidence": ""}], "ravis": [], "translation": "whole.", "quran_refs": ["2:2"], "proposed_nodes": ["x"]})
+
+    jobs.unify(store, models.StubBackend(more))
+    got = _payload(store, "1-")
+    assert [(m["text"], float(m["salience"]), m["evidence"]) for m in got["mentions"]] == [("العقل", 0.9, "العقل نور"), ("العلم", 0.6, "")]
+    assert got["ravis"] == ["زرارة"] and got["translation"] == "whole." and got["quran_refs"] == ["2:2"] and got["proposed_nodes"] == ["x"]
+    assert _payload(store, "3-")["quran_refs"] == ["1:1"] and len(_payload(store, "3-")["mentions"]) == 2  # lacks nothing and wasn't asked about
+    with open(asked) as f:
+        assert len(f.read()) == 1 + (_payload(store, "2-")["quran_refs"] != ["1:1"])
+
+
+def test_a_refused_or_failed_unify_leaves_the_record(spark, tmp_path):
+    store = _store(spark, tmp_path)
+    jobs.extract(store, models.StubBackend(answer))
+    before = {r.id: r.payload for r in store.read("chunks").collect()}
+    jobs.unify(store, models.StubBackend(lambda p: "no JSON"))
+    assert {r.id: r.payload for r in store.read("chunks").collect()} == before
+
+
+def test_aliases_are_kept_if_the_corpus_attests_them(spark, tmp_path):
+    store = _store(spark, tmp_path)
+    forms = catalog.concept_forms(spark.createDataFrame([("العقل", "العقل", None, 0), ("العلم", "العلم", None, 1)], "id string, pref string, aliases array<string>, ord int"))
+    units = spark.createDataFrame([("k1", i, "العقل والحجة في البيت") for i in range(6)] + [("k2", i, "العلم والفهم") for i in range(6)], "source_path string, unit_seq int, text string")
+    proposed = spark.createDataFrame([("العقل", 0, "الحجة"), ("العقل", 1, "الفهم"), ("العقل", 2, "العلم"), ("العقل", 3, "غائب"), ("العلم", 0, "الفهم"), ("العلم", 1, "عِلم")], "concept string, pos int, alias string")
+    out = {(r.concept, r.alias): r.outcome for r in jobs.enrich_aliases(store, forms, units, proposed).collect()}
+    assert out == {("العقل", "الحجة"): "kept", ("العقل", "الفهم"): "different_context", ("العقل", "العلم"): "already_a_concept", ("العقل", "غائب"): "not_in_corpus", ("العلم", "الفهم"): "kept", ("العلم", "عِلم"): "same_as_concept"}
+    assert {(r.pref, r.alias) for r in store.read("derived_aliases").collect()} == {("العقل", "الحجة"), ("العلم", "الفهم")}
+
+
+def test_a_model_dismisses_issues_of_an_audit(spark, tmp_path):
+    store = _store(spark, tmp_path)
+    jobs.extract(store, models.StubBackend(answer))
+    ents = catalog.entity_forms(catalog.entity_table(spark, []))
+    found = jobs.audit_mentions(store, ents, path=f"file://{tmp_path}/audit.md")
+    issues = found.select("doc", F.explode("issues").alias("i")).select("doc", "i.code", "i.detail").collect()
+    lost = [i for i in issues if i.code == "ungrounded_mention"]
+    assert len(lost) == 3 and all(i.detail.startswith("غائب") for i in lost)
+
+    def judge(prompt):
+        if "زرارة" in prompt:
+            return json.dumps({"keep": False})
+        return "?" if "الصلاة" in prompt else json.dumps({"keep": True})
+
+    kept = jobs.filter_audit(store, found, models.StubBackend(judge), f"file://{tmp_path}/review.md").collect()
+    told = {r.id: r.text for r in store.read("chunks").collect()}
+    assert {(k.doc, k.code) for k in kept} == {(i.doc, i.code) for i in issues if "زرارة" not in told[i.doc]}  # an unreadable answer keeps the issue
+    review, dropped = (tmp_path / "review.md").read_text(encoding="utf-8"), len(issues) - len(kept)
+    assert dropped >= 1 and "| ungrounded_mention | 2 | 1 |" in review and "غائب" in review and "غائب" in (tmp_path / "audit.md").read_text(encoding="utf-8")
+
+
+class Stub(models.StubBackend):
+    """A backend with vectors, as commands make one."""
+
+    def __init__(self):
+        super().__init__(answer)
+
+    def embed(self, texts):
+        return [[float(len(t)), 1.0] for t in texts]
+
+
+def test_commands_that_ask_a_model(spark, tmp_path, capsys):
+    from corpusloom.__main__ import main
+
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "kafi1.txt").write_text(BOOK, encoding="utf-8")
+    (tmp_path / "books.json").write_text(json.dumps({"kafi": REGISTRY["kafi"]}))
+    (tmp_path / "concepts.json").write_text(json.dumps({"concepts": ["العقل", "العلم"]}))
+    (tmp_path / "entities.json").write_text(json.dumps({"persons": [{"id": "z", "pref": "زرارة"}]}))
+    s, where = ["--store", f"file://{tmp_path}/store"], ["--registry", f"{tmp_path}/books.json", "--root", f"{tmp_path}/raw"]
+    concepts, entities, backend = ["--concepts", f"{tmp_path}/concepts.json"], ["--entities", f"{tmp_path}/entities.json"], ["--backend", "tests.test_jobs:Stub"]
+    assert main([*s, "run-phase1", *where, *backend, "kafi"]) == 0 and "PROCESSED_PHASE1" in capsys.readouterr().out
+    assert main([*s, "resolve-nodes", *concepts, *entities]) == 0
+    assert main([*s, "run-phase2", *backend]) == 0
+    store = TableStore(spark, f"file://{tmp_path}/store")
+    assert store.read("vectors").count() == 3 and store.read("edges").where("relation = 'SUPPORTS'").count() >= 1
+    assert main([*s, "adjudicate", *concepts, *backend]) == 0 and store.read("verdicts").count() == 2
+    assert main([*s, "enrich-aliases", *where, *concepts, *backend, "kafi"]) == 0 and store.read("aliases").count() == 2
+    assert main([*s, "proposals", *concepts, "--threshold", "2"]) == 0 and "promote" in capsys.readouterr().out
+    assert main([*s, "filter-audit", *entities, *backend, "--out", f"file://{tmp_path}/review.md"]) == 0 and (tmp_path / "review.md").exists()
+    assert main([*s, "export", f"file://{tmp_path}/graph"]) == 0 and main([*s, "reset-book", "kafi"]) == 0
+    assert store.read("chunks").count() == 0 and store.read("edges").count() == 0
