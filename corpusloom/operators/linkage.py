@@ -11,13 +11,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.vectors import dot, norm
-from corpusloom.runtime import materialize, shuffle_partitions
+from corpusloom.operators import meetings
+from corpusloom.runtime import discard, frugal, materialize, ship, shuffle_partitions
 
 SIGNALS = ("node", "ayah", "ravi", "bab", "kitab", "vector")
 #: Signals fit in so many values: a place is position * RANKS + rank of the signal, so that positions stay below 2^59.
 RANKS = 8
-#: Pairs that a task groups at a time.
+#: Pairs that a task groups at a time (with vectors), those that a task works out where they meet, and the documents' keys that meet there.
 PAIRS_A_TASK = 1_000_000
+PAIRS_TO_MEET = 8_000_000
+KEYS_TO_MEET = 500_000
 
 
 @dataclass(frozen=True)
@@ -116,44 +119,129 @@ def pair_up(rows: DataFrame, n_pairs: int, blocking: list[int], common: list[int
     return g.select("left", "right", "place", *both, *([F.col("vector").alias(f"share_{SIGNALS.index('vector')}")] if vectors is not None else []))
 
 
-def rank(scored: DataFrame, min_score: float = 0.0, limit: int | None = None, judged: DataFrame | None = None) -> DataFrame:
-    """Best pairs first. Pairs already judged (left, right) leave before the limit, so that reruns go on down the list."""
+def numbered(keys: DataFrame, *order: str) -> tuple[DataFrame, int]:
+    """``keys`` with ``kid``, their number from 0 in ``order``, and how many they are. Written, so that a key keeps its number; what is collected is a count a partition."""
+    t = materialize(keys.orderBy(*order, "signal", "key").withColumn("kid", F.monotonically_increasing_id()), "keys", drop_shuffles=True)
+    part = F.shiftright("kid", 33).cast("int")
+    sizes = {r["part"]: r["n"] for r in t.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    starts, n = [], 0
+    for i in range(max(sizes, default=-1) + 1):
+        starts.append(n)
+        n += sizes.get(i, 0)
+    if not n:
+        return t, 0
+    return t.withColumn("kid", F.col("kid").bitwiseAND(F.lit((1 << 33) - 1)) + F.element_at(F.lit(starts).cast("array<bigint>"), part + 1)), n
+
+
+def meet(posts: dict[str, DataFrame], keys: DataFrame, n_docs: int, options: LinkOptions = LinkOptions(), shares: bool = True, used_up: tuple[DataFrame, ...] = ()) -> DataFrame:
+    """(left, right, first, and share_<rank> ..., or their sum score) of all pairs that share a blocking key, each once; no pair is shuffled.
+
+    ``posts`` has (doc, pos, signal, key) of each signal, every document's key once; ``keys`` is their ``idf``, as a written table. Documents get the numbers of their keys signal by signal, so that the shuffles
+    of one are gone before the next begins; then every document goes to the tasks that hold one of its blocking keys (``meetings``). ``used_up``: written tables that nothing needs once the numbers are in place.
+    """
+    import numpy as np
+
+    spark = keys.sparkSession
+    order = {s: i for i, s in enumerate(SIGNALS)}
+    rank = F.coalesce(*[F.when(F.col("signal") == s, F.lit(i)) for s, i in order.items()], F.lit(len(SIGNALS)))
+    k = keys.where("df > 1").select("signal", "key", "df", rank.alias("rank"), (F.col("first_pos").cast("long") * RANKS + rank).alias("place"), blocks(n_docs, options).alias("blocks"))
+    block, n_block = numbered(k.where("blocks"), "place")
+    other, n_other = numbered(k.where("not blocks"), "rank", "df")
+    width = min(options.max_members, n_docs) + 1
+    codes = 8 * width
+    weights = np.zeros(RANKS)
+    for s in posts:
+        weights[order.get(s, len(SIGNALS))] = options.weights.get(s, 0.0)
+    n = float(max(n_docs, 1))
+
+    def idf_share(rank, df):
+        return np.log1p(n / df) * weights[rank]
+
+    groups = other.groupBy("rank", "df").agg(F.min("kid").alias("first")).orderBy("first").collect()  # distinct counts: at most about the square root of twice the postings, for each signal
+    common = np.array([r["first"] for r in groups], np.int64), np.array([r["rank"] for r in groups], np.int64), idf_share(np.array([r["rank"] for r in groups], np.int64), np.array([r["df"] for r in groups], np.float64))
+    met = block.agg(F.sum("df").alias("keys"), F.sum(F.col("df") * (F.col("df") - 1) / 2).cast("long").alias("pairs")).first()
+    ranks = sorted({r["rank"] for r in block.select("rank").distinct().collect()} | {r["rank"] for r in groups})
+    items = block.select("signal", "key", (F.col("kid") * codes + F.col("rank") * width + F.col("df")).alias("item")).unionByName(other.select("signal", "key", (-1 - F.col("kid")).alias("item")))
+    lists = []
+    for s, p in posts.items():
+        mine = items.where(F.col("signal") == s).select("key", "item").hint("shuffle_hash")
+        lists.append(materialize(p.select("doc", "key").where("doc is not null").join(mine, "key").groupBy("doc").agg(F.collect_list("item").alias("items")), "link-keys", drop_shuffles=True))
+    for t in used_up:
+        discard(t)
+    union = lists[0]
+    for t in lists[1:]:
+        union = union.unionByName(t)
+    docs = materialize(union.groupBy("doc").agg(F.flatten(F.collect_list("items")).alias("items")), "link-items", drop_shuffles=True) if len(lists) > 1 else union
+    for t in lists if len(lists) > 1 else ():
+        discard(t)
+    ship(spark)
+    tasks = max(shuffle_partitions(spark), -(-(met["pairs"] or 0) // PAIRS_TO_MEET), -(-(met["keys"] or 0) // KEYS_TO_MEET))
+    dealt = docs.mapInArrow(frugal(meetings.deal(tasks, codes)), "task int, block binary").repartitionById(tasks, "task")
+    kind = docs.schema["doc"].dataType.simpleString()
+    columns = [f"share_{r}" for r in ranks] if shares else ["score"]
+    schema = f"`left` {kind}, `right` {kind}, first int, " + ", ".join(f"{c} double" for c in columns) if columns else f"`left` {kind}, `right` {kind}, first int"
+    return dealt.mapInArrow(frugal(meetings.meet(tasks, codes, ranks, idf_share, n_block, common, n_other, shares)), schema)
+
+
+def rank(scored: DataFrame, min_score: float = 0.0, limit: int | None = None, judged: DataFrame | Column | None = None) -> DataFrame:
+    """Best pairs first. Pairs already judged leave before the limit, so that reruns go on down the list: those of a table (left, right), or those for which a column is true, which takes no join."""
     out = scored.where(F.col("score") >= min_score)
-    if judged is not None:
+    if isinstance(judged, Column):
+        out = out.where(~F.coalesce(judged, F.lit(False)))
+    elif judged is not None:
         out = out.join(judged.select("left", "right"), ["left", "right"], "left_anti")
     out = out.orderBy(F.desc("score"), "left", "right")
     return out.limit(limit) if limit else out
 
 
-def candidates(docs: DataFrame, signals: dict[str, Column], doc_col: str = "doc_id", pos_col: str = "pos", options: LinkOptions = LinkOptions(), vectors: DataFrame | None = None) -> DataFrame:
+def candidates(docs: DataFrame, signals: dict[str, Column], doc_col: str = "doc_id", pos_col: str = "pos", options: LinkOptions = LinkOptions(), vectors: DataFrame | None = None, reasons: str | None = "map") -> DataFrame:
     """(left, right, blocked_by, score, reasons) of the pairs of ``docs`` that share a blocking key, not yet ranked.
 
-    All shared keys count, also those too common to block. blocked_by is the signal of the blocking key that came first; reasons maps signals to their shares. ``vectors`` (doc, v) adds
-    the cosine of both documents' vectors where it is positive. ``pos_col`` is an integer below 2^59. Documents, postings and keys are written tables: each input is read once, whatever the planner reuses.
+    All shared keys count, also those too common to block. blocked_by is the signal of the blocking key that came first; reasons maps signals to their shares (``reasons="columns"``: share_<signal> instead, null or 0 if it has none; None: neither). ``vectors`` (doc, v) adds
+    the cosine of both documents' vectors where it is positive; such pairs are grouped by a shuffle (``pair_up``), all others are returned where they meet (``meet``). ``pos_col`` is an integer below 2^59.
+    Documents, postings and keys are written tables: each input is read once, whatever the planner reuses.
     """
     names = list(signals)
-    rows = materialize(docs.select(F.col(doc_col).alias("doc"), F.col(pos_col).alias("pos"), *[c.alias(f"s_{s}") for s, c in signals.items()]), "link-docs")
+    rows = materialize(docs.select(F.col(doc_col).alias("doc"), F.col(pos_col).alias("pos"), *[c.alias(f"s_{s}") for s, c in signals.items()]), "link-docs", drop_shuffles=True)
     size = rows.agg(F.count_distinct("doc").alias("n"), F.count("doc").alias("rows")).first()
-    n, posts = size["n"], postings(rows, {s: F.col(f"s_{s}") for s in names}, "doc", "pos", distinct=size["n"] < size["rows"])
-    posts = posts if n == size["rows"] else materialize(posts, "postings")
-    keys = materialize(idf(posts, n).withColumn("kid", F.monotonically_increasing_id()), "keys")  # written, so that a key keeps its number
-    by = keys.where("df > 1").groupBy("signal", blocks(n, options).alias("blocks")).agg(F.sum(F.col("df") * (F.col("df") - 1) / 2).cast("long").alias("pairs")).collect()  # two rows a signal
+    n, once = size["n"], size["n"] == size["rows"]
+    posts = postings(rows, {s: F.col(f"s_{s}") for s in names}, "doc", "pos", distinct=not once)
+    if not once:
+        posts = posts if vectors is not None else posts.groupBy("doc", "signal", "key").agg(F.min("pos").alias("pos"))
+        posts = materialize(posts, "postings")
     place = {s: i for i, s in enumerate(SIGNALS)}
-    numbers = {b: sorted({place.get(r["signal"], len(SIGNALS)) for r in by if r["blocks"] == b}) for b in (True, False)}
-    rows = materialize(members(posts, keys, n, numbers[False], options), "members")
-    pairs = pair_up(rows, sum(r["pairs"] for r in by if r["blocks"]), numbers[True], numbers[False], vectors, options.weights.get("vector", 0.0))
+    if vectors is None:
+        keys = materialize(idf(posts, n).where("df > 1"), "keys", drop_shuffles=True)
+        by_signal = {s: postings(rows, {s: F.col(f"s_{s}")}, "doc", "pos", distinct=False) if once else posts.where(F.col("signal") == s) for s in names}
+        pairs = meet(by_signal, keys, n, options, reasons is not None, (rows,) if once else (rows, posts))
+        rank = F.col("first")
+    else:
+        keys = materialize(idf(posts, n).withColumn("kid", F.monotonically_increasing_id()), "keys")  # written, so that a key keeps its number
+        by = keys.where("df > 1").groupBy("signal", blocks(n, options).alias("blocks")).agg(F.sum(F.col("df") * (F.col("df") - 1) / 2).cast("long").alias("pairs")).collect()  # two rows a signal
+        numbers = {b: sorted({place.get(r["signal"], len(SIGNALS)) for r in by if r["blocks"] == b}) for b in (True, False)}
+        rows = materialize(members(posts, keys, n, numbers[False], options), "members")
+        pairs = pair_up(rows, sum(r["pairs"] for r in by if r["blocks"]), numbers[True], numbers[False], vectors, options.weights.get("vector", 0.0))
+        rank = F.col("place") % RANKS
+    first = F.element_at(F.lit([*SIGNALS, "other"]), (rank + 1).cast("int")).alias("blocked_by")
+    if vectors is None and reasons is None:
+        return pairs.select("left", "right", first, "score")
     ranks = [int(c.split("_")[1]) for c in pairs.columns if c.startswith("share_")]
     name = lambda r: SIGNALS[r] if r < len(SIGNALS) else "other"
+    score = sum((F.col(f"share_{r}") for r in ranks), F.lit(0.0)).alias("score")
+    if reasons is None:
+        return pairs.select("left", "right", first, score)
+    if reasons == "columns":
+        return pairs.select("left", "right", first, score, *[F.col(f"share_{r}").alias(f"share_{name(r)}") for r in ranks])
     parts = F.filter(F.array(*[F.struct(F.lit(name(r)).alias("signal"), F.col(f"share_{r}").alias("share")) for r in ranks]), lambda x: x["share"] > 0) if ranks else None
-    reasons = F.map_from_entries(parts) if ranks else F.create_map().cast("map<string,double>")
-    first = F.element_at(F.lit([*SIGNALS, "other"]), (F.col("place") % RANKS + 1).cast("int"))
-    return pairs.select("left", "right", first.alias("blocked_by"), sum((F.col(f"share_{r}") for r in ranks), F.lit(0.0)).alias("score"), reasons.alias("reasons"))
+    why = F.map_from_entries(parts) if ranks else F.create_map().cast("map<string,double>")
+    return pairs.select("left", "right", first, score, why.alias("reasons"))
 
 
 def report(scored: DataFrame) -> DataFrame:
-    """(kind, signal, pairs): how many pairs each signal proposed, and scored."""
+    """(kind, signal, pairs): how many pairs each signal proposed, and scored, by their map of reasons or by columns of shares."""
     signals = [*SIGNALS, "other"]
-    counts = scored.agg(*[F.count_if(F.col("blocked_by") == s).alias(f"blocked_by {s}") for s in signals], *[F.count_if(F.element_at("reasons", s).isNotNull()).alias(f"reason {s}") for s in signals])
+    scores = {s: F.element_at("reasons", s).isNotNull() if "reasons" in scored.columns else F.col(f"share_{s}") > 0 if f"share_{s}" in scored.columns else F.lit(False) for s in signals}
+    counts = scored.agg(*[F.count_if(F.col("blocked_by") == s).alias(f"blocked_by {s}") for s in signals], *[F.count_if(scores[s]).alias(f"reason {s}") for s in signals])
     rows = F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(s).alias("signal"), F.col(f"`{kind} {s}`").alias("pairs")) for kind in ("blocked_by", "reason") for s in signals])
     return counts.select(F.explode(rows).alias("r")).select("r.*").where("pairs > 0")
 

@@ -41,13 +41,22 @@ def new_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def materialize(df: DataFrame, label: str = "table") -> DataFrame:
+def materialize(df: DataFrame, label: str = "table", drop_shuffles: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of it.
 
-    The plan above starts from files that survive a lost executor, and nothing below is computed twice.
+    The plan above starts from files that survive a lost executor, and nothing below is computed twice. ``drop_shuffles`` deletes the shuffle files of the write as it ends, rather than when the driver happens to collect
+    its garbage.
     """
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None) if drop_shuffles else None
+    try:
+        if drop_shuffles:
+            conf.set(key, "true")
+        df.write.parquet(path)
+    finally:
+        if drop_shuffles:
+            conf.set(key, before) if before is not None else conf.unset(key)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._corpusloom_path = path  # for discard()
     return out

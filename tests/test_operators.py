@@ -1,6 +1,7 @@
 """Operators on small fixtures of our own, against plain statements of what they promise."""
 
 import json
+import math
 import os
 import random
 import zipfile
@@ -279,6 +280,54 @@ def test_linkage_caps_and_reasons(spark):
     assert [(r.left, r.right) for r in capped] == [("d0", "d1")]
 
 
+def _links(docs, n, weights):
+    """Brute force over pairs: (blocked_by, score, signals)."""
+    posts = {(s, k): [] for _, _, keys in docs for s, k in keys}
+    for d, pos, keys in docs:
+        for x in keys:
+            posts[x].append((pos, d))
+    rank = {s: i for i, s in enumerate(linkage.SIGNALS)}
+    got = {}
+    for a, _, x in docs:
+        for b, _, y in docs:
+            both = x & y
+            block = [k for k in both if k[0] != "kitab" and 2 <= len(posts[k]) <= 12]
+            if a < b and block:
+                first = min(block, key=lambda k: (min(posts[k])[0], rank[k[0]]))
+                got[a, b] = (first[0], sum(math.log1p(n / len(posts[k])) * weights[k[0]] for k in both), {k[0] for k in both})
+    return got
+
+
+@pytest.mark.parametrize("seed,tasks", [(1, None), (2, 40)])
+def test_linkage_returns_each_pair_once_where_it_first_meets(spark, seed, tasks, monkeypatch):
+    from corpusloom.operators import meetings
+
+    monkeypatch.setattr(meetings, "PAIRS_A_STEP", 64)
+    if tasks:
+        monkeypatch.setattr(linkage, "KEYS_TO_MEET", 40)
+    rng = random.Random(seed)
+    docs = [(str(i), 1000 - i, {("node", f"n{rng.randrange(60)}") for _ in range(rng.choice([0, 2, 90]))} | {("ayah", f"a{rng.randrange(90)}") for _ in range(4)} | {("kitab", f"k{i % 3}")}) for i in range(150)]
+    keys = lambda x, s: sorted(k for t, k in x if t == s)
+    df = spark.createDataFrame([(d, p, keys(x, "node"), keys(x, "ayah"), keys(x, "kitab")[0]) for d, p, x in docs], "doc_id string, pos int, nodes array<string>, ayahs array<string>, kitab string")
+    options = linkage.LinkOptions(max_members=12)
+    found = linkage.candidates(df, {"node": F.col("nodes"), "ayah": F.col("ayahs"), "kitab": F.col("kitab")}, options=options)
+    rows, want = found.collect(), _links(docs, 150, options.weights)
+    got = {(r.left, r.right): r for r in rows}
+    assert len(got) == len(rows) and set(got) == set(want)
+    for k, (first, score, signals) in want.items():
+        assert got[k].blocked_by == first and got[k].score == pytest.approx(score) and set(got[k].reasons) == signals
+
+
+def test_linkage_shuffles_no_pairs(spark):
+    docs = spark.createDataFrame([(f"d{i}", i, ["a", f"b{i // 2}"]) for i in range(30)], "doc_id string, pos int, nodes array<string>")
+    for reasons in ("map", "columns"):
+        found = linkage.candidates(docs, {"node": F.col("nodes")}, reasons=reasons)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert found.count() == 435 and "hashpartitioning(left" not in plan and "Join" not in plan
+    none = linkage.candidates(docs.where("pos < 0"), {"node": F.col("nodes")})
+    assert none.collect() == []
+
+
 def test_vectors_add_to_scores(spark):
     docs = spark.createDataFrame([("a", 0, ["k"]), ("b", 1, ["k"])], "doc_id string, pos int, nodes array<string>")
     v = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [1.0, 1.0])], "doc string, v array<double>")
