@@ -98,14 +98,18 @@ def settle_parents(votes: DataFrame, books: DataFrame, standalone: DataFrame, ma
 
 
 def seam(flags: DataFrame, keys: list[str], order: list[str], flag: Column, min_span: int = 50, min_prefix: int = 15, min_hits: int = 8, min_rate: float = 0.35, max_suffix_rate: float = 0.06, min_suffix: int = 25, min_suffix_share: float = 0.4) -> DataFrame:
-    """(keys, cut): where a span stops being about its subject: the cut with the greatest fall of the flag's rate, if it meets all floors; the first of equals."""
+    """(keys, cut): where a span stops being about its subject: the cut with the greatest fall of the flag's rate, if it meets all floors; the first of equals.
+
+    Rates are doubles, so falls that are equal as fractions may differ in their last digits. A fall is measured in millionths less a millionth of a millionth a place: differences below 1e-12 a place don't count, and the earlier cut wins.
+    """
     w = Window.partitionBy(*keys)
-    so_far = w.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    f = flags.select(*keys, F.row_number().over(w.orderBy(*order)).alias("cut"), F.count(F.lit(1)).over(w).alias("total"), F.sum(flag.cast("int")).over(so_far).alias("hits"), F.sum(flag.cast("int")).over(w).alias("seen"))
+    placed = w.orderBy(*[F.asc_nulls_last(c) for c in order])
+    so_far = placed.rowsBetween(Window.unboundedPreceding, 0)
+    f = flags.select(*keys, F.row_number().over(placed).alias("cut"), F.count(F.lit(1)).over(w).alias("total"), F.sum(flag.cast("int")).over(so_far).alias("hits"), F.sum(flag.cast("int")).over(w).alias("seen"))
     tail = F.col("total") - F.col("cut")
     before, after = F.col("hits") / F.col("cut"), (F.col("seen") - F.col("hits")) / tail
     ok = (F.col("total") >= min_span) & (tail > 0) & (F.col("cut") >= min_prefix) & (F.col("hits") >= min_hits) & (tail >= min_suffix) & (tail >= min_suffix_share * F.col("total")) & (before >= min_rate) & (after <= max_suffix_rate)
-    return f.where(ok).groupBy(*keys).agg(F.max_by("cut", F.struct(before - after, -F.col("cut"))).alias("cut"))
+    return f.where(ok).groupBy(*keys).agg(F.max_by("cut", F.struct((before - after) * 1e6 - F.col("cut") * 1e-6, -F.col("cut"))).alias("cut"))
 
 
 def scan_headings(heads: DataFrame, page_text: Column | None = None, **seam_floors) -> DataFrame:

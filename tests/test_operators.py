@@ -5,6 +5,7 @@ import math
 import os
 import random
 import zipfile
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -433,6 +434,19 @@ def test_seams(spark):
     assert {r.span: r.cut for r in harvest.seam(df, ["span"], ["pos"], F.col("flag") == 1).collect()} == {1: 30}
 
 
+def test_equal_falls_of_a_seam_go_to_the_first_cut(spark):
+    """Falls that are equal as fractions and differ as doubles."""
+    bits = ['01011000000101100000', '11111101101000000001', '010010110011001000010000010']
+    spans = {i: [int(x) for x in b] for i, b in enumerate(bits)}
+    df = spark.createDataFrame([(s, i, f) for s, fs in spans.items() for i, f in enumerate(fs)], "span int, pos int, flag int")
+    floors = dict(min_span=20, min_prefix=5, min_hits=2, min_rate=0.25, max_suffix_rate=0.2, min_suffix=5, min_suffix_share=0.2)
+    want = {}
+    for s, f in spans.items():
+        falls = {c: Fraction(sum(f[:c]), c) - Fraction(sum(f[c:]), len(f) - c) for c in range(1, len(f)) if c >= 5 and len(f) - c >= max(5, 0.2 * len(f)) and sum(f[:c]) >= 2 and sum(f[:c]) >= 0.25 * c and sum(f[c:]) <= 0.2 * (len(f) - c)}
+        want[s] = min(falls, key=lambda c: (-falls[c], c))
+    assert {r.span: r.cut for r in harvest.seam(df, ["span"], ["pos"], F.col("flag") == 1, **floors).collect()} == want
+
+
 def test_audits(spark):
     m = spark.createDataFrame([("a", 0, "كمال العقل", 0.9), ("a", 1, "x", 0.2), ("b", 0, "كمال العقل", 0.9), ("b", 1, "العلم", 0.9)], "doc string, pos int, folded string, salience double")
     assert [r.doc for r in audit.framing_top(m).collect()] == ["a"]
